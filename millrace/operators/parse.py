@@ -1,0 +1,54 @@
+"""Text to typed columns."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from millrace.functions.scalars import epoch_ts
+
+MB = 1_048_576
+KB = 1024
+
+
+def parse_json(df: DataFrame, raw: str, schema: StructType, keep: Mapping[str, str] | Sequence[str] = ()) -> DataFrame:
+    """All fields of the JSON text as top-level columns, plus kept (and renamed) ones.
+
+    Broken text gives a row of NULLs, so a not-NULL rule on the key removes it.
+    """
+    keep = keep if isinstance(keep, Mapping) else {c: c for c in keep}
+    return df.select(
+        F.from_json(raw, schema).alias("_parsed"), *[F.col(c).alias(out) for c, out in keep.items()]
+    ).select("_parsed.*", *keep.values())
+
+
+def pick_json(df: DataFrame, raw: str, schema: StructType, paths: Mapping[str, str | Column], keep: Mapping[str, str]) -> DataFrame:
+    """Chosen fields under new names; rows whose payload is NULL are left out."""
+    parsed = df.select(F.from_json(raw, schema).alias("p"), *[F.col(c).alias(out) for c, out in keep.items()])
+    picked = [(F.col(f"p.{src}") if isinstance(src, str) else src).alias(out) for out, src in paths.items()]
+    return parsed.filter(F.col("p").isNotNull()).select(*picked, *keep.values())
+
+
+def epoch_columns(df: DataFrame, columns: Sequence[str], drop: bool = True) -> DataFrame:
+    """``x`` in epoch seconds becomes ``x_ts``."""
+    out = df.withColumns({f"{c}_ts": epoch_ts(c) for c in columns})
+    return out.drop(*columns) if drop else out
+
+
+def register(raw: str, divisor: int = 1) -> Column:
+    """Raw register text to a number.  Text that is no integer gives NULL, not an error."""
+    value = F.col(raw).try_cast("int")
+    return value if divisor == 1 else value / F.lit(float(divisor))
+
+
+def register_diff(raw: str, minus: str, divisor: int) -> Column:
+    """Difference taken on the integers, so that no rounding error enters."""
+    return (F.col(raw).try_cast("int") - F.col(minus).try_cast("int")) / F.lit(float(divisor))
+
+
+def local_timestamp(day: str, time: str) -> Column:
+    """Local wall-clock time without a zone; NULL where the text is no time."""
+    return F.concat_ws(" ", day, time).try_cast("timestamp_ntz")
