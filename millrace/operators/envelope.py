@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 # Column names are fixed values: downstream tables read them.
 _STYLES = {
@@ -40,7 +39,7 @@ def envelope(messages: DataFrame, style: str) -> DataFrame:
     return messages.selectExpr(*[f"{expr} AS `{name}`" for expr, name in _STYLES[style]])
 
 
-def with_parsed(df: DataFrame, schema: StructType, raw: str = "raw_data", out: str = "parsed_data") -> DataFrame:
+def with_parsed(df: DataFrame, schema: str, raw: str = "raw_data", out: str = "parsed_data") -> DataFrame:
     return df.withColumn(out, F.from_json(raw, schema))
 
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from millrace.functions.scalars import epoch_ts
 
@@ -14,7 +13,7 @@ MB = 1_048_576
 KB = 1024
 
 
-def parse_json(df: DataFrame, raw: str, schema: StructType, keep: Mapping[str, str] | Sequence[str] = ()) -> DataFrame:
+def parse_json(df: DataFrame, raw: str, schema: str, keep: Mapping[str, str] | Sequence[str] = ()) -> DataFrame:
     """All fields of the JSON text as top-level columns, plus kept (and renamed) ones.
 
     Broken text gives a row of NULLs, so a not-NULL rule on the key removes it.
@@ -25,10 +24,11 @@ def parse_json(df: DataFrame, raw: str, schema: StructType, keep: Mapping[str, s
     ).select("_parsed.*", *keep.values())
 
 
-def pick_json(df: DataFrame, raw: str, schema: StructType, paths: Mapping[str, str | Column], keep: Mapping[str, str]) -> DataFrame:
-    """Chosen fields under new names; rows whose payload is NULL are left out."""
+def pick_json(df: DataFrame, raw: str, schema: str, picks: Mapping[str, str], keep: Mapping[str, str]) -> DataFrame:
+    """Chosen fields under new names: SQL over the parsed payload ``p``.  Rows whose payload
+    is NULL are left out."""
     parsed = df.select(F.from_json(raw, schema).alias("p"), *[F.col(c).alias(out) for c, out in keep.items()])
-    picked = [(F.col(f"p.{src}") if isinstance(src, str) else src).alias(out) for out, src in paths.items()]
+    picked = [F.expr(text).alias(out) for out, text in picks.items()]
     return parsed.filter(F.col("p").isNotNull()).select(*picked, *keep.values())
 
 

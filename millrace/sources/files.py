@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 RESCUE = "_rescued_data"
 BASE_NAME = r"([^/]+)$"
@@ -27,7 +27,7 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType, stream: bool =
 def read_json(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: str,
     stream: bool = True,
     multiline: bool = False,
     rescue: bool = True,
@@ -36,17 +36,17 @@ def read_json(
     """JSON records; what does not fit the schema is kept as text in ``_rescued_data``."""
     reader = _reader(spark, stream).options(mode="PERMISSIVE", multiLine=str(multiline).lower(), **options)
     if rescue:
-        schema = StructType([*schema.fields, StructField(RESCUE, StringType())])
+        schema = f"{schema}, {RESCUE} string"
         reader = reader.option("columnNameOfCorruptRecord", RESCUE)
     return reader.schema(schema).json(path)
 
 
-def infer_json_schema(spark: SparkSession, path: str, multiline: bool = False, sampling: float = 1.0) -> StructType:
-    """Schema of existing files, to be fixed before a stream starts.  Spark infers it in a
-    distributed pass; lower ``sampling`` for very large landing folders."""
+def infer_json_schema(spark: SparkSession, path: str, multiline: bool = False, sampling: float = 1.0) -> str:
+    """Schema (DDL) of existing files, to be fixed before a stream starts.  Spark infers it in
+    a distributed pass; lower ``sampling`` for very large landing folders."""
     reader = spark.read.options(multiLine=str(multiline).lower(), samplingRatio=str(sampling))
-    inferred = reader.json(path).schema
-    return StructType([f for f in inferred.fields if f.name != "_corrupt_record"])
+    fields = [f for f in reader.json(path).schema if f.name != "_corrupt_record"]
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = True) -> DataFrame:

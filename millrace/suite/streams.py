@@ -1,0 +1 @@
+"""Registered queries that run as streams and must equal their batch form."""
