@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.scalars import rnd
+from millrace.functions.scalars import rnd  # noqa: F401
 
 # Rank error of a percentile is n / ACCURACY, so groups below half of it are exact.
 ACCURACY = 1_000_000
@@ -46,60 +46,57 @@ class Metric:
     p: float = 0.5
 
     def column(self) -> Column:
-        value = F.expr(self.expr)
-        if self.when is not None and self.how not in ("count", "pct", "any"):
-            value = F.when(F.expr(self.when), value)
-        out = getattr(self, f"_{self.how}")(value)
-        if self.digits is not None:
-            out = rnd(out, self.digits)
-        return out.alias(self.name)
-
-    def _avg(self, v):
-        return F.avg(v)
-
-    def _min(self, v):
-        return F.min(v)
-
-    def _max(self, v):
-        return F.max(v)
-
-    def _sum(self, v):
-        return F.sum(v)
-
-    def _std(self, v):
-        return F.stddev_samp(v)
-
-    def _count(self, v):
-        return F.count(F.lit(1)) if self.when is None else F.count_if(F.expr(self.when))
-
-    def _pct(self, v):
-        base = F.count(F.lit(1)) if self.of is None else F.count_if(F.expr(self.of))
-        return F.try_divide(F.count_if(v) * F.lit(100.0), base)
-
-    def _quantile(self, v):
-        return F.percentile_approx(v, self.p, ACCURACY)
-
-    def _spread(self, v):
-        return F.percentile_approx(v, self.p, ACCURACY) - F.percentile_approx(v, round(1 - self.p, 12), ACCURACY)
-
-    def _first(self, v):
-        return F.min_by(v, F.col(self.by))
-
-    def _last(self, v):
-        return F.max_by(v, F.col(self.by))
-
-    def _mode(self, v):
-        return F.mode(v, deterministic=True)
-
-    def _any(self, v):
-        return F.coalesce(F.max(v.cast("int")), F.lit(0))
-
-    def _distinct(self, v):
-        return F.count_distinct(v)
-
-    def _set(self, v):
-        return F.sort_array(F.collect_set(v))
+        return F.expr(self.sql()).alias(self.name)
+
+    def sql(self) -> str:
+        value = f"({self.expr})"
+        if self.when is not None:
+            value = f"CASE WHEN {self.when} THEN {value} END"
+        out = _SQL[self.how].format(v=value, m=self, by=self.by, p=self.p, q=round(1 - self.p, 12), acc=ACCURACY,
+                                    base="count(1)" if self.of is None else f"count_if({self.of})",
+                                    rows="count(1)" if self.when is None else f"count_if({self.when})")
+        if self.digits is not None:  # see scalars.rnd
+            out = f"CAST(round(CAST({out} AS DECIMAL(28,9)), {self.digits}) AS DOUBLE)"
+        return out
+
+
+_SQL = {
+    "avg": "avg({v})",
+    "min": "min({v})",
+    "max": "max({v})",
+    "sum": "sum({v})",
+    "std": "stddev_samp({v})",
+    "count": "{rows}",
+    "pct": "try_divide(count_if({v}) * 100D, {base})",
+    "quantile": "percentile_approx({v}, {p}D, {acc})",
+    "spread": "percentile_approx({v}, {p}D, {acc}) - percentile_approx({v}, {q}D, {acc})",
+    "first": "min_by({v}, {by})",
+    "last": "max_by({v}, {by})",
+    "mode": "mode({v}, true)",
+    "any": "coalesce(max(CAST({v} AS INT)), 0)",
+    "distinct": "count(DISTINCT {v})",
+    "set": "sort_array(collect_set({v}))",
+}
+
+
+# Aggregates whose state is an object per group.
+_OBJECT_STATE = {"quantile", "spread", "mode", "set"}
 
 
 def summarise(df: DataFrame, keys: Sequence[str | Column], metrics: Sequence[Metric]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[m.column() for m in metrics])
+    """One aggregation; two where exact distinct counts meet sketches.
+
+    Spark computes a distinct count by first grouping on the counted value as well, and
+    would build every sketch once per such value.  Apart, both stay cheap.
+    """
+    distinct = [m for m in metrics if m.how == "distinct"]
+    if not distinct or not any(m.how in _OBJECT_STATE for m in metrics):
+        return df.groupBy(*keys).agg(*[m.column() for m in metrics])
+    main = df.groupBy(*keys).agg(*[m.column() for m in metrics if m.how != "distinct"])
+    counts = df.groupBy(*keys).agg(*[m.column() for m in distinct])
+    names = main.columns[: len(keys)]
+    if not names:
+        return main.crossJoin(F.broadcast(counts))  # one row each
+    right = counts.withColumnsRenamed({n: f"_k_{n}" for n in names})
+    on = [main[n].eqNullSafe(right[f"_k_{n}"]) for n in names]
+    return main.join(right, on, "left").drop(*[f"_k_{n}" for n in names])

@@ -164,7 +164,7 @@ def anomaly_summary(users: DataFrame, cdrs: Tables) -> DataFrame:
     cells = []
     for name in ANOMALY_LABELS.values():
         mine = F.col("_kind") == name
-        at = F.when(mine & F.col("anomaly_type").isNotNull(), F.struct("_at", "anomaly_type"))
+        at = F.when(mine & F.col("anomaly_type").isNotNull(), F.struct(F.col("_at").isNull(), "_at", "anomaly_type"))
         cells += [
             F.count_if(mine).alias(f"{name}_anomaly_count"),
             F.max(F.when(mine, F.to_date("_at"))).alias(f"{name}_last_anomaly_date"),

@@ -11,7 +11,11 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes.  Wide projections would exceed that
+    # as one generated method; with this limit Spark runs them as split expressions instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+RUNTIME = ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit")
 
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,6 +27,12 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def apply_runtime(spark: SparkSession) -> None:
+    """The settings results and speed rely on, for a session that was built elsewhere."""
+    for key in RUNTIME:
+        spark.conf.set(key, DEFAULTS[key])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster in ``spark.checkpoint.dir``.
 

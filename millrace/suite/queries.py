@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +17,10 @@ from millrace.plans import jsonfiles
 from millrace.plans.cdr import gold as cdr_gold
 from millrace.plans.cdr import records
 from millrace.plans.heatpump import gold, logs, reports, tools
+from millrace.session import apply_runtime
 from millrace.sources.topics import record_messages
 from millrace.suite import feeds
+from millrace.suite.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-01-21"
@@ -49,7 +51,7 @@ def canonical(df: DataFrame) -> DataFrame:
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        apply_runtime(spark)
         return canonical(fn(spark, sf_dir))
 
     run.__name__ = fn.__name__
@@ -64,22 +66,30 @@ def _add(name: str, fn: Query) -> None:
 
 # -- heat pump ---------------------------------------------------------------------
 
-def pump_raw(spark, sf_dir):
+def pump_feed(spark, sf_dir):
     return logs.clean_log_rows(feeds.pump_log(spark, sf_dir))
 
 
+def pump_raw(spark, sf_dir):
+    """The raw table as written: text rows in file order."""
+    return staged(spark, sf_dir, "raw_logs", lambda: pump_feed(spark, sf_dir))
+
+
 def pump(spark, sf_dir, keys=()):
-    return logs.samples(pump_raw(spark, sf_dir), keys)
+    """The sample table as written, clustered by time."""
+    build = lambda: logs.samples(pump_raw(spark, sf_dir), ("device",))
+    table = staged(spark, sf_dir, "samples", build, ["logged_at"])
+    return table if keys else table.drop("device")
 
 
 @query
 def raw_logs(spark, sf_dir):
-    return pump_raw(spark, sf_dir).drop("device")
+    return pump_feed(spark, sf_dir).drop("device")
 
 
 @query
 def samples(spark, sf_dir):
-    return pump(spark, sf_dir)
+    return logs.samples(pump_raw(spark, sf_dir))
 
 
 @query
@@ -109,18 +119,37 @@ def cycle_summary(spark, sf_dir):
     return gold.cycle_summary(gold.cycles(pump(spark, sf_dir)))
 
 
-def pump_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    s = pump(spark, sf_dir)
-    names = "daily_summary flow_quality heating_curve data_quality alarm_episodes defrost_cycles dhw_cycles hourly_detail cycles"
-    tables = {n: getattr(gold, n)(s) for n in names.split()}
-    tables["cycle_summary"] = gold.cycle_summary(tables["cycles"])
-    tables["ml_features"] = gold.ml_features(
-        tables["daily_summary"], tables["flow_quality"], tables["heating_curve"], tables["cycle_summary"],
-        tables["data_quality"],
-    )
-    tables["anomaly_rules"] = gold.anomaly_rules(tables["ml_features"])
-    return tables
+class PumpTables(Mapping):
+    """Summary tables by name, each planned only when asked for."""
+
+    NAMES = (
+        "daily_summary flow_quality heating_curve data_quality alarm_episodes defrost_cycles dhw_cycles hourly_detail "
+        "cycles cycle_summary ml_features anomaly_rules"
+    ).split()
+
+    def __init__(self, spark, sf_dir):
+        self.samples = pump(spark, sf_dir)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "cycle_summary":
+            return gold.cycle_summary(self["cycles"])
+        if name == "ml_features":
+            return gold.ml_features(*[self[n] for n in (
+                "daily_summary", "flow_quality", "heating_curve", "cycle_summary", "data_quality")])
+        if name == "anomaly_rules":
+            return gold.anomaly_rules(self["ml_features"])
+        if name not in self.NAMES:
+            raise KeyError(name)
+        return getattr(gold, name)(self.samples)
 
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self):
+        return len(self.NAMES)
+
+
+pump_tables = PumpTables
 
 _add("ml_features", lambda spark, sf_dir: pump_tables(spark, sf_dir)["ml_features"])
 _add("anomaly_rules", lambda spark, sf_dir: pump_tables(spark, sf_dir)["anomaly_rules"])
@@ -199,23 +228,44 @@ KINDS = list(records.SCHEMAS)
 
 
 def messages(spark, sf_dir, kind):
-    return feeds.cdr_messages(spark, sf_dir, kind, records.ROUTES[kind])
+    """Messages of one topic as written by the ingest."""
+    topic = records.ROUTES[kind]
+    return staged(spark, sf_dir, f"messages_{kind}", lambda: feeds.cdr_messages(spark, sf_dir, kind, topic))
 
 
 def user_messages(spark, sf_dir):
-    return feeds.user_messages(spark, sf_dir, "telco-users")
+    return staged(spark, sf_dir, "messages_users", lambda: feeds.user_messages(spark, sf_dir, "telco-users"))
 
 
 def keyed(spark, sf_dir, kind):
     return envelope(messages(spark, sf_dir, kind), "keyed")
 
 
-def cdrs(spark, sf_dir) -> dict[str, DataFrame]:
-    return {k: records.typed(keyed(spark, sf_dir, k), k) for k in KINDS}
+class Cdrs(Mapping):
+    """Cleaned record tables by type, each written when first asked for."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getitem__(self, kind: str) -> DataFrame:
+        if kind not in records.SCHEMAS:
+            raise KeyError(kind)
+        build = lambda: records.typed(keyed(self.spark, self.sf_dir, kind), kind)
+        return staged(self.spark, self.sf_dir, f"cdr_{kind}", build, ["user_id", f"{records.TIMES[kind][0]}_ts"])
+
+    def __iter__(self):
+        return iter(KINDS)
+
+    def __len__(self):
+        return len(KINDS)
+
+
+cdrs = Cdrs
 
 
 def subscribers(spark, sf_dir) -> DataFrame:
-    return records.users(records.user_events(envelope(user_messages(spark, sf_dir), "keyed")))
+    build = lambda: records.users(records.user_events(envelope(user_messages(spark, sf_dir), "keyed")))
+    return staged(spark, sf_dir, "users", build, ["user_id"])
 
 
 # Raw envelopes.  JSON text differs between engines, so its length class is compared, and the
@@ -285,7 +335,8 @@ for _kind in KINDS:
 
 @query
 def users_latest(spark, sf_dir):
-    return subscribers(spark, sf_dir).drop("_ingested_at", "imei", "registration_date", "active")
+    latest = records.users(records.user_events(envelope(user_messages(spark, sf_dir), "keyed")))
+    return latest.drop("_ingested_at", "imei", "registration_date", "active")
 
 
 @query

@@ -1 +1,102 @@
-"""Registered queries that run as streams and must equal their batch form."""
+"""Registered queries that run as streams and must equal their batch form.
+
+Each call drains what the staged message tables hold (``availableNow``) into a new folder
+under the shared directory and returns the resulting table.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from millrace.operators.envelope import envelope
+from millrace.operators.quality import keep_valid
+from millrace.plans.cdr import records
+from millrace.plans.heatpump import logs
+from millrace.sources.tables import Layout, read_table
+from millrace.sources.topics import TopicSource, read_topics
+from millrace.streaming.tables import KeyedTable, append_stream, dedup_stream
+from millrace.suite.queries import _filled, messages, pump_raw, query, user_messages
+from millrace.suite.staging import stage_root
+
+
+def _layout(spark, sf_dir) -> Layout:
+    return Layout(f"{stage_root(spark, sf_dir)}/streams/{uuid.uuid4().hex}")
+
+
+def _topic(spark, sf_dir, topic: str, kind: str):
+    """The staged messages of one topic as a stream, in Kafka's columns."""
+    (user_messages if kind == "users" else messages)(spark, sf_dir, *([] if kind == "users" else [kind]))
+    source = TopicSource(fmt="parquet", path=f"{stage_root(spark, sf_dir)}/messages_{kind}")
+    return read_topics(spark, source, [topic])
+
+
+@query
+def stream_renamed_voice(spark, sf_dir):
+    """Two chained streams: messages to raw table, raw table to checked table."""
+    lay = _layout(spark, sf_dir)
+    raw, clean = lay.path("bronze", "voice"), lay.path("silver", "voice")
+    stream = envelope(_topic(spark, sf_dir, "telco-voice-cdrs", "voice"), "plain")
+    append_stream(stream, raw, lay.checkpoint("bronze_voice")).awaitTermination()
+    from_raw = read_table(spark, raw, stream=True, schema=stream.schema)
+    append_stream(records.renamed(from_raw, "voice"), clean, lay.checkpoint("silver_voice")).awaitTermination()
+    return read_table(spark, clean).drop("bronze_processing_time", "silver_processing_time")
+
+
+@query
+def stream_samples(spark, sf_dir):
+    """Raw log rows to samples, map-only, appended by day."""
+    lay = _layout(spark, sf_dir)
+    raw = pump_raw(spark, sf_dir)
+    stream = read_table(spark, f"{stage_root(spark, sf_dir)}/raw_logs", stream=True, schema=raw.schema)
+    out = lay.path("silver", "samples")
+    append_stream(logs.samples(stream), out, lay.checkpoint("samples"), partition_by=["log_date_parsed"]).awaitTermination()
+    return read_table(spark, out).select(*logs.SAMPLE_COLUMNS)
+
+
+@query
+def stream_users(spark, sf_dir):
+    """Keyed latest state from a stream of user events."""
+    lay = _layout(spark, sf_dir)
+    stream = records.user_events(envelope(_topic(spark, sf_dir, "telco-users", "users"), "keyed"))
+    table = KeyedTable(spark, lay.path("silver", "users"), ["user_id"], records.USER_SEQUENCE)
+    table.start(stream, lay.checkpoint("users")).awaitTermination()
+    return table.read().drop("_ingested_at", "imei", "registration_date", "active")
+
+
+@query
+def stream_dedup_sms(spark, sf_dir):
+    """Stream de-duplication.  Which of several rows with the same key arrives first is up to
+    the arrival order, so the keys themselves are the result.  The whole history is one
+    micro-batch, and the watermark spans it."""
+    lay = _layout(spark, sf_dir)
+    stream = envelope(_topic(spark, sf_dir, "telco-sms-cdrs", "sms"), "offset")
+    valid = keep_valid(records.strict_unchecked(stream, "sms"), records.strict_rules("sms"))
+    keys = records.BUSINESS_KEYS["sms"]
+    out = lay.path("silver", "sms")
+    append_stream(
+        dedup_stream(valid, keys, "_kafka_timestamp", "60 days"), out, lay.checkpoint("sms")
+    ).awaitTermination()
+    return read_table(spark, out).select(*keys)
+
+
+@query
+def stream_typed_roaming(spark, sf_dir):
+    lay = _layout(spark, sf_dir)
+    stream = envelope(_topic(spark, sf_dir, "telco-roaming-cdrs", "roaming"), "keyed")
+    out = lay.path("silver", "roaming")
+    append_stream(records.typed(stream, "roaming"), out, lay.checkpoint("roaming")).awaitTermination()
+    return _filled(read_table(spark, out), "roaming")
+
+
+@query
+def stream_counts_by_topic(spark, sf_dir):
+    """Messages per topic and partition in the appended raw table."""
+    lay = _layout(spark, sf_dir)
+    out = lay.path("bronze", "data")
+    stream = envelope(_topic(spark, sf_dir, "telco-data-cdrs", "data_usage"), "keyed")
+    append_stream(stream, out, lay.checkpoint("data"), partition_by=["_topic"]).awaitTermination()
+    return read_table(spark, out).groupBy("_topic", "_partition").agg(
+        F.count(F.lit(1)).alias("messages"), F.max("_offset").alias("last_offset")
+    )
