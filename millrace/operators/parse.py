@@ -17,19 +17,21 @@ def parse_json(df: DataFrame, raw: str, schema: str, keep: Mapping[str, str] | S
     """All fields of the JSON text as top-level columns, plus kept (and renamed) ones.
 
     Broken text gives a row of NULLs, so a not-NULL rule on the key removes it.
+
+    The record is unpacked by a generator.  Rules on its fields then run on the unpacked row;
+    over a plain projection Spark would move them below it and parse every text once more
+    per rule.
     """
     keep = keep if isinstance(keep, Mapping) else {c: c for c in keep}
-    return df.select(
-        F.from_json(raw, schema).alias("_parsed"), *[F.col(c).alias(out) for c, out in keep.items()]
-    ).select("_parsed.*", *keep.values())
+    parsed = F.inline(F.array(F.from_json(raw, schema)))
+    return df.select(parsed, *[F.col(c).alias(out) for c, out in keep.items()])
 
 
 def pick_json(df: DataFrame, raw: str, schema: str, picks: Mapping[str, str], keep: Mapping[str, str]) -> DataFrame:
-    """Chosen fields under new names: SQL over the parsed payload ``p``.  Rows whose payload
-    is NULL are left out."""
-    parsed = df.select(F.from_json(raw, schema).alias("p"), *[F.col(c).alias(out) for c, out in keep.items()])
-    picked = [F.expr(text).alias(out) for out, text in picks.items()]
-    return parsed.filter(F.col("p").isNotNull()).select(*picked, *keep.values())
+    """Chosen fields under new names, as SQL over the payload fields.  Rows whose payload is
+    NULL are left out."""
+    parsed = parse_json(df.filter(F.col(raw).isNotNull()), raw, schema, keep)
+    return parsed.select(*[F.expr(text).alias(out) for out, text in picks.items()], *keep.values())
 
 
 def epoch_columns(df: DataFrame, columns: Sequence[str], drop: bool = True) -> DataFrame:

@@ -31,12 +31,16 @@ class Series:
     """How rows are ordered: restart at ``keys``, order by ``ts`` then ``tie``.
 
     ``keys`` must not be NULL.  ``tie`` is only needed where ``ts`` repeats.
+    ``count_keys`` (a part of ``keys``) lets edge numbers run on over the other keys: with
+    keys (device, day) and count_keys (device,) edges are numbered over all days, while
+    every day still starts afresh.  The other keys must follow from ``ts``.
     """
 
     keys: tuple[str, ...]
     ts: str
     tie: tuple[str, ...] = ()
     chunk_seconds: int = 900
+    count_keys: tuple[str, ...] | None = None
 
     @property
     def order(self) -> tuple[str, ...]:
@@ -52,6 +56,12 @@ class Series:
     def across(self):
         return Window.partitionBy(*self.keys).orderBy(CHUNK)
 
+    def before_counts(self):
+        """All earlier chunks that count.  Chunk rows are few, even for one global series."""
+        counted = self.keys if self.count_keys is None else self.count_keys
+        rest = [k for k in self.keys if k not in counted]
+        return Window.partitionBy(*counted).orderBy(CHUNK, *rest).rowsBetween(Window.unboundedPreceding, -1)
+
     def chunk(self) -> Column:
         seconds = F.expr(f"timestampdiff(SECOND, {EPOCH}, cast(`{self.ts}` as timestamp_ntz))")
         return F.floor(seconds / F.lit(self.chunk_seconds))
@@ -96,9 +106,8 @@ def _border_table(df: DataFrame, s: Series, cols: Sequence[str], edges: Mapping[
     return out.select(
         *s.unit,
         "_tail",
-        *[F.coalesce(F.sum(f"_n_{e}").over(past), F.lit(0)).alias(f"_n0_{e}") for e in edges],
+        *[F.coalesce(F.sum(f"_n_{e}").over(s.before_counts()), F.lit(0)).alias(f"_n0_{e}") for e in edges],
         *[F.last(f"_t_{e}", ignorenulls=True).over(past).alias(f"_t0_{e}") for e in edges],
-        *[F.col(f"_n_{e}") for e in edges],
     )
 
 
@@ -114,7 +123,7 @@ def scan(df: DataFrame, s: Series, cols: Sequence[str] = (), edges: Mapping[str,
     names = list(dict.fromkeys([*cols, s.ts]))
     borders = _border_table(df, s, cols, edges)
     rows = df.withColumn(CHUNK, s.chunk()).withColumn("prev", F.lag(F.struct(*names)).over(s.inside()))
-    drop = [CHUNK, "_tail", *[f"_{x}_{e}" for e in edges for x in ("n0", "t0", "n")]]
+    drop = [CHUNK, "_tail", *[f"_{x}_{e}" for e in edges for x in ("n0", "t0")]]
     out = rows.join(borders, s.unit, "left").withColumn("prev", F.coalesce("prev", "_tail"))
     for e, fn in edges.items():
         out = out.withColumn(e, F.coalesce(fn(_before(F.col("prev"))), F.lit(False)))
@@ -126,11 +135,6 @@ def scan(df: DataFrame, s: Series, cols: Sequence[str] = (), edges: Mapping[str,
     return out.drop(*drop)
 
 
-def edge_totals(df: DataFrame, s: Series, cols: Sequence[str], edge: Edge) -> DataFrame:
-    """Edges per series key, from the border table alone."""
-    return _border_table(df, s, cols, {"edge": edge}).groupBy(*s.keys).agg(F.sum("_n_edge").alias("edges"))
-
-
 # -- edges -------------------------------------------------------------------
 
 # A state is a test on a row, given as a function of a column getter, so that the same
@@ -189,17 +193,6 @@ def unique_samples(df: DataFrame, s: Series) -> DataFrame:
     )
 
 
-def global_numbers(df: DataFrame, totals: DataFrame, keys: Sequence[str], day: str, local: str, out: str) -> DataFrame:
-    """Turn per-day numbers into one running number over all days.
-
-    ``totals`` holds the number of runs per (keys, day), so only one row per day is
-    ever ordered across days.
-    """
-    w = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, day, F.coalesce(F.sum("edges").over(w), F.lit(0)).alias("_offset"))
-    return df.join(offsets, [*keys, day], "left").withColumn(out, F.col(local) + F.col("_offset")).drop("_offset")
-
-
 def moving_avg(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], order: str, rows: int = 7) -> DataFrame:
     """Mean over the last ``rows`` rows, for tables with one row per key and day."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(1 - rows, 0)

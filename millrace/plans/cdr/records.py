@@ -128,82 +128,82 @@ def multiplex_check(raw: DataFrame) -> DataFrame:
 
 # -- cleaned layer, first form: chosen fields, snake case ------------------------
 
-# Output column, expression over the payload ``p``.
+# Output column, expression over the payload fields.
 RENAMED = {
     "data_usage": {
-        "user_id": "p.user_id",
-        "imsi": "p.imsi",
-        "imei": "p.imei",
-        "msisdn": "p.msisdn",
-        "session_start_time": "timestamp_seconds(p.recordOpeningTime)",
-        "session_end_time": "timestamp_seconds(p.recordClosingTime)",
-        "duration_seconds": "p.duration",
-        "data_volume_uplink": "p.dataVolumeUplink",
-        "data_volume_downlink": "p.dataVolumeDownlink",
-        "total_bytes": "p.dataVolumeUplink + p.dataVolumeDownlink",
-        "apn": "p.apn",
-        "serving_node_address": "p.servingNodeAddress",
-        "pdn_type": "p.pdnType",
-        "rat_type": "p.ratType",
-        "qci": "p.qci",
+        "user_id": "user_id",
+        "imsi": "imsi",
+        "imei": "imei",
+        "msisdn": "msisdn",
+        "session_start_time": "timestamp_seconds(recordOpeningTime)",
+        "session_end_time": "timestamp_seconds(recordClosingTime)",
+        "duration_seconds": "duration",
+        "data_volume_uplink": "dataVolumeUplink",
+        "data_volume_downlink": "dataVolumeDownlink",
+        "total_bytes": "dataVolumeUplink + dataVolumeDownlink",
+        "apn": "apn",
+        "serving_node_address": "servingNodeAddress",
+        "pdn_type": "pdnType",
+        "rat_type": "ratType",
+        "qci": "qci",
     },
     "voice": {
-        "user_id": "p.user_id",
-        "imsi": "p.imsi",
-        "imei": "p.imei",
-        "calling_party_number": "p.callingPartyNumber",
-        "called_party_number": "p.calledPartyNumber",
-        "call_start_time": "timestamp_seconds(p.callEventStartTime)",
-        "call_end_time": "timestamp_seconds(p.callEventEndTime)",
-        "call_duration": "p.callDuration",
-        "call_reference_number": "p.callReferenceNumber",
-        "msc_id": "p.mscID",
-        "lac": "p.lac",
-        "ci": "p.ci",
-        "cause_for_termination": "p.causeForTermination",
-        "charge_id": "p.chargeID",
-        "call_chargeable_duration": "p.callChargeableDuration",
-        "tariff_class": "p.tariffClass",
+        "user_id": "user_id",
+        "imsi": "imsi",
+        "imei": "imei",
+        "calling_party_number": "callingPartyNumber",
+        "called_party_number": "calledPartyNumber",
+        "call_start_time": "timestamp_seconds(callEventStartTime)",
+        "call_end_time": "timestamp_seconds(callEventEndTime)",
+        "call_duration": "callDuration",
+        "call_reference_number": "callReferenceNumber",
+        "msc_id": "mscID",
+        "lac": "lac",
+        "ci": "ci",
+        "cause_for_termination": "causeForTermination",
+        "charge_id": "chargeID",
+        "call_chargeable_duration": "callChargeableDuration",
+        "tariff_class": "tariffClass",
     },
     "sms": {
-        "user_id": "p.user_id",
-        "imsi": "p.imsi",
-        "originating_number": "p.originatingNumber",
-        "destination_number": "p.destinationNumber",
-        "event_timestamp": "timestamp_seconds(p.eventTimestamp)",
-        "message_size": "p.messageSize",
-        "sms_reference_number": "p.smsReferenceNumber",
-        "smsc_address": "p.smscAddress",
-        "delivery_status": "p.deliveryStatus",
-        "charge_amount": "p.chargeAmount",
+        "user_id": "user_id",
+        "imsi": "imsi",
+        "originating_number": "originatingNumber",
+        "destination_number": "destinationNumber",
+        "event_timestamp": "timestamp_seconds(eventTimestamp)",
+        "message_size": "messageSize",
+        "sms_reference_number": "smsReferenceNumber",
+        "smsc_address": "smscAddress",
+        "delivery_status": "deliveryStatus",
+        "charge_amount": "chargeAmount",
     },
     "voip": {
-        "user_id": "p.user_id",
-        "calling_party_uri": "p.callingPartyURI",
-        "called_party_uri": "p.calledPartyURI",
-        "session_start_time": "timestamp_seconds(p.sessionStartTime)",
-        "session_end_time": "timestamp_seconds(p.sessionEndTime)",
-        "session_duration": "p.sessionDuration",
-        "codec": "p.codec",
-        "call_quality_indicator": "p.callQualityIndicator",
-        "bytes_transferred": "p.bytesTransferred",
-        "packet_loss": "p.packetLoss",
-        "jitter": "p.jitter",
-        "latency": "p.latency",
-        "charge_id": "p.chargeID",
+        "user_id": "user_id",
+        "calling_party_uri": "callingPartyURI",
+        "called_party_uri": "calledPartyURI",
+        "session_start_time": "timestamp_seconds(sessionStartTime)",
+        "session_end_time": "timestamp_seconds(sessionEndTime)",
+        "session_duration": "sessionDuration",
+        "codec": "codec",
+        "call_quality_indicator": "callQualityIndicator",
+        "bytes_transferred": "bytesTransferred",
+        "packet_loss": "packetLoss",
+        "jitter": "jitter",
+        "latency": "latency",
+        "charge_id": "chargeID",
     },
     "ims": {
-        "user_id": "p.user_id",
-        "service_type": "p.serviceType",
-        "session_start_time": "timestamp_seconds(p.sessionStartTime)",
-        "session_end_time": "timestamp_seconds(p.sessionEndTime)",
-        "session_duration": "p.sessionDuration",
-        "originating_uri": "p.originatingURI",
-        "destination_uri": "p.destinationURI",
-        "media_types": "p.mediaTypes",
-        "network_type": "p.networkType",
-        "qos_class": "p.qosClass",
-        "charge_id": "p.chargeID",
+        "user_id": "user_id",
+        "service_type": "serviceType",
+        "session_start_time": "timestamp_seconds(sessionStartTime)",
+        "session_end_time": "timestamp_seconds(sessionEndTime)",
+        "session_duration": "sessionDuration",
+        "originating_uri": "originatingURI",
+        "destination_uri": "destinationURI",
+        "media_types": "mediaTypes",
+        "network_type": "networkType",
+        "qos_class": "qosClass",
+        "charge_id": "chargeID",
     },
 }
 KIND_TAG = {"data_usage": "data"}

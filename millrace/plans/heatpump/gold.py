@@ -372,14 +372,11 @@ CYCLE = [
 
 def cycles(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     """Compressor runs, numbered over all days.  A run that crosses midnight is two runs."""
-    s = day_series(keys)
-    rows = by_day(samples).filter("compr_freq_act_hz IS NOT NULL")
-    runs = episodes(
-        rows, s, rising(running), ON, ["compr_freq_act_hz"], CYCLE,
-        number="_run", min_rows=MIN_CYCLE_SAMPLES, floor_seconds=None,
+    return episodes(
+        by_day(samples).filter("compr_freq_act_hz IS NOT NULL"), Series((*keys, "log_date"), TS, count_keys=keys),
+        rising(running), ON, ["compr_freq_act_hz"], CYCLE,
+        number="cycle_id", min_rows=MIN_CYCLE_SAMPLES, floor_seconds=None,
     )
-    totals = series.edge_totals(rows, s, ["compr_freq_act_hz"], rising(running))
-    return series.global_numbers(runs, totals, keys, "log_date", "_run", "cycle_id").drop("_run")
 
 
 CYCLE_SUMMARY = [

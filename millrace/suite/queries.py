@@ -251,7 +251,7 @@ class Cdrs(Mapping):
         if kind not in records.SCHEMAS:
             raise KeyError(kind)
         build = lambda: records.typed(keyed(self.spark, self.sf_dir, kind), kind)
-        return staged(self.spark, self.sf_dir, f"cdr_{kind}", build, ["user_id", f"{records.TIMES[kind][0]}_ts"])
+        return staged(self.spark, self.sf_dir, f"cdr_{kind}", build)  # map-only: no shuffle of the records
 
     def __iter__(self):
         return iter(KINDS)
@@ -265,7 +265,7 @@ cdrs = Cdrs
 
 def subscribers(spark, sf_dir) -> DataFrame:
     build = lambda: records.users(records.user_events(envelope(user_messages(spark, sf_dir), "keyed")))
-    return staged(spark, sf_dir, "users", build, ["user_id"])
+    return staged(spark, sf_dir, "users", build)
 
 
 # Raw envelopes.  JSON text differs between engines, so its length class is compared, and the

@@ -106,20 +106,18 @@ def test_episode_samples_sum_to_rows_in_state(spark):
         assert ids == list(range(1, len(ids) + 1))
 
 
-def test_global_numbers_equal_single_running_sum(spark):
-    rows = rows_for(12, keys=("a",))
-    df = frame(spark, rows)
+def test_numbers_over_all_days_equal_single_running_sum(spark):
+    rows = rows_for(12)
     on = rising(lambda get: get("x") > 0)
-    s = Series(("day",), "ts", ("id",), 600)
-    marked = scan(df, s, ["x"], {"start": on}).filter("x > 0")
-    numbered = series.global_numbers(marked, series.edge_totals(df, s, ["x"], on), (), "day", "start_no", "no").collect()
-    by_day = brute(rows, lambda r: r[1])
-    want, no = {}, 0
+    s = Series(("k", "day"), "ts", ("id",), 600, count_keys=("k",))
+    numbered = scan(frame(spark, rows), s, ["x"], {"start": on}).filter("x > 0").select("id", "start_no").collect()
+    by_day = brute(rows, lambda r: (r[0], r[1]))
+    want, no = {}, {"a": 0, "b": 0}
     for row in sorted(rows, key=lambda r: (r[2], r[3])):
-        no += by_day[row[3]][2]
+        no[row[0]] += by_day[row[3]][2]
         if row[4] > 0:
-            want[row[3]] = no
-    assert {r["id"]: r["no"] for r in numbered} == want
+            want[row[3]] = no[row[0]]
+    assert {r["id"]: r["start_no"] for r in numbered} == want
 
 
 def test_hot_series_is_split_over_chunks(spark):
