@@ -48,11 +48,11 @@ class Metric:
     def column(self) -> Column:
         return F.expr(self.sql()).alias(self.name)
 
+    def value(self) -> str:
+        return f"({self.expr})" if self.when is None else f"CASE WHEN {self.when} THEN ({self.expr}) END"
+
     def sql(self) -> str:
-        value = f"({self.expr})"
-        if self.when is not None:
-            value = f"CASE WHEN {self.when} THEN {value} END"
-        out = _SQL[self.how].format(v=value, m=self, by=self.by, p=self.p, q=round(1 - self.p, 12), acc=ACCURACY,
+        out = _SQL[self.how].format(v=self.value(), m=self, by=self.by, p=self.p, q=round(1 - self.p, 12), acc=ACCURACY,
                                     base="count(1)" if self.of is None else f"count_if({self.of})",
                                     rows="count(1)" if self.when is None else f"count_if({self.when})")
         if self.digits is not None:  # see scalars.rnd
@@ -84,19 +84,40 @@ _OBJECT_STATE = {"quantile", "spread", "mode", "set"}
 
 
 def summarise(df: DataFrame, keys: Sequence[str | Column], metrics: Sequence[Metric]) -> DataFrame:
-    """One aggregation; two where exact distinct counts meet sketches.
+    """One aggregation, with value sets and (next to sketches) distinct counts on the side.
+
+    *Sets*: a plain aggregate keeps fixed-width state in a hash map and never sorts.  One
+    set among its metrics would turn all of it into object state, which falls back to
+    sorting the rows once a task meets more than a few groups.  So sets are built from the
+    distinct (keys, value) pairs, a narrow scan that shrinks before its shuffle.
 
-    Spark computes a distinct count by first grouping on the counted value as well, and
-    would build every sketch once per such value.  Apart, both stay cheap.
+    *Distinct counts*: Spark groups on the counted value first, and would build every
+    sketch once per such value.
     """
-    distinct = [m for m in metrics if m.how == "distinct"]
-    if not distinct or not any(m.how in _OBJECT_STATE for m in metrics):
+    sets = [m for m in metrics if m.how == "set"]
+    rest = [m for m in metrics if m.how != "set"]
+    distinct = [m for m in rest if m.how == "distinct"]
+    aside = [df.groupBy(*keys).agg(*[m.column() for m in distinct])] if (
+        distinct and any(m.how in _OBJECT_STATE for m in rest)
+    ) else []
+    if aside:
+        rest = [m for m in rest if m.how != "distinct"]
+    if not rest:
         return df.groupBy(*keys).agg(*[m.column() for m in metrics])
-    main = df.groupBy(*keys).agg(*[m.column() for m in metrics if m.how != "distinct"])
-    counts = df.groupBy(*keys).agg(*[m.column() for m in distinct])
+    main = df.groupBy(*keys).agg(*[m.column() for m in rest])
     names = main.columns[: len(keys)]
+    for m in sets:
+        pairs = df.select(*keys, F.expr(m.value()).alias(m.name)).distinct()
+        aside.append(pairs.groupBy(*names).agg(F.sort_array(F.collect_set(m.name)).alias(m.name)))
+    for part in aside:
+        main = _attach(main, part, names)
+    return main
+
+
+def _attach(main: DataFrame, part: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Join two summaries with one row per group on keys that may be NULL."""
     if not names:
-        return main.crossJoin(F.broadcast(counts))  # one row each
-    right = counts.withColumnsRenamed({n: f"_k_{n}" for n in names})
+        return main.crossJoin(F.broadcast(part))  # one row each
+    right = part.withColumnsRenamed({n: f"_k_{n}" for n in names})
     on = [main[n].eqNullSafe(right[f"_k_{n}"]) for n in names]
     return main.join(right, on, "left").drop(*[f"_k_{n}" for n in names])

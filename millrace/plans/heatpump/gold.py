@@ -186,7 +186,6 @@ DAILY = [
     Metric("discharge_max_c", "max", "bt14_discharge_c", digits=1),
     Metric("alarm_samples", "count", when="alarm_active"),
     Metric("alarm_pct", "pct", "alarm_active", digits=1),
-    Metric("alarm_codes", "set", "alarm_number", "alarm_active AND alarm_number > 0"),
     Metric("alarm_excl_183_pct", "pct", ACTIONABLE, digits=1),
     Metric("defrost_samples", "count", when="defrost_active"),
     Metric("bt1_bt28_avg_divergence_k", "avg", "bt1_bt28_divergence_k", digits=1),
@@ -209,8 +208,13 @@ DAILY = [
 
 def daily_summary(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     """One row per day.  Gaps, compressor starts, defrost starts and short cycles all come
-    from a single scan, and all columns from a single aggregation."""
-    s = day_series(keys)
+    from a single scan, and all numbers from a single aggregation; the list of alarm codes
+    is made from the alarm samples alone."""
+    s, on = day_series(keys), [*keys, "log_date"]
+    codes = (
+        by_day(samples).filter("alarm_active AND alarm_number > 0").select(*on, "alarm_number").distinct()
+        .groupBy(*on).agg(F.sort_array(F.collect_set("alarm_number")).alias("alarm_codes"))
+    )
     rows = scan(
         by_day(samples), s, ["compr_freq_act_hz", "defrost_active"],
         {"start": rising(running), "stop": falling(running), "defrost_start": rising(defrosting)},
@@ -220,7 +224,8 @@ def daily_summary(samples: DataFrame, keys: Keys = ()) -> DataFrame:
         # how long the compressor had been off, if it stopped earlier the same day
         "off_seconds": elapsed_seconds("stop_at", TS),
     })
-    return summarise(rows, [*keys, "log_date"], DAILY)
+    days = summarise(rows, on, DAILY).join(codes, on, "left")
+    return days.withColumn("alarm_codes", F.coalesce("alarm_codes", F.array().cast("array<int>")))
 
 
 FLOW = [

@@ -95,8 +95,14 @@ def _recent(tables: Tables, table: str, as_of: str, days: int) -> DataFrame:
     return tables[table].filter(lookback("log_date", as_of, days))
 
 
-def _by_outdoor(tables: Tables, as_of: str, days: int, keys: Keys, metrics: list[Metric]) -> DataFrame:
+# Decimals of the heating-curve columns when folded over days.
+HEATER_DIGITS = {"heater_pct": 0, "freq_avg_hz": 0, "delta_t_k": 1}
+CURVE_DIGITS = {"calc_supply_c": 1, "actual_supply_c": 1, "return_c": 1, "delta_t_k": 1, "dm_avg": 0, "heater_pct": 0}
+
+
+def _by_outdoor(tables: Tables, as_of: str, days: int, keys: Keys, digits: dict[str, int]) -> DataFrame:
     """Heating-curve rows of many days folded per outdoor degree, where there are enough samples."""
+    metrics = [Metric(c, "avg", c, digits=d) for c, d in digits.items()]
     rows = summarise(_recent(tables, "heating_curve", as_of, days), [*keys, "bt1_rounded_c"],
                      [*metrics, Metric("samples", "sum", "samples")])
     return rows.filter("samples > 50")
@@ -107,16 +113,11 @@ def heater_daily(tables: Tables, as_of: str, lookback_days: int = 7, keys: Keys
 
 
 def heater_by_outdoor(tables: Tables, as_of: str, lookback_days: int = 7, keys: Keys = ()) -> DataFrame:
-    return _by_outdoor(tables, as_of, lookback_days, keys, [
-        Metric("heater_pct", "avg", "heater_pct", digits=0),
-        Metric("freq_avg_hz", "avg", "freq_avg_hz", digits=0),
-        Metric("delta_t_k", "avg", "delta_t_k", digits=1),
-    ])
+    return _by_outdoor(tables, as_of, lookback_days, keys, HEATER_DIGITS)
 
 
 def heating_curve(tables: Tables, as_of: str, lookback_days: int = 7, keys: Keys = ()) -> DataFrame:
-    names = {"calc_supply_c": 1, "actual_supply_c": 1, "return_c": 1, "delta_t_k": 1, "dm_avg": 0, "heater_pct": 0}
-    return _by_outdoor(tables, as_of, lookback_days, keys, [Metric(c, "avg", c, digits=d) for c, d in names.items()])
+    return _by_outdoor(tables, as_of, lookback_days, keys, CURVE_DIGITS)
 
 
 def hourly_detail(tables: Tables, target_date: str, keys: Keys = ()) -> DataFrame:
@@ -213,24 +214,72 @@ def tool_json(name: str, tables: Tables, keys: Keys = (), **args) -> DataFrame:
     return json_rows(rows, _ORDER[name], keys)
 
 
+def _array(fields: str, order: list[str], source: str) -> str:
+    """SQL for a JSON array of rows, in the order of ``order`` (a leading ``-`` is descending)."""
+    names = fields.split()
+    first = [f"-{o[1:]} AS _{i}" if o.startswith("-") else f"{o} AS _{i}" for i, o in enumerate(order)]
+    shown = ", ".join(f"'{n}', r.{n}" for n in names)
+    rows = f"array_sort(collect_list(struct({', '.join([*first, *names])})))"
+    return f"(SELECT transform({rows}, r -> named_struct({shown})) FROM {source})"
+
+
+def _rounded(name: str, digits: int, how: str = "avg") -> str:
+    return f"CAST(round(CAST({how}({name}) AS DECIMAL(28,9)), {digits}) AS DOUBLE) AS {name}"
+
+
 def register_tools(spark: SparkSession, tables: Tables, as_of: str) -> list[str]:
-    """Make the lookback tools callable from SQL: ``SELECT get_daily_summary(7)``.
+    """Make all tools callable from SQL, e.g. ``SELECT get_daily_summary(7)``.
 
-    Each becomes a temporary function holding a scalar subquery over a temporary view.
+    Each becomes a temporary function holding scalar subqueries over temporary views, and
+    returns the JSON text of ``tool_json``.
     """
-    made = []
+    def view(table: str) -> str:
+        tables[table].createOrReplaceTempView(f"tool_{table}")
+        return f"tool_{table}"
+
+    recent = f"log_date >= date_sub(DATE'{as_of}', lookback_days)"
+    days, on_date = "lookback_days INT DEFAULT 7", "log_date = CAST(target_date AS DATE)"
+    made: dict[str, tuple[str, str]] = {}
     for name, (table, order, fields) in LOOKBACK_TOOLS.items():
-        view = f"tool_{table}"
-        tables[table].createOrReplaceTempView(view)
-        rest = [f for f in fields.split() if f not in order]
-        struct = ", ".join([*order, *rest])
-        spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(lookback_days INT DEFAULT 7) RETURNS STRING "
-            f"RETURN (SELECT to_json(array_sort(collect_list(struct({struct})))) FROM {view} "
-            f"WHERE log_date >= date_sub(DATE'{as_of}', lookback_days))"
+        made[name] = (days, f"to_json({_array(fields, order, f'{view(table)} WHERE {recent}')})")
+    hours = f"{view('hourly_detail')} WHERE {on_date}"
+    made["get_hourly_detail"] = ("target_date STRING", f"to_json({_array(HOURLY_FIELDS, ['hour'], hours)})")
+
+    def by_outdoor(digits: dict[str, int]) -> str:
+        folded = ", ".join(_rounded(c, d) for c, d in digits.items())
+        source = (
+            f"(SELECT bt1_rounded_c, {folded}, sum(samples) AS samples FROM {view('heating_curve')} WHERE {recent} "
+            "GROUP BY bt1_rounded_c HAVING sum(samples) > 50)"
         )
-        made.append(name)
-    return made
+        return _array(" ".join(["bt1_rounded_c", *digits, "samples"]), ["bt1_rounded_c"], source)
+
+    made["get_heating_curve"] = (days, f"to_json({by_outdoor(CURVE_DIGITS)})")
+    daily = _array(HEATER_FIELDS, ["log_date"], f"{view('daily_summary')} WHERE {recent}")
+    made["get_heater_analysis"] = (
+        days, f"to_json(named_struct('daily', {daily}, 'by_outdoor_temp', {by_outdoor(HEATER_DIGITS)}))"
+    )
+    score = " + ".join(f"CASE WHEN {cond} THEN {points} ELSE 0 END" for cond, points in CYCLE_PROBLEMS)
+    ranked = (
+        f"(SELECT * FROM (SELECT *, row_number() OVER (ORDER BY problem_score DESC, cycle_id) AS _rn FROM "
+        f"(SELECT *, {score} AS problem_score FROM {view('cycles')} WHERE {on_date})) WHERE _rn <= top_n)"
+    )
+    made["get_worst_cycles"] = (
+        "target_date STRING, top_n INT DEFAULT 10",
+        f"to_json({_array(WORST_FIELDS + ' problem_score', ['-problem_score', 'cycle_id'], ranked)})",
+    )
+    compared = ", ".join(m.sql() + f" AS {m.name}" for m in COMPARED)
+    periods = " UNION ALL ".join(
+        f"SELECT 'period_{i}' AS period, {compared} FROM {view('daily_summary')} "
+        f"WHERE log_date BETWEEN CAST(p{i}_start AS DATE) AND CAST(p{i}_end AS DATE)" for i in (1, 2)
+    )
+    fields = "period " + " ".join(m.name for m in COMPARED)
+    made["get_period_comparison"] = (
+        "p1_start STRING, p1_end STRING, p2_start STRING, p2_end STRING",
+        f"to_json({_array(fields, ['period'], f'({periods})')})",
+    )
+    for name, (args, body) in made.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS STRING RETURN {body}")
+    return list(made)
 
 
 def known_tools(spark: SparkSession) -> DataFrame:

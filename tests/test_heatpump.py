@@ -175,10 +175,21 @@ def test_tool_json_and_sql_functions(spark, samples):
     assert len(worst) == 2 and worst[0]["problem_score"] >= worst[1]["problem_score"]
     assert json.loads(tools.tool_json("get_daily_summary", tables, as_of="2025-01-01").first()[0]) == []
     made = tools.register_tools(spark, tables, "2024-01-12")
-    assert len(made) == 9
-    answer = json.loads(spark.sql("SELECT get_data_quality(7)").first()[0])
-    assert [a["log_date"] for a in answer] == ["2024-01-10", "2024-01-11"]
-    assert len(tools.TOOL_NAMES) == 14
+    assert sorted(made) == sorted(tools.TOOL_NAMES) and len(made) == 14
+    assert {r["name"] for r in tools.known_tools(spark).collect()} == set(made)
+    periods = ("2024-01-10", "2024-01-10"), ("2024-01-10", "2024-01-11")
+    calls = {
+        "get_hourly_detail": ("'2024-01-10'", dict(target_date="2024-01-10")),
+        "get_worst_cycles": ("'2024-01-10', 2", dict(target_date="2024-01-10", top_n=2)),
+        "get_period_comparison": ("'2024-01-10', '2024-01-10', '2024-01-10', '2024-01-11'", dict(p1=periods[0], p2=periods[1])),
+    }
+    for name in made:
+        args, named = calls.get(name, ("7", dict(as_of="2024-01-12", lookback_days=7)))
+        by_sql = json.loads(spark.sql(f"SELECT {name}({args})").first()[0])
+        by_frame = json.loads(tools.tool_json(name, tables, **named).first()[0])
+        if name == "get_period_comparison":
+            by_frame = [{k: v for k, v in row.items() if k != "comparable_weather"} for row in by_frame]
+        assert by_sql == by_frame, name
 
 
 def test_devices_are_kept_apart(samples):
