@@ -31,6 +31,8 @@ class Series:
     """How rows are ordered: restart at ``keys``, order by ``ts`` then ``tie``.
 
     ``keys`` must not be NULL.  ``tie`` is only needed where ``ts`` repeats.
+    ``chunk_seconds`` should give the usual series tens of rows per chunk: the border table
+    has one row per chunk, the largest task one chunk of the densest series.
     ``count_keys`` (a part of ``keys``) lets edge numbers run on over the other keys: with
     keys (device, day) and count_keys (device,) edges are numbered over all days, while
     every day still starts afresh.  The other keys must follow from ``ts``.

@@ -116,11 +116,12 @@ def cycles_per_device(spark, sf_dir):
 
 @query
 def cycle_summary(spark, sf_dir):
-    return gold.cycle_summary(gold.cycles(pump(spark, sf_dir)))
+    return pump_tables(spark, sf_dir).build("cycle_summary")
 
 
 class PumpTables(Mapping):
-    """Summary tables by name, each planned only when asked for."""
+    """Summary tables by name, each written when first asked for: what query functions, reports
+    and alerts read, as in a pipeline."""
 
     NAMES = (
         "daily_summary flow_quality heating_curve data_quality alarm_episodes defrost_cycles dhw_cycles hourly_detail "
@@ -128,9 +129,9 @@ class PumpTables(Mapping):
     ).split()
 
     def __init__(self, spark, sf_dir):
-        self.samples = pump(spark, sf_dir)
+        self.spark, self.sf_dir = spark, sf_dir
 
-    def __getitem__(self, name: str) -> DataFrame:
+    def build(self, name: str) -> DataFrame:
         if name == "cycle_summary":
             return gold.cycle_summary(self["cycles"])
         if name == "ml_features":
@@ -138,9 +139,12 @@ class PumpTables(Mapping):
                 "daily_summary", "flow_quality", "heating_curve", "cycle_summary", "data_quality")])
         if name == "anomaly_rules":
             return gold.anomaly_rules(self["ml_features"])
+        return getattr(gold, name)(pump(self.spark, self.sf_dir))
+
+    def __getitem__(self, name: str) -> DataFrame:
         if name not in self.NAMES:
             raise KeyError(name)
-        return getattr(gold, name)(self.samples)
+        return staged(self.spark, self.sf_dir, f"gold_{name}", lambda: self.build(name))
 
     def __iter__(self):
         return iter(self.NAMES)
@@ -151,27 +155,27 @@ class PumpTables(Mapping):
 
 pump_tables = PumpTables
 
-_add("ml_features", lambda spark, sf_dir: pump_tables(spark, sf_dir)["ml_features"])
-_add("anomaly_rules", lambda spark, sf_dir: pump_tables(spark, sf_dir)["anomaly_rules"])
+_add("ml_features", lambda spark, sf_dir: pump_tables(spark, sf_dir).build("ml_features"))
+_add("anomaly_rules", lambda spark, sf_dir: pump_tables(spark, sf_dir).build("anomaly_rules"))
 
 
 @query
 def extended_rules(spark, sf_dir):
-    s = pump(spark, sf_dir)
-    return gold.extended_rules(gold.daily_summary(s), gold.defrost_cycles(s), gold.dhw_cycles(s))
+    tables = pump_tables(spark, sf_dir)
+    return gold.extended_rules(tables["daily_summary"], tables["defrost_cycles"], tables["dhw_cycles"])
 
 
 @query
 def explained_alarms(spark, sf_dir):
-    return gold.explain_alarms(gold.alarm_episodes(pump(spark, sf_dir))).select(
+    return gold.explain_alarms(pump_tables(spark, sf_dir)["alarm_episodes"]).select(
         "log_date", "episode_id", "alarm_number", "description", "severity"
     )
 
 
 @query
 def alerts(spark, sf_dir):
-    s = pump(spark, sf_dir)
-    return gold.alerts(gold.daily_summary(s), gold.data_quality(s), AS_OF)
+    tables = pump_tables(spark, sf_dir)
+    return gold.alerts(tables["daily_summary"], tables["data_quality"], AS_OF)
 
 
 # tools: typed rows
@@ -208,18 +212,18 @@ def heater_analysis_json(spark, sf_dir):
 
 
 # reports
-_add("pump_kpis", lambda spark, sf_dir: reports.kpis(gold.hourly_detail(pump(spark, sf_dir))))
-_add("pump_daily_trend", lambda spark, sf_dir: reports.daily_trend(gold.hourly_detail(pump(spark, sf_dir))))
-_add("alarm_list", lambda spark, sf_dir: reports.alarm_list(gold.alarm_episodes(pump(spark, sf_dir))).drop("start_time_str"))
-_add("quality_list", lambda spark, sf_dir: reports.quality_list(gold.data_quality(pump(spark, sf_dir))))
-_add("flow_by_band", lambda spark, sf_dir: reports.flow_by_band(gold.flow_quality(pump(spark, sf_dir)), AS_OF, 14))
-_add("flow_by_band_fallback", lambda spark, sf_dir: reports.flow_by_band(gold.flow_quality(pump(spark, sf_dir)), "2025-01-01", 14))
-_add("kpi_strip", lambda spark, sf_dir: reports.kpi_strip(gold.daily_summary(pump(spark, sf_dir)), AS_OF, 14))
+_add("pump_kpis", lambda spark, sf_dir: reports.kpis(pump_tables(spark, sf_dir)["hourly_detail"]))
+_add("pump_daily_trend", lambda spark, sf_dir: reports.daily_trend(pump_tables(spark, sf_dir)["hourly_detail"]))
+_add("alarm_list", lambda spark, sf_dir: reports.alarm_list(pump_tables(spark, sf_dir)["alarm_episodes"]).drop("start_time_str"))
+_add("quality_list", lambda spark, sf_dir: reports.quality_list(pump_tables(spark, sf_dir)["data_quality"]))
+_add("flow_by_band", lambda spark, sf_dir: reports.flow_by_band(pump_tables(spark, sf_dir)["flow_quality"], AS_OF, 14))
+_add("flow_by_band_fallback", lambda spark, sf_dir: reports.flow_by_band(pump_tables(spark, sf_dir)["flow_quality"], "2025-01-01", 14))
+_add("kpi_strip", lambda spark, sf_dir: reports.kpi_strip(pump_tables(spark, sf_dir)["daily_summary"], AS_OF, 14))
 _add("raw_window", lambda spark, sf_dir: reports.raw_window(
     pump(spark, sf_dir), DAY, 9, ["bt25_supply_c", "bt71_return_c", "compr_freq_act_hz"]))
 _add("minute_averages", lambda spark, sf_dir: reports.minute_averages(
     pump(spark, sf_dir), "2024-01-01", "2024-12-31", ["bt25_supply_c", "bt71_return_c", "compr_freq_act_hz"]))
-_add("latest_quality", lambda spark, sf_dir: reports.latest_quality(gold.data_quality(pump(spark, sf_dir))))
+_add("latest_quality", lambda spark, sf_dir: reports.latest_quality(pump_tables(spark, sf_dir)["data_quality"]))
 
 
 # -- call-detail records ---------------------------------------------------------------
@@ -435,7 +439,7 @@ def props_parsed(spark, sf_dir):
 
 @query
 def error_starts(spark, sf_dir):
-    s = series.Series(("user_id", "day"), "ts", ("event_id",))
+    s = series.Series(("user_id", "day"), "ts", ("event_id",), chunk_seconds=14_400)
     return series.scan(user_day(spark, sf_dir), s, ["event_type"], {
         "start": series.rising(is_error), "stop": series.falling(is_error),
     }).select("event_id", "user_id", "start", "stop", "start_no", "stop_no", "stop_at")
