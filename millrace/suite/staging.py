@@ -28,7 +28,6 @@ def staged(
 ) -> DataFrame:
     path = f"{stage_root(spark, sf_dir)}/{name}"
     if path not in _written:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions")) if cluster_by else None
-        write_table(build(), path, cluster_by=cluster_by, clusters=parts)
+        write_table(build(), path, cluster_by=cluster_by)
         _written.add(path)
     return spark.read.parquet(path)
