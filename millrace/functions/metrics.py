@@ -117,7 +117,7 @@ def summarise(df: DataFrame, keys: Sequence[str | Column], metrics: Sequence[Met
 def _attach(main: DataFrame, part: DataFrame, names: Sequence[str]) -> DataFrame:
     """Join two summaries with one row per group on keys that may be NULL."""
     if not names:
-        return main.crossJoin(F.broadcast(part))  # one row each
+        return main.withColumns({c: part.select(c).scalar() for c in part.columns})  # one row each
     right = part.withColumnsRenamed({n: f"_k_{n}" for n in names})
     on = [main[n].eqNullSafe(right[f"_k_{n}"]) for n in names]
     return main.join(right, on, "left").drop(*[f"_k_{n}" for n in names])

@@ -125,11 +125,8 @@ def label_first(df: DataFrame, cases: Sequence[tuple[str, str]], out: str) -> Da
 def share_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key and their share of all rows in percent."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"))
-    total = counts.agg(F.sum("records").alias("_total"))
-    # the total is one row, whatever the data
-    return counts.crossJoin(F.broadcast(total)).select(
-        *keys, "records", (F.col("records") * F.lit(100.0) / F.col("_total")).alias("pct")
-    )
+    total = counts.agg(F.sum("records")).scalar()  # one value, whatever the data
+    return counts.select(*keys, "records", (F.col("records") * F.lit(100.0) / total).alias("pct"))
 
 
 __all__ = [

@@ -286,10 +286,10 @@ def type_distribution(cdrs: Tables) -> DataFrame:
         )
         for kind, df in cdrs.items()
     ])
-    total = per_type.agg(F.sum("records").alias("_total"))
-    return per_type.crossJoin(F.broadcast(total)).select(  # one row
+    total = per_type.agg(F.sum("records")).scalar()
+    return per_type.select(
         "cdr_type", "records", "anomalies",
-        F.try_divide(F.col("records") * F.lit(100.0), F.col("_total")).alias("pct"),
+        F.try_divide(F.col("records") * F.lit(100.0), total).alias("pct"),
         F.try_divide(F.col("anomalies") * F.lit(100.0), F.col("records")).alias("anomaly_pct"),
     )
 

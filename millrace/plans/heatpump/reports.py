@@ -64,7 +64,7 @@ def flow_by_band(flow: DataFrame, as_of: str, days: int, keys: Keys = ()) -> Dat
         F.sum("heater_pct").alias("_h"), F.count("heater_pct").alias("_hn"), F.sum("samples").alias("_s"),
     )
     any_recent = parts.groupBy(*keys).agg(F.max("_recent").alias("_any"))
-    joined = parts.join(any_recent, list(keys)) if keys else parts.crossJoin(F.broadcast(any_recent))
+    joined = parts.join(any_recent, list(keys)) if keys else parts.withColumn("_any", any_recent.scalar())
     return (
         joined.filter(F.col("_recent") | ~F.col("_any"))
         .groupBy(*keys, "freq_band")

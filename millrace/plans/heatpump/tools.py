@@ -162,7 +162,10 @@ def period_comparison(
         (F.max("outdoor_avg_c") - F.min("outdoor_avg_c")).alias("_gap"), F.count("outdoor_avg_c").alias("_n")
     )
     comparable = F.when(F.col("_n") == 2, rnd("_gap", 6) <= F.lit(max_weather_gap_k))
-    joined = both.join(spread, list(keys)) if keys else both.crossJoin(F.broadcast(spread))  # one row each side
+    if keys:
+        joined = both.join(spread, list(keys))
+    else:
+        joined = both.withColumns({c: spread.select(c).scalar() for c in ("_gap", "_n")})
     return joined.withColumn("comparable_weather", comparable).drop("_gap", "_n")
 
 
@@ -202,7 +205,10 @@ def tool_json(name: str, tables: Tables, keys: Keys = (), **args) -> DataFrame:
         by_temp = json_rows(
             tool(name, tables, keys=keys, part="by_outdoor_temp", **args), ["bt1_rounded_c"], keys, "by_outdoor_temp"
         )
-        joined = daily.join(by_temp, list(keys), "full") if keys else daily.crossJoin(F.broadcast(by_temp))
+        if keys:
+            joined = daily.join(by_temp, list(keys), "full")
+        else:
+            joined = daily.withColumn("by_outdoor_temp", by_temp.scalar())
         empty = F.lit("[]")
         return joined.select(*keys, F.concat(
             F.lit('{"daily":'), F.coalesce("daily", empty),
