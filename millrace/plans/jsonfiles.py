@@ -12,7 +12,7 @@ from millrace.sources.files import base_name, read_json
 
 RECORD_SCHEMA = "DOLocationID int, PULocationID int, fare_amount double, total_amount double"
 REQUIRED_ANY = ("DOLocationID", "PULocationID", "fare_amount", "total_amount")
-METHOD = "streaming_dlt_pipeline"
+METHOD = "streaming_dlt_pipeline"  # fixed value of the ingestion_method column
 
 NOT_RESCUED = Expectation("valid_data", "_rescued_data IS NULL OR _rescued_data = ''")
 NOT_EMPTY = Expectation("non_empty_record", " OR ".join(f"{c} IS NOT NULL" for c in REQUIRED_ANY))
