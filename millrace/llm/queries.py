@@ -1,0 +1,56 @@
+"""Registered queries of the text operators, with their reference SQL where SQL can say it."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.llm import byte_bpe, language, quality, token_counts, token_files
+from millrace.llm.common import fresh_path, ready
+
+QUERIES = {}
+ORACLE = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query
+def op1_token_counts(spark, sf_dir):
+    """Tokens per document through a digest cache that starts empty."""
+    docs = table(spark, sf_dir, "documents")
+    counted = token_counts.count_tokens(docs, fresh_path(spark, "token-cache"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    """Language of every document by error-correcting output codes."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
+@query
+def op6_byte_bpe(spark, sf_dir):
+    """Byte-level BPE ids of every document, and the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op8_token_files(spark, sf_dir):
+    """Ids of every document from compressed shards with an offset index."""
+    return token_files.store(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
+@query
+def op10_quality(spark, sf_dir):
+    """Quality score of every document by a hashed n-gram logistic regression."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
