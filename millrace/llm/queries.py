@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, language, quality, token_counts, token_files
+from millrace.llm import byte_bpe, decontaminate, fingerprints, language, near_duplicates, quality, token_counts, token_files
 from millrace.llm.common import fresh_path, ready
 
 QUERIES = {}
@@ -36,6 +36,12 @@ def op3_language_id(spark, sf_dir):
     return language.identify(docs, language.fit(docs))
 
 
+@query
+def op5_decontamination(spark, sf_dir):
+    """Words of every document inside windows of benchmark items."""
+    return decontaminate.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_byte_bpe(spark, sf_dir):
     """Byte-level BPE ids of every document, and the bytes they decode to."""
@@ -43,12 +49,24 @@ def op6_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op7_near_duplicates(spark, sf_dir):
+    """Class of near-duplicates of every document."""
+    return near_duplicates.group(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_files(spark, sf_dir):
     """Ids of every document from compressed shards with an offset index."""
     return token_files.store(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
+@query
+def op9_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text; how many lie within the radius of every 20th."""
+    return fingerprints.search(fingerprints.edit_and_compare(table(spark, sf_dir, "documents")))
+
+
 @query
 def op10_quality(spark, sf_dir):
     """Quality score of every document by a hashed n-gram logistic regression."""
