@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, decontaminate, fingerprints, language, near_duplicates, quality, token_counts, token_files
+from millrace.llm import byte_bpe, decontaminate, fingerprints, language, near_duplicates, pii, quality, token_counts, token_files
 from millrace.llm.common import fresh_path, ready
 
 QUERIES = {}
@@ -36,6 +36,13 @@ def op3_language_id(spark, sf_dir):
     return language.identify(docs, language.fit(docs))
 
 
+@query
+def op4_pii(spark, sf_dir):
+    """Personal data in every document: pattern matches and spans that boosted trees add."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.measure(docs, pii.fit(docs))
+
+
 @query
 def op5_decontamination(spark, sf_dir):
     """Words of every document inside windows of benchmark items."""
