@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, decontaminate, fingerprints, language, near_duplicates, pii, quality, token_counts, token_files
+from millrace.llm import byte_bpe, decontaminate, fingerprints, language, near_duplicates, pii, quality, token_counts, token_files, url_filters
 from millrace.llm.common import fresh_path, ready
 
 QUERIES = {}
@@ -79,3 +80,62 @@ def op10_quality(spark, sf_dir):
     """Quality score of every document by a hashed n-gram logistic regression."""
     docs = table(spark, sf_dir, "documents")
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_url_filters(spark, sf_dir):
+    """Every page against the list entries that were active when it was fetched."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filters.judge(url_filters.captures_of(pages), url_filters.lists_of(pages)).withColumnRenamed("id", "page_id")
+
+
+_number = "('0x' || substr(md5({}), 1, 6))::BIGINT"
+_host = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1))"
+_path = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+_dated = """
+SELECT '{name}' list, '{kind}' kind, pattern, s.action, TIMESTAMP '2022-01-01' + to_days(CAST(n % 500 + s.days AS INT)) moment
+FROM (SELECT pattern, n, unnest([{{'action': 'add', 'days': 0, 'valid': true}}, {{'action': 'remove', 'days': n % 150 + 1, 'valid': n % 2 = 0}},
+                              {{'action': 'add', 'days': n % 150 + 200, 'valid': n % 4 = 0}}, {{'action': 'remove', 'days': n % 150 + 200, 'valid': n % 8 = 0}}]) s
+      FROM (SELECT DISTINCT {kind} pattern, {number} n FROM parts)) WHERE n % {every} = 0 AND s.valid"""
+ORACLE["op2_url_filters"] = f"""
+WITH parts AS (
+  SELECT host, array_to_string(string_split(host, '.')[-2:], '.') "domain", lower(host || '/' || regexp_extract(p, '^/([^/]+)', 1)) prefix
+  FROM (SELECT {_host} host, {_path} p FROM pages) WHERE host <> '' AND len(string_split(host, '.')) > 1),
+entries AS ({" UNION ALL ".join(
+    _dated.format(name=name, kind=kind, every=every, number=_number.format(f"'{name}' || {kind}"))
+    for name, kind, every in (("spam", "host", 3), ("adult", '"domain"', 2), ("malware", "prefix", 5))
+).replace("'\"domain\"'", "'domain'")}),
+captures AS (
+  SELECT page_id, {_host} host, {_path} p, TIMESTAMP '2022-01-01' + to_days(CAST(n % 1000 AS INT)) + to_seconds(n % 86400) fetched_at
+  FROM (SELECT *, {_number.format("concat_ws('|', page_id, url)")} n FROM pages)),
+shown AS (
+  SELECT page_id, fetched_at, 'host' kind, host pattern FROM captures
+  UNION ALL SELECT page_id, fetched_at, 'domain', unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.'))) FROM captures
+  UNION ALL SELECT page_id, fetched_at, 'prefix', unnest(list_transform(range(1, len(s) + 1), lambda i: lower(host || '/' || array_to_string(s[1:i], '/'))))
+            FROM (SELECT *, list_filter(string_split(p, '/'), lambda x: x <> '') s FROM captures)),
+states AS (
+  SELECT s.page_id, s.kind, s.pattern, e.list, arg_max(e.action, (e.moment, e.action)) action
+  FROM shown s JOIN entries e ON e.kind = s.kind AND e.pattern = s.pattern AND e.moment <= s.fetched_at GROUP BY ALL),
+found AS (SELECT page_id, list_sort(list_distinct(list(list))) lists FROM states WHERE action = 'add' GROUP BY page_id)
+SELECT page_id, lists IS NOT NULL blocked, CAST(coalesce(len(lists), 0) AS BIGINT) n_lists, coalesce(array_to_string(lists, ','), '') lists
+FROM pages LEFT JOIN found USING (page_id)"""
+
+ORACLE["op5_decontamination"] = r"""
+WITH d AS (SELECT row_number() OVER () rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) n, array_to_string(w[j:j + least(len(w), 10) - 1], ' ') win
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) j FROM i WHERE len(w) > 0)),
+shown AS (
+  SELECT rid, j, n, array_to_string(w[j:j + n - 1], ' ') win
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) j FROM d CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT * FROM shown SEMI JOIN windows USING (n, win)),
+covered AS (SELECT rid, count(DISTINCT p) n_hit FROM (SELECT rid, unnest(range(j, j + n)) p FROM hits) GROUP BY rid),
+items AS (SELECT rid, list_sort(list_distinct(list(item_id::VARCHAR))) ids FROM hits JOIN windows USING (n, win) WHERE item_id IS NOT NULL GROUP BY rid)
+SELECT doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(len(ids), 0)::BIGINT n_items, sha256(coalesce(array_to_string(ids, ','), '')) items_sha256, n_hit IS NOT NULL contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)"""
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
