@@ -90,15 +90,15 @@ def sketches(own: np.ndarray) -> np.ndarray:
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Aligned shingles over all of both; exact from ``least`` on, else some value below it."""
     n, m = len(a), len(b)
-    if not n or not m or min(n, m) < least * max(n, m):
+    if not n or not m or min(n, m) < least * max(n, m) - 1e-6:
         return 0.0
     order = np.argsort(a)
     found = np.minimum(np.searchsorted(a[order], b), n - 1)
     there = a[order[found]] == b
     at, own = order[found[there]], np.flatnonzero(there)
-    band = (n + m) * (1 - least) / (1 + least)  # an acceptable alignment skips no more in all
+    band = (n + m) * (1 - least) / (1 + least) + 1e-6  # an acceptable alignment skips no more in all
     at = at[np.abs(at - own) <= band]
-    if len(at) < least * (n + m - len(at)):
+    if len(at) < least * (n + m - len(at)) - 1e-6:
         return 0.0
     tails: list[int] = []
     for x in at.tolist():
