@@ -17,6 +17,6 @@ def scd1(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFra
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per business key.  Map-side cut to one row per key, as in ``latest``."""
+    """First row per key.  Map-side cut to one row per key, as in ``latest``."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

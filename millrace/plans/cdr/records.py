@@ -262,6 +262,11 @@ def user_events(raw: DataFrame) -> DataFrame:
     parsed = parse_json(raw, "_raw_json", USER_SCHEMA, {
         "_kafka_timestamp": "_updated_at", "_offset": "_kafka_offset", "_ingested_at": "_ingested_at",
     }).filter(F.col("user_id").isNotNull())
+    return fold_user(parsed)
+
+
+def fold_user(parsed: DataFrame) -> DataFrame:
+    """Both payload forms of a user under the flat names."""
     return parsed.withColumns({
         "city": F.coalesce("city", "location.city"),
         "state": F.coalesce("state", "location.state"),
@@ -279,18 +284,31 @@ def users(events: DataFrame, sequence: Sequence[str] = USER_SEQUENCE) -> DataFra
 
 # -- cleaned layer, third form: dates, derived columns, de-duplicated ------------
 
-# Business key of each type.  Reference numbers repeat, so the sequence
-# number, or the start time where there is none, is part of the key.
+# Business key of each type.
 BUSINESS_KEYS = {
-    "voice": ("callReferenceNumber", "recordSequenceNumber"),
-    "data_usage": ("chargingID", "recordSequenceNumber"),
-    "sms": ("smsReferenceNumber", "recordSequenceNumber"),
-    "voip": ("chargeID", "sessionStartTime_ts"),
-    "ims": ("chargeID", "sessionStartTime_ts"),
-    "mms": ("mmsReferenceNumber", "eventTimestamp_ts"),
-    "roaming": ("imsi", "callEventStartTime_ts", "calledPartyNumber"),
-    "wifi_calling": ("chargeID", "sessionStartTime_ts"),
+    "voice": "callReferenceNumber",
+    "data_usage": "chargingID",
+    "sms": "smsReferenceNumber",
+    "voip": "chargeID",
+    "ims": "chargeID",
+    "mms": "mmsReferenceNumber",
+    "roaming": "calledPartyNumber",
+    "wifi_calling": "chargeID",
 }
+
+
+def record_key(kind: str) -> list[str]:
+    """What only a redelivery repeats: subscriber, start, business key, sequence number.
+
+    Reference numbers come round again, so they are no key alone.  Where a record has no
+    sequence number the digest of its payload stands for it.
+    """
+    schema = SCHEMAS[kind]
+    key = [c for c in ("user_id", "imsi") if f" {c} string" in f" {schema}"]
+    key += [f"{TIMES[kind][0]}_ts", BUSINESS_KEYS[kind]]
+    return key + ["recordSequenceNumber"] * ("recordSequenceNumber" in schema) + ["_payload"]
+
+
 DURATIONS = {
     "voice": "callDuration", "data_usage": "duration", "voip": "sessionDuration", "ims": "sessionDuration",
     "roaming": "callDuration", "wifi_calling": "sessionDuration",
@@ -307,7 +325,8 @@ def strict_rules(kind: str) -> list[Expectation]:
             Expectation("valid_imsi", "imsi IS NOT NULL"),
             Expectation("imsi_length", "length(imsi) = 15", "warn"),
         ]
-    rules += [Expectation(f"valid_{k}", f"{k} IS NOT NULL") for k in BUSINESS_KEYS[kind][:1] if k != "imsi"]
+    if kind != "roaming":
+        rules.append(Expectation(f"valid_{BUSINESS_KEYS[kind]}", f"{BUSINESS_KEYS[kind]} IS NOT NULL"))
     if kind in DURATIONS:
         rules.append(Expectation("valid_duration", f"{DURATIONS[kind]} >= 0"))
     if kind == "data_usage":
@@ -317,9 +336,9 @@ def strict_rules(kind: str) -> list[Expectation]:
     return rules
 
 
-def strict_unchecked(raw: DataFrame, kind: str) -> DataFrame:
-    """``raw`` is an ``offset`` envelope table."""
-    parsed = parse_json(raw, "raw_data", SCHEMAS[kind], ["_kafka_offset", "_kafka_timestamp", "_ingested_at"])
+def strict_unchecked(raw: DataFrame, kind: str, *keep: str) -> DataFrame:
+    """``raw`` is an ``offset`` envelope table.  Map-only: batch and streaming alike."""
+    parsed = parse_json(raw, "raw_data", SCHEMAS[kind], ["_kafka_offset", "_kafka_timestamp", "_ingested_at", *keep])
     out = epoch_columns(parsed, TIMES[kind])
     time = F.col(f"{TIMES[kind][0]}_ts")
     out = out.withColumns({
@@ -333,17 +352,31 @@ def strict_unchecked(raw: DataFrame, kind: str) -> DataFrame:
     return out
 
 
+def strict_valid(raw: DataFrame, kind: str) -> DataFrame:
+    """Checked records with the columns of ``record_key``."""
+    valid = keep_valid(strict_unchecked(raw, kind, "raw_data"), strict_rules(kind))
+    payload = F.sha2("raw_data", 256)
+    if "recordSequenceNumber" in SCHEMAS[kind]:
+        payload = F.when(F.col("recordSequenceNumber").isNull(), payload)
+    return valid.withColumn("_payload", payload).drop("raw_data")
+
+
 def strict(raw: DataFrame, kind: str) -> DataFrame:
-    """Checked and de-duplicated (the earliest offset of a business key stays).  Batch."""
-    valid = keep_valid(strict_unchecked(raw, kind), strict_rules(kind))
-    return cdc.dedup(valid, BUSINESS_KEYS[kind], ["_kafka_offset"])
+    """Checked records; of several deliveries of one record the earliest stays.  Batch."""
+    return cdc.dedup(strict_valid(raw, kind), record_key(kind), ["_kafka_offset"]).drop("_payload")
+
+
+STRICT_USER_RULES = [
+    USER_ID, Expectation("valid_imsi", "imsi IS NOT NULL"), Expectation("imsi_length", "length(imsi) = 15", "warn"),
+]
 
 
 def strict_users(raw: DataFrame) -> DataFrame:
-    """Latest version per user by message offset.
+    """Latest valid version per user by message offset, nested location folded.
 
     Offsets order messages inside one partition; the key is the user, so all versions of a
     user share a partition.
     """
     parsed = parse_json(raw, "raw_data", USER_SCHEMA, ["_kafka_offset", "_ingested_at"])
-    return cdc.scd1(parsed.filter(F.col("user_id").isNotNull()), ["user_id"], ["_kafka_offset"])
+    valid = keep_valid(fold_user(parsed), STRICT_USER_RULES).withColumn("_updated_at", F.current_timestamp())
+    return cdc.scd1(valid, ["user_id"], ["_kafka_offset"])

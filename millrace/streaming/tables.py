@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.cdc import scd1
+from millrace.operators.cdc import dedup, scd1
 
 
 def append_stream(
@@ -33,53 +32,80 @@ class KeyedTable:
 
     Each micro-batch appends only its own winners, one folder per batch id, so the cost of
     a batch follows the batch and not the table.  A replayed batch overwrites its own
-    folder.  Readers take the latest row per key over the newest snapshot and the changes
-    after it; ``compact`` writes such a snapshot.  Arrival order does not matter: winners
-    are chosen by ``sequence``.
+    folder, or is skipped where a snapshot holds it already.  After ``compact_after`` folders
+    the state is written as a snapshot; the folders and the snapshot it replaces are removed
+    once the next snapshot stands, so a reader that started before still finds its files.
+    Readers take the latest row per key over the newest snapshot and the folders after it:
+    at most ``2 * compact_after`` folders, however long the stream runs.  Arrival order does
+    not matter: winners are chosen by ``sequence``.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], sequence: Sequence[str]):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], sequence: Sequence[str], compact_after: int = 20):
+        self.spark, self.path, self.compact_after = spark, path.rstrip("/"), compact_after
         self.keys, self.sequence = list(keys), list(sequence)
 
+    def _numbers(self, folder: str) -> list[int]:
+        """Finished tables below a folder, by number."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        done = [s.getPath() for s in fs.listStatus(root) if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+        return sorted(int(p.getName()) for p in done)
+
+    def _remove(self, folder: str, number: int) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/{number}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        winners = scd1(batch, self.keys, self.sequence)
-        winners.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+        snapshots = self._numbers("snapshots")
+        if snapshots and batch_id <= snapshots[-1]:
+            return
+        scd1(batch, self.keys, self.sequence).write.mode("overwrite").parquet(f"{self.path}/changes/{batch_id}")
+        since = snapshots[-1] if snapshots else -1
+        if sum(n > since for n in self._numbers("changes")) >= self.compact_after:
+            self.compact()
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: str = "available", every: str = "1 minute") -> StreamingQuery:
         writer = stream.writeStream.foreachBatch(self.write_batch).option("checkpointLocation", checkpoint)
         writer = writer.trigger(availableNow=True) if trigger == "available" else writer.trigger(processingTime=every)
         return writer.start()
 
-    def _changes(self) -> DataFrame:
-        return self.spark.read.option("basePath", f"{self.path}/changes").parquet(f"{self.path}/changes")
-
-    def read(self, snapshot: int | None = None) -> DataFrame:
-        """Current rows.  ``snapshot`` is the batch id up to which a snapshot was written."""
-        rows = self._changes()
-        if snapshot is not None:
-            base = self.spark.read.parquet(f"{self.path}/snapshot-{snapshot}")
-            rows = base.unionByName(rows.filter(F.col("batch_id") > snapshot).drop("batch_id"))
-        else:
-            rows = rows.drop("batch_id")
-        return scd1(rows, self.keys, self.sequence)
-
-    def compact(self, through: int, since: int | None = None) -> int:
-        """Write the state up to batch ``through`` as a snapshot, starting from snapshot ``since``."""
-        rows = self._changes().filter(F.col("batch_id") <= through)
-        if since is not None:
-            base = self.spark.read.parquet(f"{self.path}/snapshot-{since}")
-            rows = base.unionByName(rows.filter(F.col("batch_id") > since).drop("batch_id"))
-        else:
-            rows = rows.drop("batch_id")
-        scd1(rows, self.keys, self.sequence).write.mode("overwrite").parquet(f"{self.path}/snapshot-{through}")
+    def read(self) -> DataFrame:
+        """Current rows."""
+        snapshots = self._numbers("snapshots")
+        since = snapshots[-1] if snapshots else -1
+        paths = [f"{self.path}/snapshots/{since}"] * bool(snapshots)
+        paths += [f"{self.path}/changes/{n}" for n in self._numbers("changes") if n > since]
+        return scd1(self.spark.read.parquet(*paths), self.keys, self.sequence)
+
+    def compact(self) -> int:
+        """Write the current rows as a snapshot, named by the last batch in it; retire what older ones replaced."""
+        old, through = self._numbers("snapshots"), self._numbers("changes")[-1]
+        self.read().write.mode("overwrite").parquet(f"{self.path}/snapshots/{through}")
+        if old:
+            for n in self._numbers("changes"):
+                if n <= old[-1]:
+                    self._remove("changes", n)
+            for n in old[:-1]:
+                self._remove("snapshots", n)
         return through
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 day") -> DataFrame:
-    """First row per key while the watermark is open; state is dropped after ``delay``.
+def dedup_stream(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, checkpoint: str,
+    trigger: str = "available", every: str = "1 minute",
+) -> StreamingQuery:
+    """Append the first row per key of each micro-batch, one folder per batch.
 
-    Rows older than the watermark are discarded by Spark; it reports how many in the
-    query progress (``numRowsDroppedByWatermark``).
+    No row is lost for being late, and no state is kept: a record delivered again within its
+    micro-batch goes, one that comes in a later batch is left to ``cdc.dedup`` over the table.
+    A replayed batch overwrites its folder.
     """
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        dedup(batch, keys, order).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if trigger == "available" else writer.trigger(processingTime=every)
+    return writer.start()

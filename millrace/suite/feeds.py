@@ -149,7 +149,7 @@ CDR_FIELDS = {
         "chargeID": _text("1 + c % 10000"),
         "callChargeableDuration": _CALL_SECONDS,
         "tariffClass": _one_of("u", "standard", "premium"),
-        "recordSequenceNumber": "e % 7",
+        "recordSequenceNumber": "CASE WHEN c % 233 = 0 THEN NULL ELSE e % 7 END",
         **_anomaly("dropped_call", "failed_connection", "poor_quality"),
     },
     "data_usage": {
@@ -165,7 +165,7 @@ CDR_FIELDS = {
         "ratType": _one_of("c", "GERAN", "UTRAN", "EUTRAN", "NR", "WLAN", "GAN", "HSPA"),
         "chargingID": _text("c % 700"),
         "qci": _text("c % 11"),
-        "recordSequenceNumber": "e % 5",
+        "recordSequenceNumber": "CASE WHEN c % 233 = 0 THEN NULL ELSE e % 5 END",
         "causeForRecordClosing": _one_of("c", "normalRelease", "abnormalRelease", "timeLimit", "normalRelease",
                                          "volumeLimit"),
         **_anomaly("dropped_session", "connection_timeout", "abnormal_usage"),
@@ -179,7 +179,7 @@ CDR_FIELDS = {
         "imsi": _IMSI,
         "messageSize": "CASE WHEN c % 41 = 0 THEN 0 ELSE 1 + c % 160 END",
         "deliveryStatus": _one_of("c", "delivered", "delivered", "failed", "pending"),
-        "recordSequenceNumber": "e % 3",
+        "recordSequenceNumber": "CASE WHEN c % 233 = 0 THEN NULL ELSE e % 3 END",
         "chargeAmount": _amount("10 + c % 90"),
         "failureReason": f"CASE WHEN c % 4 = 2 THEN {_one_of('e', 'subscriber_absent', 'routing_error', 'network_error')} END",
         **_anomaly("delivery_failure", "routing_error"),
@@ -276,7 +276,7 @@ def _by_plan(*values) -> str:
 USER_FIELDS = {
     "user_id": "CASE WHEN e % 223 = 0 THEN NULL ELSE concat('u', CAST(u AS STRING)) END",
     "msisdn": "CASE WHEN e % 61 = 0 THEN '486000000' WHEN e % 67 = 0 THEN NULL ELSE CAST(48600000000 + u AS STRING) END",
-    "imsi": "concat('310150', CAST(100000000 + u AS STRING))",
+    "imsi": "CASE WHEN e % 71 = 0 THEN NULL ELSE concat('310150', CAST(100000000 + u AS STRING)) END",
     "plan_name": _by_plan("'Basic'", "'Standard'", "'Premium'", "'Unlimited'"),
     "data_limit_gb": _by_plan(5, 15, 50, 100),
     "voice_minutes": _by_plan(500, 1000, 5000, 10000),
@@ -309,6 +309,15 @@ def cdr_messages(spark: SparkSession, sf_dir: str, kind: str, topic: str) -> Dat
     return _messages(base, value, topic)
 
 
+REDELIVERED = "offset % 97 = 3"  # sent twice, the second time with another offset
+
+
+def with_redeliveries(messages: DataFrame) -> DataFrame:
+    """Some messages come again later, payload unchanged."""
+    again = messages.filter(REDELIVERED).withColumn("offset", F.col("offset") + 1_000_000_000_000)
+    return messages.unionByName(again)
+
+
 def user_messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """One message per order: the customer as it was then.  Filled orders use the nested form."""
     table(spark, sf_dir, "orders").createOrReplaceTempView("_millrace_orders")

@@ -764,7 +764,7 @@ ORACLE["stream_renamed_voice"] = ORACLE["renamed_voice"]
 ORACLE["stream_samples"] = ORACLE["samples"]
 ORACLE["stream_users"] = ORACLE["users_latest"]
 ORACLE["stream_typed_roaming"] = ORACLE["typed_roaming"]
-ORACLE["stream_dedup_sms"] = f"SELECT smsReferenceNumber, recordSequenceNumber FROM ({ORACLE['strict_sms']}) z"
+ORACLE["stream_dedup_sms"] = ORACLE["strict_sms"]
 ORACLE["stream_counts_by_topic"] = (
     "SELECT 'telco-data-cdrs' AS _topic, user_id % 3 AS _partition, count(*) AS messages, max(event_id) AS last_offset FROM events GROUP BY 2"
 )

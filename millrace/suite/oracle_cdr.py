@@ -151,8 +151,10 @@ CDR_ORACLE["users_latest"] = fin(
     s=["user_id", "msisdn", "imsi", "plan_name", "city", "state", "activation_date"], ts=["_updated_at"],
 )
 CDR_ORACLE["strict_users"] = fin(
-    f"WITH {USERS_ALL} SELECT *, e AS _kafka_offset FROM ua WHERE user_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY e DESC) = 1",
-    i=["_kafka_offset", "data_limit_gb"], s=["user_id", "plan_name"],
+    f"WITH {USERS_ALL} SELECT *, since AS activation_date, e AS _kafka_offset FROM ua WHERE user_id IS NOT NULL AND imsi IS NOT NULL "
+    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY e DESC) = 1",
+    i=["data_limit_gb", "voice_minutes", "sms_count", "_kafka_offset"],
+    s=["user_id", "msisdn", "imsi", "plan_name", "city", "state", "activation_date"],
 )
 CDR_ORACLE["renamed_users"] = fin(
     f"WITH {USERS_ALL} SELECT *, CASE WHEN st = 'F' THEN since END AS registration_date, CASE WHEN st = 'F' THEN e % 2 = 0 END AS active FROM ua "
@@ -171,11 +173,6 @@ for _kind in TIME:
     _cols = columns(_kind)
     CDR_ORACLE[f"typed_{_kind}"] = fin(f"WITH {typed(_kind, 'q')} SELECT * FROM q", **{**_cols, "ts": [*_cols["ts"], "_kafka_timestamp"]})
 
-_business = {
-    "voice": "callReferenceNumber, recordSequenceNumber", "data_usage": "chargingID, recordSequenceNumber",
-    "sms": "smsReferenceNumber, recordSequenceNumber", "voip": "chargeID, sessionStartTime", "ims": "chargeID, sessionStartTime",
-    "mms": "mmsReferenceNumber, eventTimestamp", "roaming": "imsi, callEventStartTime, calledPartyNumber", "wifi_calling": "chargeID, sessionStartTime",
-}
 _strict = {
     "voice": "imsi IS NOT NULL AND callReferenceNumber IS NOT NULL AND callDuration >= 0",
     "data_usage": "imsi IS NOT NULL AND chargingID IS NOT NULL AND duration >= 0 AND CAST(qci AS INT) BETWEEN 1 AND 9",
@@ -197,7 +194,7 @@ for _kind in TIME:
         _cols["s"].append("network_generation")
     CDR_ORACLE[f"strict_{_kind}"] = fin(
         f"WITH {typed(_kind, 'q')}, v AS (SELECT *{_more} FROM q WHERE {TIME[_kind]} IS NOT NULL AND {_strict[_kind]}) "
-        f"SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY {_business[_kind]} ORDER BY _kafka_offset) = 1",
+        "SELECT * FROM v",  # every event is one record: what is delivered again adds none
         **{**_cols, "i": [*_cols["i"], "event_hour", "_kafka_offset"], "ts": [*_cols["ts"], "_kafka_timestamp"], "day": ["event_date"]},
     )
 # every message, parsed or not, reaches the rules here; what does not parse fails them all

@@ -237,6 +237,11 @@ def messages(spark, sf_dir, kind):
     return staged(spark, sf_dir, f"messages_{kind}", lambda: feeds.cdr_messages(spark, sf_dir, kind, topic))
 
 
+def delivered(spark, sf_dir, kind):
+    """The same with some messages delivered twice."""
+    return staged(spark, sf_dir, f"delivered_{kind}", lambda: feeds.with_redeliveries(messages(spark, sf_dir, kind)))
+
+
 def user_messages(spark, sf_dir):
     return staged(spark, sf_dir, "messages_users", lambda: feeds.user_messages(spark, sf_dir, "telco-users"))
 
@@ -334,7 +339,7 @@ def _filled(df: DataFrame, kind: str) -> DataFrame:
 
 for _kind in KINDS:
     _add(f"typed_{_kind}", lambda s, d, _k=_kind: _filled(records.typed(keyed(s, d, _k), _k), _k))
-    _add(f"strict_{_kind}", lambda s, d, _k=_kind: _filled(records.strict(envelope(messages(s, d, _k), "offset"), _k), _k))
+    _add(f"strict_{_kind}", lambda s, d, _k=_kind: _filled(records.strict(envelope(delivered(s, d, _k), "offset"), _k), _k))
 
 
 @query
@@ -346,7 +351,7 @@ def users_latest(spark, sf_dir):
 @query
 def strict_users(spark, sf_dir):
     out = records.strict_users(envelope(user_messages(spark, sf_dir), "offset"))
-    return out.select("user_id", "_kafka_offset", "plan_name", "data_limit_gb")
+    return out.drop("_ingested_at", "_updated_at", "imei", "registration_date", "active")
 
 
 @query

@@ -11,13 +11,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from millrace.operators.envelope import envelope
-from millrace.operators.quality import keep_valid
 from millrace.plans.cdr import records
 from millrace.plans.heatpump import logs
 from millrace.sources.tables import Layout, read_table
 from millrace.sources.topics import TopicSource, read_topics
 from millrace.streaming.tables import KeyedTable, append_stream, dedup_stream
-from millrace.suite.queries import _filled, messages, pump_raw, query, user_messages
+from millrace.suite.queries import _filled, delivered, messages, pump_raw, query, user_messages
 from millrace.suite.staging import stage_root
 
 
@@ -25,10 +24,13 @@ def _layout(spark, sf_dir) -> Layout:
     return Layout(f"{stage_root(spark, sf_dir)}/streams/{uuid.uuid4().hex}")
 
 
-def _topic(spark, sf_dir, topic: str, kind: str):
+def _topic(spark, sf_dir, topic: str, kind: str, table: str = "messages"):
     """The staged messages of one topic as a stream, in Kafka's columns."""
-    (user_messages if kind == "users" else messages)(spark, sf_dir, *([] if kind == "users" else [kind]))
-    source = TopicSource(fmt="parquet", path=f"{stage_root(spark, sf_dir)}/messages_{kind}")
+    if kind == "users":
+        user_messages(spark, sf_dir)
+    else:
+        (messages if table == "messages" else delivered)(spark, sf_dir, kind)
+    source = TopicSource(fmt="parquet", path=f"{stage_root(spark, sf_dir)}/{table}_{kind}")
     return read_topics(spark, source, [topic])
 
 
@@ -67,18 +69,13 @@ def stream_users(spark, sf_dir):
 
 @query
 def stream_dedup_sms(spark, sf_dir):
-    """Stream de-duplication.  Which of several rows with the same key arrives first is up to
-    the arrival order, so the keys themselves are the result.  The whole history is one
-    micro-batch, and the watermark spans it."""
+    """Redeliveries removed per micro-batch (here all that is there), whole rows."""
     lay = _layout(spark, sf_dir)
-    stream = envelope(_topic(spark, sf_dir, "telco-sms-cdrs", "sms"), "offset")
-    valid = keep_valid(records.strict_unchecked(stream, "sms"), records.strict_rules("sms"))
-    keys = records.BUSINESS_KEYS["sms"]
+    stream = envelope(_topic(spark, sf_dir, "telco-sms-cdrs", "sms", "delivered"), "offset")
     out = lay.path("silver", "sms")
-    append_stream(
-        dedup_stream(valid, keys, "_kafka_timestamp", "60 days"), out, lay.checkpoint("sms")
-    ).awaitTermination()
-    return read_table(spark, out).select(*keys)
+    valid = records.strict_valid(stream, "sms")
+    dedup_stream(valid, records.record_key("sms"), ["_kafka_offset"], out, lay.checkpoint("sms")).awaitTermination()
+    return _filled(read_table(spark, out).drop("batch_id", "_payload"), "sms")
 
 
 @query

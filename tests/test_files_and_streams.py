@@ -91,22 +91,28 @@ def test_keyed_table_replay_and_compaction(spark, tmp_path):
         table.write_batch(spark.createDataFrame(part, SCHEMA), i)
     table.write_batch(spark.createDataFrame(parts[1], SCHEMA), 1)  # replay
     assert sorted(map(tuple, table.read().collect())) == wanted()
-    first = table.compact(through=1)
-    assert sorted(map(tuple, table.read(snapshot=first).collect())) == wanted()
-    second = table.compact(through=2, since=first)
-    assert sorted(map(tuple, table.read(snapshot=second).collect())) == wanted()
+    assert table.compact() == 2 and sorted(map(tuple, table.read().collect())) == wanted()
+    table.write_batch(spark.createDataFrame(parts[1], SCHEMA), 1)  # replay of what the snapshot holds
+    assert table._numbers("changes") == [0, 1, 2] and sorted(map(tuple, table.read().collect())) == wanted()
 
 
-def test_stream_dedup_across_batches(spark, tmp_path):
-    t0 = dt.datetime(2024, 1, 1)
-    rows = [("a", 1, t0), ("a", 1, t0 + dt.timedelta(hours=1)), ("a", 2, t0), ("b", 1, t0)]
-    src = str(tmp_path / "src")
-    for row in rows:
-        spark.createDataFrame([row], "k string, n int, ts timestamp").coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema("k string, n int, ts timestamp").option("maxFilesPerTrigger", 1).parquet(src)
-    append_stream(dedup_stream(stream, ["k", "n"], "ts"), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "o")).select("k", "n").collect()
-    assert sorted(got) == [("a", 1), ("a", 2), ("b", 1)]
+def test_keyed_table_stays_small(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["user_id"], ["seq", "off"], compact_after=3)
+    for i in range(12):
+        table.write_batch(spark.createDataFrame(EVENTS[i * 5 : i * 5 + 5], SCHEMA), i)
+        assert len(table._numbers("changes")) <= 6 and len(table._numbers("snapshots")) <= 2
+    assert sorted(map(tuple, table.read().collect())) == wanted()
+
+
+def test_stream_dedup_loses_no_late_row(spark, tmp_path):
+    src, t0 = str(tmp_path / "src"), dt.datetime(2024, 1, 1)
+    batches = [[("a", 1, t0, 5), ("a", 1, t0, 2), ("a", 2, t0, 3)], [("b", 1, t0 + dt.timedelta(days=90), 6)], [("c", 1, t0, 7), ("c", 1, t0, 8)]]
+    for rows in batches:
+        spark.createDataFrame(rows, "k string, n int, ts timestamp, o int").coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("k string, n int, ts timestamp, o int").option("maxFilesPerTrigger", 1).parquet(src)
+    dedup_stream(stream, ["k", "n"], ["o"], str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).select("k", "n", "o").collect()
+    assert sorted(got) == [("a", 1, 2), ("a", 2, 3), ("b", 1, 6), ("c", 1, 7)]
 
 
 def test_append_stream_reads_each_file_once(spark, tmp_path):
