@@ -15,7 +15,9 @@ over its shards, across ranges by one number per range.
 
 A text is encoded by chunks between spaces and newlines: the tokenizer cuts at white space
 and drops it, so a chunk's ids do not depend on its surroundings; chunks are remembered per
-worker up to ``MEMORY`` characters.
+worker up to ``MEMORY`` characters.  As it lower-cases, Latin-1 texts are looked up in lower
+case; as it cuts between letters and marks, a new word with marks behind it is looked up as
+two.  Neither is done where a special token could be meant.
 
 Edge cases: null and empty texts are the end id alone; null doc_ids come last and stay null;
 rows that repeat stay, ordered by hash and content; too few samples for a dictionary give
@@ -24,11 +26,13 @@ an empty one (plain frames); an empty table gives no shard.
 
 from __future__ import annotations
 
+import re
 import struct
 from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -42,11 +46,25 @@ from millrace.llm.common import bounded_sample, fresh_path, written
 
 MAGIC, VERSION = b"TOKS", 1
 BLOCK = 1 << 20
-MEMORY = 32 << 20
+MEMORY = 64 << 20
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY = 2_000, 1 << 14, 1 << 16
 _HEAD = struct.Struct("<4sHHI32s")
 
 
+_marked = re.compile(r"([a-zß-öø-ÿ]+)([.,!?$%&*#|:;]+)").fullmatch
+
+
+def _folded(text: str) -> str:
+    """In lower case, where that cannot change the ids."""
+    if "<|" in text:
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class Encoder:
     """Ids of whole texts by a tokenizers file that drops white space."""
 
@@ -68,7 +86,7 @@ class Encoder:
         memory, out, later = self.memory, [], []
         fresh: set[str] = set()
         for text in texts:
-            chunks = text.replace("\n", " ").split(" ")
+            chunks = _folded(text).replace("\n", " ").split(" ")
             found = list(map(memory.get, chunks))
             try:
                 out.append(b"".join(found))
@@ -76,10 +94,12 @@ class Encoder:
                 later.append((len(out), chunks, found))
                 out.append(b"")
                 fresh.update([c for c, ids in zip(chunks, found) if ids is None])
-        new = list(fresh)
-        self.held += sum(map(len, new)) + 60 * len(new)
+        halves = {c: m.groups() for c in fresh if (m := _marked(c))}
+        new = [c for c in {*(fresh - halves.keys()), *chain.from_iterable(halves.values())} if c not in memory]
         for chunk, ids in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             memory[chunk] = array(self.kind, ids.ids).tobytes()
+        memory.update((chunk, memory[a] + memory[b]) for chunk, (a, b) in halves.items())
+        self.held += sum(map(len, fresh)) + 60 * len(fresh)
         for i, chunks, found in later:
             out[i] = b"".join([memory[c] if ids is None else ids for c, ids in zip(chunks, found)])
         return out
