@@ -2,17 +2,20 @@
 
 A plain ``lag().over(partitionBy(device, day))`` puts a whole device-day into one task,
 and an unpartitioned running sum puts the whole table there.  Here every series is cut
-into fixed time chunks.  Windows run inside a chunk; what has to cross a chunk border
+into time chunks whose width follows from how dense the rows are: the table's rows, time
+span and number of series are measured first, and a chunk gets ``CHUNK_ROWS`` rows of an
+average series, be that an hour or a millisecond.  Windows run inside a chunk; what has to cross a chunk border
 (last row, number of edges so far, time of the last edge) travels through a small table
 with one row per chunk, which is windowed per series and joined back on the key the
-rows are already partitioned by.  Results equal the single-window form exactly, and the
-largest unit of work is one chunk, however hot a device, a day or the only series is.
+rows are already partitioned by.  Results equal the single-window form exactly, whatever the
+width, and the largest unit of work is one chunk.  A series much denser than the average has
+more rows in its chunks, in proportion; rows at one instant always share a chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +26,7 @@ from millrace.functions.scalars import elapsed_seconds
 Edge = Callable[[Callable[[str], Column]], Column]
 
 CHUNK = "_chunk"
+CHUNK_ROWS = 2_000
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -30,9 +34,9 @@ EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 class Series:
     """How rows are ordered: restart at ``keys``, order by ``ts`` then ``tie``.
 
-    ``keys`` must not be NULL.  ``tie`` is only needed where ``ts`` repeats.
-    ``chunk_seconds`` should give the usual series tens of rows per chunk: the border table
-    has one row per chunk, the largest task one chunk of the densest series.
+    ``keys`` must not be NULL.  ``tie`` is only needed where ``ts`` repeats.  ``unique`` keeps
+    only the first row, in tie order, of those at one instant of a series.
+    ``chunk_seconds`` is measured (``fitted``) where it is not given.
     ``count_keys`` (a part of ``keys``) lets edge numbers run on over the other keys: with
     keys (device, day) and count_keys (device,) edges are numbered over all days, while
     every day still starts afresh.  The other keys must follow from ``ts``.
@@ -41,8 +45,9 @@ class Series:
     keys: tuple[str, ...]
     ts: str
     tie: tuple[str, ...] = ()
-    chunk_seconds: int = 900
+    chunk_seconds: float | None = None
     count_keys: tuple[str, ...] | None = None
+    unique: bool = False
 
     @property
     def order(self) -> tuple[str, ...]:
@@ -64,9 +69,22 @@ class Series:
         rest = [k for k in self.keys if k not in counted]
         return Window.partitionBy(*counted).orderBy(CHUNK, *rest).rowsBetween(Window.unboundedPreceding, -1)
 
+    def micros(self) -> Column:
+        return F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, cast(`{self.ts}` as timestamp_ntz))")
+
+    def fitted(self, df: DataFrame) -> Series:
+        """With a chunk width that fits the density of ``df``: one narrow aggregation."""
+        if self.chunk_seconds is not None:
+            return self
+        series = F.approx_count_distinct(F.struct(*self.keys)) if self.keys else F.lit(1)
+        found = df.agg(F.count(self.ts).alias("rows"), F.min(self.micros()).alias("low"), F.max(self.micros()).alias("high"), series.alias("series")).first()
+        span = (found["high"] or 0) - (found["low"] or 0) + 1
+        width = span * CHUNK_ROWS * max(1, found["series"]) / max(1, found["rows"]) / 1e6
+        # series that restart per day do not span the table: no chunk needs more than its whole span
+        return replace(self, chunk_seconds=max(1e-3, min(width, span / 1e6)))
+
     def chunk(self) -> Column:
-        seconds = F.expr(f"timestampdiff(SECOND, {EPOCH}, cast(`{self.ts}` as timestamp_ntz))")
-        return F.floor(seconds / F.lit(self.chunk_seconds))
+        return F.floor(self.micros() / F.lit(max(1, round(self.chunk_seconds * 1_000_000))))
 
     def rank(self) -> Column:
         return F.col(self.ts) if not self.tie else F.struct(*self.order)
@@ -79,7 +97,7 @@ def _before(previous: Column) -> Callable[[str], Column]:
 def _border_table(df: DataFrame, s: Series, cols: Sequence[str], edges: Mapping[str, Edge]) -> DataFrame:
     """One row per chunk: last row of the chunk before, edges and last edge time before."""
     names = list(dict.fromkeys([*cols, s.ts]))
-    narrow = df.select(*dict.fromkeys([*s.keys, *s.order, *names]), s.chunk().alias(CHUNK))
+    narrow = df.select(*dict.fromkeys([*s.keys, *s.order, *names, CHUNK]))
     if edges:
         narrow = narrow.withColumn("_p", F.lag(F.struct(*names)).over(s.inside()))
         inner = {e: F.col("_p").isNotNull() & F.coalesce(fn(_before(F.col("_p"))), F.lit(False)) for e, fn in edges.items()}
@@ -113,6 +131,15 @@ def _border_table(df: DataFrame, s: Series, cols: Sequence[str], edges: Mapping[
     )
 
 
+def _chunked(df: DataFrame, s: Series) -> DataFrame:
+    """Rows with their chunk; equal times share one, so repeats are dropped inside it."""
+    out = df.withColumn(CHUNK, s.chunk())
+    if not s.unique:
+        return out
+    again = F.coalesce(F.lag(s.ts).over(s.inside()) == F.col(s.ts), F.lit(False))
+    return out.withColumn("_again", again).filter(~F.col("_again")).drop("_again")
+
+
 def scan(df: DataFrame, s: Series, cols: Sequence[str] = (), edges: Mapping[str, Edge] | None = None) -> DataFrame:
     """Add what each row needs to know about the rows before it.
 
@@ -123,8 +150,10 @@ def scan(df: DataFrame, s: Series, cols: Sequence[str] = (), edges: Mapping[str,
     """
     edges = dict(edges or {})
     names = list(dict.fromkeys([*cols, s.ts]))
+    s = s.fitted(df)
+    df = _chunked(df, s)
     borders = _border_table(df, s, cols, edges)
-    rows = df.withColumn(CHUNK, s.chunk()).withColumn("prev", F.lag(F.struct(*names)).over(s.inside()))
+    rows = df.withColumn("prev", F.lag(F.struct(*names)).over(s.inside()))
     drop = [CHUNK, "_tail", *[f"_{x}_{e}" for e in edges for x in ("n0", "t0")]]
     out = rows.join(borders, s.unit, "left").withColumn("prev", F.coalesce("prev", "_tail"))
     for e, fn in edges.items():
@@ -182,17 +211,8 @@ def with_gap(df: DataFrame, s: Series, cap: int = 10, nominal: int = 5) -> DataF
 
 
 def unique_samples(df: DataFrame, s: Series) -> DataFrame:
-    """Keep one row per (keys, time): the first in tie order.
-
-    Equal times share a chunk, so this needs no border table.
-    """
-    w = s.inside()
-    return (
-        df.withColumn(CHUNK, s.chunk())
-        .withColumn("_same", F.coalesce(F.lag(s.ts).over(w) == F.col(s.ts), F.lit(False)))
-        .filter(~F.col("_same"))
-        .drop("_same", CHUNK)
-    )
+    """Keep one row per (keys, time): the first in tie order."""
+    return _chunked(df, replace(s.fitted(df), unique=True)).drop(CHUNK)
 
 
 def moving_avg(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], order: str, rows: int = 7) -> DataFrame:

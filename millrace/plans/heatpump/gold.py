@@ -34,14 +34,35 @@ MIN_CYCLE_SAMPLES = 6
 FREQ_BANDS = [(1, "01_low_1-39Hz"), (40, "02_mid_40-69Hz"), (70, "03_high_70-99Hz"), (100, "04_max_100+Hz")]
 
 
-def day_series(keys: Keys) -> Series:
-    return Series((*keys, "log_date"), TS)
+TIE = "_tie"
+
+
+def day_series(keys: Keys, count_keys: Keys | None = None) -> Series:
+    """A device's samples of a day; of several at one instant the first by file and content counts."""
+    return Series((*keys, "log_date"), TS, (TIE,), count_keys=count_keys, unique=True)
+
+
+# Columns that follow from the others: they cannot tell samples apart and need not be read for it.
+DERIVED = set(
+    "mode_name heater_stage supply_deviation_k delta_t_k superheat_k discharge_superheat_k bt1_bt28_divergence_k negative_superheat "
+    "compr_running alarm_active defrost_active source_file ingested_at".split()
+)
+
+
+def tie_order(samples: DataFrame):
+    """Total order of samples at one instant: file, then content.  Independent of arrival."""
+    return F.struct("source_filename", F.xxhash64(*[c for c in samples.columns if c not in DERIVED]))
 
 
 def by_day(samples: DataFrame) -> DataFrame:
     return samples.withColumnRenamed("log_date_parsed", "log_date")
 
 
+def ordered(samples: DataFrame) -> DataFrame:
+    """By day, with the tie order that scans need."""
+    return by_day(samples.withColumn(TIE, tie_order(samples)))
+
+
 def running(get):
     return get("compr_freq_act_hz") > 0
 
@@ -75,8 +96,8 @@ def alarm_events(samples: DataFrame, keys: Keys = ()) -> DataFrame:
 
 
 def current_state(samples: DataFrame, keys: Keys = ()) -> DataFrame:
-    picked = samples.select(*keys, *CURRENT_COLUMNS)
-    return series.latest(picked, [*keys, "log_date_parsed"], [TS])
+    picked = samples.select(*keys, *CURRENT_COLUMNS, tie_order(samples).alias(TIE))
+    return series.latest(picked, [*keys, "log_date_parsed"], [TS, F.col(TIE).asc()]).drop(TIE)
 
 
 # -- per hour -----------------------------------------------------------------
@@ -149,7 +170,7 @@ HOURLY_DETAIL = [
 
 
 def hourly_detail(samples: DataFrame, keys: Keys = ()) -> DataFrame:
-    rows = series.with_gap(by_day(samples), day_series(keys))
+    rows = series.with_gap(ordered(samples), day_series(keys))
     return summarise(rows, [*keys, "log_date", F.hour(TS).alias("hour")], HOURLY_DETAIL)
 
 
@@ -211,12 +232,14 @@ def daily_summary(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     from a single scan, and all numbers from a single aggregation; the list of alarm codes
     is made from the alarm samples alone."""
     s, on = day_series(keys), [*keys, "log_date"]
+    first = F.min_by(F.struct("alarm_active", "alarm_number"), TIE).alias("a")
     codes = (
-        by_day(samples).filter("alarm_active AND alarm_number > 0").select(*on, "alarm_number").distinct()
+        ordered(samples).groupBy(*on, TS).agg(first).select(*on, "a.*")
+        .filter("alarm_active AND alarm_number > 0").select(*on, "alarm_number").distinct()
         .groupBy(*on).agg(F.sort_array(F.collect_set("alarm_number")).alias("alarm_codes"))
     )
     rows = scan(
-        by_day(samples), s, ["compr_freq_act_hz", "defrost_active"],
+        ordered(samples), s, ["compr_freq_act_hz", "defrost_active"],
         {"start": rising(running), "stop": falling(running), "defrost_start": rising(defrosting)},
     )
     rows = rows.withColumns({
@@ -278,7 +301,7 @@ QUALITY = [
 
 def data_quality(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     s = day_series(keys)
-    rows = scan(by_day(samples), s).withColumn("gap_seconds", gap_seconds(s))
+    rows = scan(ordered(samples), s).withColumn("gap_seconds", gap_seconds(s))
     n = F.col("total_samples")
     return summarise(rows, [*keys, "log_date"], QUALITY).withColumns({
         "coverage_pct": rnd(n * F.lit(100.0) / F.lit(DAY_SAMPLES), 1),
@@ -290,7 +313,7 @@ def data_quality(samples: DataFrame, keys: Keys = ()) -> DataFrame:
 
 def alarm_episodes(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     """Runs of one alarm code within a day; a change of code starts a new run."""
-    rows = by_day(samples).withColumn("_code", F.expr("CASE WHEN alarm_active THEN alarm_number ELSE 0 END"))
+    rows = ordered(samples).withColumn("_code", F.expr("CASE WHEN alarm_active THEN alarm_number ELSE 0 END"))
     return episodes(
         rows, day_series(keys), series.changed("_code", "_code > 0"), "alarm_active", ["_code"],
         [
@@ -310,7 +333,7 @@ def alarm_episodes(samples: DataFrame, keys: Keys = ()) -> DataFrame:
 
 def defrost_cycles(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     return episodes(
-        by_day(samples), day_series(keys), rising(defrosting), "defrost_active", ["defrost_active"],
+        ordered(samples), day_series(keys), rising(defrosting), "defrost_active", ["defrost_active"],
         [
             Metric("outdoor_avg_c", "avg", "bt1_outdoor_temp_c", digits=1),
             Metric("outdoor_min_c", "min", "bt1_outdoor_temp_c", digits=1),
@@ -333,7 +356,7 @@ def dhw_cycles(samples: DataFrame, keys: Keys = ()) -> DataFrame:
         for where, how in (("start", "first"), ("end", "last"))
     ]
     return episodes(
-        by_day(samples), day_series(keys), rising(hot_water), "priority_mode = 20", ["priority_mode"],
+        ordered(samples), day_series(keys), rising(hot_water), "priority_mode = 20", ["priority_mode"],
         [
             *ends,
             Metric("outdoor_avg_c", "avg", "bt1_outdoor_temp_c", digits=1),
@@ -378,7 +401,7 @@ CYCLE = [
 def cycles(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     """Compressor runs, numbered over all days.  A run that crosses midnight is two runs."""
     return episodes(
-        by_day(samples).filter("compr_freq_act_hz IS NOT NULL"), Series((*keys, "log_date"), TS, count_keys=keys),
+        ordered(samples).filter("compr_freq_act_hz IS NOT NULL"), day_series(keys, keys),
         rising(running), ON, ["compr_freq_act_hz"], CYCLE,
         number="cycle_id", min_rows=MIN_CYCLE_SAMPLES, floor_seconds=None,
     )

@@ -94,6 +94,18 @@ def pump_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PUMP_REPEATED = "xxhash64(_ingested_at) % 13 = 0 AND compr_freq_act_raw <> '1310'"  # lines that stand in a second file as well, with other values
+
+
+def with_repeats(raw: DataFrame) -> DataFrame:
+    """Some lines again at the same instant, from a file that comes later by name."""
+    again = raw.filter(PUMP_REPEATED).withColumns({
+        "_source_filename": F.concat(F.lit("zz-"), "_source_filename"), "alarm_number_raw": F.lit("162"),
+        "compr_freq_act_raw": F.when(F.col("compr_freq_act_raw") == "0", "500").otherwise("0"), "prio_raw": F.lit("20"),
+    })
+    return raw.unionByName(again)
+
+
 # -- call-detail records ------------------------------------------------------------
 
 # e event id, c cents of the value, u user, t epoch seconds, et event type

@@ -82,6 +82,17 @@ def pump(spark, sf_dir, keys=()):
     return table if keys else table.drop("device")
 
 
+def pump_repeats(spark, sf_dir, keys=()):
+    """The sample table of a device whose files overlap: some instants occur twice."""
+    build = lambda: logs.samples(feeds.with_repeats(pump_raw(spark, sf_dir)), ("device",))
+    table = staged(spark, sf_dir, "samples_repeats", build)
+    return table if keys else table.drop("device")
+
+
+# Ordered work decides which of several samples at one instant counts; the others see all rows.
+ORDERED = "current_state hourly_detail daily_summary data_quality alarm_episodes defrost_cycles dhw_cycles cycles".split()
+
+
 @query
 def raw_logs(spark, sf_dir):
     return pump_feed(spark, sf_dir).drop("device")
@@ -101,12 +112,12 @@ for _name in (
     "alarm_events current_state hourly_stats hourly_detail daily_summary flow_quality heating_curve data_quality "
     "alarm_episodes defrost_cycles dhw_cycles cycles"
 ).split():
-    _add(_name, lambda spark, sf_dir, _n=_name: getattr(gold, _n)(pump(spark, sf_dir)))
+    _add(_name, lambda spark, sf_dir, _n=_name: getattr(gold, _n)((pump_repeats if _n in ORDERED else pump)(spark, sf_dir)))
 
 
 @query
 def daily_summary_per_device(spark, sf_dir):
-    return gold.daily_summary(pump(spark, sf_dir, ("device",)), ("device",))
+    return gold.daily_summary(pump_repeats(spark, sf_dir, ("device",)), ("device",))
 
 
 @query
@@ -444,7 +455,7 @@ def props_parsed(spark, sf_dir):
 
 @query
 def error_starts(spark, sf_dir):
-    s = series.Series(("user_id", "day"), "ts", ("event_id",), chunk_seconds=14_400)
+    s = series.Series(("user_id", "day"), "ts", ("event_id",))
     return series.scan(user_day(spark, sf_dir), s, ["event_type"], {
         "start": series.rising(is_error), "stop": series.falling(is_error),
     }).select("event_id", "user_id", "start", "stop", "start_no", "stop_no", "stop_at")
@@ -453,7 +464,7 @@ def error_starts(spark, sf_dir):
 @query
 def error_runs(spark, sf_dir):
     """Runs that may cross midnight: the series restarts per user only."""
-    s = series.Series(("user_id",), "ts", ("event_id",), chunk_seconds=86_400)
+    s = series.Series(("user_id",), "ts", ("event_id",))
     return episodes(events(spark, sf_dir), s, series.rising(is_error), "event_type = 'error'", ["event_type"], [
         Metric("total", "sum", "cast(value as decimal(18,2))"),
         Metric("first_value", "first", "value", by="ts"),

@@ -120,6 +120,33 @@ def test_numbers_over_all_days_equal_single_running_sum(spark):
     assert {r["id"]: r["start_no"] for r in numbered} == want
 
 
+@pytest.mark.parametrize("seconds", [60, 86_400 * 40])
+def test_chunks_follow_density(spark, seconds, monkeypatch):
+    """The largest chunk is bounded, be all rows in one minute or spread over weeks; few rows make few chunks."""
+    monkeypatch.setattr(series, "CHUNK_ROWS", 50)
+    rows = [("a", START.date(), START + dt.timedelta(seconds=seconds * i / 3000), i, i % 3) for i in range(3000)]
+    s = Series(("k",), "ts", ("id",)).fitted(frame(spark, rows))
+    groups = [r["count"] for r in frame(spark, rows).withColumn("c", s.chunk()).groupBy("c").count().collect()]
+    assert max(groups) <= 60 and len(groups) <= 70
+    sparse = [(f"u{i}", START.date(), START + dt.timedelta(hours=i), i, 0) for i in range(200)]
+    s = Series(("k",), "ts", ("id",)).fitted(frame(spark, sparse))
+    assert frame(spark, sparse).withColumn("c", s.chunk()).select("k", "c").distinct().count() == 200
+    assert Series((), "ts").fitted(frame(spark, rows).limit(0)).chunk_seconds > 0
+
+
+def test_repeated_times_do_not_depend_on_arrival(spark):
+    rng = __import__("random").Random(3)
+    rows = [("a", START.date(), START + dt.timedelta(seconds=i // 2), i, rng.randrange(2)) for i in range(300)]
+    s = Series(("k", "day"), "ts", ("id",), 7, unique=True)
+    on = rising(lambda get: get("x") > 0)
+    seen = set()
+    for _ in range(3):
+        rng.shuffle(rows)
+        got = scan(frame(spark, rows).repartition(5), s, ["x"], {"start": on}).select("id", "start_no", F.col("prev")["x"]).collect()
+        seen.add(tuple(sorted(map(tuple, got), key=lambda r: r[0])))
+    assert len(seen) == 1 and [r[0] for r in next(iter(seen))] == list(range(0, 300, 2))
+
+
 def test_hot_series_is_split_over_chunks(spark):
     """One key with all rows still becomes many window groups."""
     rows = [("a", START.date(), START + dt.timedelta(seconds=5 * i), i, i % 3) for i in range(2000)]
