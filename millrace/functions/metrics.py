@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import rnd  # noqa: F401
 
-# Rank error of a percentile is n / ACCURACY, so groups below half of it are exact.
-ACCURACY = 1_000_000
-
-
 @dataclass(frozen=True)
 class Metric:
     """``how`` over ``expr`` for rows where ``when`` holds.
@@ -27,7 +23,8 @@ class Metric:
     count                      rows (where ``when`` holds)
     pct                        share of rows with ``expr`` true, in percent, of the rows
                                where ``of`` holds (all rows if not given); NULL if none
-    quantile                   ``p``-quantile, nearest rank
+    quantile                   ``p``-quantile, nearest rank, exact at any size: its state is a
+                               count per distinct value, combined map-side
     spread                     ``p``-quantile minus (1 - ``p``)-quantile
     first last                 ``expr`` at the smallest / largest ``by``
     mode                       most frequent value, smallest on a tie
@@ -52,11 +49,11 @@ class Metric:
         return f"({self.expr})" if self.when is None else f"CASE WHEN {self.when} THEN ({self.expr}) END"
 
     def sql(self) -> str:
-        out = _SQL[self.how].format(v=self.value(), m=self, by=self.by, p=self.p, q=round(1 - self.p, 12), acc=ACCURACY,
+        out = _SQL[self.how].format(v=self.value(), m=self, by=self.by, p=self.p, q=round(1 - self.p, 12),
                                     base="count(1)" if self.of is None else f"count_if({self.of})",
                                     rows="count(1)" if self.when is None else f"count_if({self.when})")
         if self.digits is not None:  # see scalars.rnd
-            out = f"CAST(round(CAST({out} AS DECIMAL(28,9)), {self.digits}) AS DOUBLE)"
+            out = f"CAST(round(TRY_CAST({out} AS DECIMAL(28,9)), {self.digits}) AS DOUBLE)"
         return out
 
 
@@ -68,8 +65,8 @@ _SQL = {
     "std": "stddev_samp({v})",
     "count": "{rows}",
     "pct": "try_divide(count_if({v}) * 100D, {base})",
-    "quantile": "percentile_approx({v}, {p}D, {acc})",
-    "spread": "percentile_approx({v}, {p}D, {acc}) - percentile_approx({v}, {q}D, {acc})",
+    "quantile": "percentile_disc({p}D) WITHIN GROUP (ORDER BY {v})",
+    "spread": "percentile_disc({p}D) WITHIN GROUP (ORDER BY {v}) - percentile_disc({q}D) WITHIN GROUP (ORDER BY {v})",
     "first": "min_by({v}, {by})",
     "last": "max_by({v}, {by})",
     "mode": "mode({v}, true)",

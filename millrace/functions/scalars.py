@@ -15,8 +15,9 @@ def rnd(x: str | Column, digits: int) -> Column:
 
     The value first passes through nine exact decimals, so 1.15 held as
     1.1499999999999999 rounds the same way whatever order its parts were summed in.
+    What no decimal can hold (NaN, infinity, from 1e19 on) gives NULL.
     """
-    return F.round(col(x).cast("decimal(28,9)"), digits).cast("double")
+    return F.round(col(x).try_cast("decimal(28,9)"), digits).cast("double")
 
 
 def label(code: str | Column, names: dict, default: str | None = None) -> Column:

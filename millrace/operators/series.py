@@ -227,12 +227,12 @@ def delta(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], order: st
     return df.withColumns({out: F.col(src) - F.lag(src).over(w) for src, out in cols.items()})
 
 
-def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Last row per key.  ``row_number() = 1`` lets Spark cut each input partition to one
+def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], rows: int = 1) -> DataFrame:
+    """Last row (or ``rows``) per key.  A bound on ``row_number()`` lets Spark cut each input partition to one
     row per key before the shuffle, so a hot key never gathers in one task."""
     desc = [F.col(c).desc() if isinstance(c, str) else c for c in order]
     w = Window.partitionBy(*keys).orderBy(*desc)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= rows).drop("_rn")
 
 
 def top_n(df: DataFrame, score: str, ties: Sequence[str], n: int) -> DataFrame:

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.metrics import ACCURACY
 from millrace.functions.scalars import bin_to
 
 
@@ -34,10 +33,6 @@ def spine_join(parts: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame
     return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
 
 
-def spine(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    return reduce(lambda a, b: a.union(b), [p.select(*keys) for p in parts]).distinct()
-
-
 def pivot_band(df: DataFrame, keys: Sequence[str], band: str, picks: Mapping[str, tuple[str, str]]) -> DataFrame:
     """``out: (band value, column)`` picked from a table with one row per key and band."""
     return df.groupBy(*keys).agg(
@@ -54,7 +49,7 @@ def baseline_residual(
     """
     binned = df.withColumn("_bin", bin_to(bin_by, step))
     medians = binned.groupBy(*keys, "_bin").agg(
-        *[F.percentile_approx(c, 0.5, ACCURACY).alias(f"_m_{c}") for c in values]
+        *[F.expr(f"percentile_disc(0.5D) WITHIN GROUP (ORDER BY `{c}`)").alias(f"_m_{c}") for c in values]
     )
     return (
         binned.join(medians, [*keys, "_bin"], "left")

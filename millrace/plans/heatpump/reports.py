@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.metrics import Metric, summarise
 from millrace.functions.scalars import in_period, lookback, on_day, rnd
+from millrace.operators.series import delta, latest
 
 Keys = tuple[str, ...]
 
@@ -80,21 +81,18 @@ def flow_by_band(flow: DataFrame, as_of: str, days: int, keys: Keys = ()) -> Dat
 def kpi_strip(daily: DataFrame, as_of: str, days: int, keys: Keys = ()) -> DataFrame:
     """Means and sums over the lookback, and the last day's change of delta-T.
 
-    The last two days come out of the aggregate itself, so no window is needed.
+    Each day carries its change, so the last day's one is a plain maximum by date.
     """
-    rows = daily.filter(lookback("log_date", as_of, days))
-    last_two = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("log_date", "delta_t_avg_k")))), 1, 2)
-    out = rows.groupBy(*keys).agg(
+    rows = delta(daily.filter(lookback("log_date", as_of, days)), {"delta_t_avg_k": "_change"}, keys, "log_date")
+    return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("days"),
         F.avg("outdoor_avg_c").alias("outdoor_avg_c"),
         F.avg("delta_t_avg_k").alias("delta_t_avg_k"),
         F.sum("heater_energy_kwh").alias("heater_total_kwh"),
         F.avg("neg_superheat_pct").alias("neg_superheat_pct"),
         F.avg("alarm_excl_183_pct").alias("alarm_excl_183_pct"),
-        last_two.alias("_two"),
+        F.max_by("_change", "log_date").alias("delta_t_change_k"),
     )
-    change = F.try_element_at("_two", F.lit(1))["delta_t_avg_k"] - F.try_element_at("_two", F.lit(2))["delta_t_avg_k"]
-    return out.withColumn("delta_t_change_k", change).drop("_two")
 
 
 def raw_window(samples: DataFrame, target_date: str, hour: int, columns: Sequence[str], keys: Keys = ()) -> DataFrame:
@@ -112,5 +110,6 @@ def minute_averages(
     return summarise(rows, [*keys, minute], [Metric(c, "avg", f"cast({c} as double)", digits=2) for c in columns])
 
 
-def latest_quality(quality: DataFrame) -> DataFrame:
-    return quality.orderBy(F.col("log_date").desc()).limit(1)
+def latest_quality(quality: DataFrame, keys: Keys = ()) -> DataFrame:
+    """The last day (of each device)."""
+    return latest(quality, keys, ["log_date"]) if keys else quality.orderBy(F.col("log_date").desc()).limit(1)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.metrics import Metric, summarise
 from millrace.functions.scalars import in_period, lookback, on_day, rnd
 from millrace.operators.rules import problem_score
-from millrace.operators.series import top_n
+from millrace.operators.series import latest, top_n
 from millrace.operators.summaries import json_rows
 
 Tables = Mapping[str, DataFrame]
@@ -124,10 +124,12 @@ def hourly_detail(tables: Tables, target_date: str, keys: Keys = ()) -> DataFram
     return tables["hourly_detail"].filter(on_day("log_date", target_date)).select(*keys, *HOURLY_FIELDS.split())
 
 
-def worst_cycles(tables: Tables, target_date: str, n: int = 10) -> DataFrame:
-    """Top-n: each task keeps n rows, the driver plan merges them (no global sort)."""
+def worst_cycles(tables: Tables, target_date: str, n: int = 10, keys: Keys = ()) -> DataFrame:
+    """Top-n (per device): each task keeps n rows before anything is gathered; no global sort."""
     scored = problem_score(tables["cycles"].filter(on_day("log_date", target_date)), CYCLE_PROBLEMS)
-    return top_n(scored, "problem_score", ["cycle_id"], n).select(*WORST_FIELDS.split(), "problem_score")
+    best = latest(scored, keys, [F.col("problem_score").desc(), F.col("cycle_id").asc()], n) if keys else top_n(
+        scored, "problem_score", ["cycle_id"], n)
+    return best.select(*keys, *WORST_FIELDS.split(), "problem_score")
 
 
 COMPARED = [
@@ -183,7 +185,7 @@ def tool(name: str, tables: Tables, as_of: str | None = None, lookback_days: int
     if name == "get_period_comparison":
         return period_comparison(tables, args["p1"], args["p2"], keys)
     if name == "get_worst_cycles":
-        return worst_cycles(tables, args["target_date"], args.get("top_n", 10))
+        return worst_cycles(tables, args["target_date"], args.get("top_n", 10), keys)
     raise KeyError(name)
 
 
@@ -233,14 +235,20 @@ def _rounded(name: str, digits: int, how: str = "avg") -> str:
     return f"CAST(round(CAST({how}({name}) AS DECIMAL(28,9)), {digits}) AS DOUBLE) AS {name}"
 
 
-def register_tools(spark: SparkSession, tables: Tables, as_of: str) -> list[str]:
+def register_tools(spark: SparkSession, tables: Tables, as_of: str, only: Mapping[str, str] | None = None) -> list[str]:
     """Make all tools callable from SQL, e.g. ``SELECT get_daily_summary(7)``.
 
+    The functions speak of one device.  Where the tables hold several, ``only`` names it
+    (column and value); devices are never merged.
+
     Each becomes a temporary function holding scalar subqueries over temporary views, and
     returns the JSON text of ``tool_json``.
     """
     def view(table: str) -> str:
-        tables[table].createOrReplaceTempView(f"tool_{table}")
+        rows = tables[table]
+        for column, value in (only or {}).items():
+            rows = rows.filter(F.col(column) == value)
+        rows.createOrReplaceTempView(f"tool_{table}")
         return f"tool_{table}"
 
     recent = f"log_date >= date_sub(DATE'{as_of}', lookback_days)"

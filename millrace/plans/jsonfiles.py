@@ -12,7 +12,7 @@ from millrace.sources.files import base_name, read_json
 
 RECORD_SCHEMA = "DOLocationID int, PULocationID int, fare_amount double, total_amount double"
 REQUIRED_ANY = ("DOLocationID", "PULocationID", "fare_amount", "total_amount")
-METHOD = "streaming_dlt_pipeline"  # fixed value of the ingestion_method column
+METHOD = "streaming"  # default of the ingestion_method column
 
 NOT_RESCUED = Expectation("valid_data", "_rescued_data IS NULL OR _rescued_data = ''")
 NOT_EMPTY = Expectation("non_empty_record", " OR ".join(f"{c} IS NOT NULL" for c in REQUIRED_ANY))
@@ -21,18 +21,19 @@ FULL_RULES = [NOT_RESCUED, NOT_EMPTY]
 
 
 def json_records(
-    spark: SparkSession, path: str, schema: str = RECORD_SCHEMA, stream: bool = True, multiline: bool = True
+    spark: SparkSession, path: str, schema: str = RECORD_SCHEMA, stream: bool = True, multiline: bool = True,
+    method: str = METHOD,
 ) -> DataFrame:
     """All records with lineage, before any rule."""
     rows = read_json(spark, path, schema, stream, multiline=multiline)
-    return add_lineage(rows.withColumn("source_file_name", F.col("_metadata.file_path")))
+    return add_lineage(rows.withColumn("source_file_name", F.col("_metadata.file_path")), method)
 
 
-def add_lineage(rows: DataFrame) -> DataFrame:
+def add_lineage(rows: DataFrame, method: str = METHOD) -> DataFrame:
     return rows.withColumns({
         "ingestion_timestamp": F.current_timestamp(),
         "file_name": base_name("source_file_name"),
-        "ingestion_method": F.lit(METHOD),
+        "ingestion_method": F.lit(method),
         "ingestion_date": F.current_date(),
     })
 
