@@ -82,6 +82,7 @@ USER_SCHEMA = (
 )
 
 # Epoch columns of each type; the first is the time of the record.
+# Start (and end) field of each type.
 TIMES = {
     "voice": ("callEventStartTime", "callEventEndTime"),
     "data_usage": ("recordOpeningTime", "recordClosingTime"),
@@ -209,6 +210,7 @@ RENAMED = {
 KIND_TAG = {"data_usage": "data"}
 
 USER_ID = Expectation("valid_user_id", "user_id IS NOT NULL")
+# Rule names and predicates.
 RENAMED_RULES = {
     "users": [USER_ID, Expectation("valid_msisdn", "msisdn IS NOT NULL AND length(msisdn) >= 10")],
     "data_usage": [USER_ID, Expectation("valid_bytes", "data_volume_uplink >= 0 AND data_volume_downlink >= 0")],

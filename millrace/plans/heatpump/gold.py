@@ -102,6 +102,7 @@ def current_state(samples: DataFrame, keys: Keys = ()) -> DataFrame:
 
 # -- per hour -----------------------------------------------------------------
 
+# Output columns, conditions and digits.
 HOURLY_STATS = [
     Metric("sample_count", "count"),
     *[Metric(f"{how}_{short}", how, col) for col, short, hows in [
@@ -139,6 +140,7 @@ def hourly_stats(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     return summarise(samples, [*keys, hour, "sw_version"], HOURLY_STATS)
 
 
+# Output columns, conditions and digits.
 HOURLY_DETAIL = [
     Metric("outdoor_avg_c", "avg", "bt1_outdoor_temp_c", digits=1),
     Metric("outdoor_min_c", "min", "bt1_outdoor_temp_c", digits=1),
@@ -176,6 +178,7 @@ def hourly_detail(samples: DataFrame, keys: Keys = ()) -> DataFrame:
 
 # -- per day ------------------------------------------------------------------
 
+# Output columns, conditions and digits.
 DAILY = [
     Metric("outdoor_min_c", "min", "bt1_outdoor_temp_c", digits=1),
     Metric("outdoor_max_c", "max", "bt1_outdoor_temp_c", digits=1),
@@ -251,6 +254,7 @@ def daily_summary(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     return days.withColumn("alarm_codes", F.coalesce("alarm_codes", F.array().cast("array<int>")))
 
 
+# Output columns, conditions and digits.
 FLOW = [
     Metric("delta_t_avg_k", "avg", "delta_t_k", digits=1),
     Metric("delta_t_max_k", "max", "delta_t_k", digits=1),
@@ -267,6 +271,7 @@ def flow_quality(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     return summarise(rows, [*keys, "log_date", band("compr_freq_act_hz", FREQ_BANDS).alias("freq_band")], FLOW)
 
 
+# Output columns, conditions and digits.
 CURVE = [
     Metric("calc_supply_c", "avg", "calc_supply_c", digits=1),
     Metric("actual_supply_c", "avg", "bt25_supply_c", digits=1),
@@ -286,6 +291,7 @@ def heating_curve(samples: DataFrame, keys: Keys = (), more_than: int = 20) -> D
     return grouped.filter(F.col("samples") > more_than)
 
 
+# Output columns, conditions and digits.
 QUALITY = [
     Metric("total_samples", "count"),
     Metric("null_bt1", "count", when="bt1_outdoor_temp_c IS NULL"),
@@ -370,6 +376,7 @@ def dhw_cycles(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     )
 
 
+# Output columns, conditions and digits.
 CYCLE = [
     Metric("freq_avg_hz", "avg", "compr_freq_act_hz", digits=0),
     Metric("freq_max_hz", "max", "compr_freq_act_hz", digits=0),
@@ -407,6 +414,7 @@ def cycles(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     )
 
 
+# Output columns, conditions and digits.
 CYCLE_SUMMARY = [
     Metric("total_cycles", "count"),
     Metric("avg_cycle_min", "avg", "duration_min", digits=1),

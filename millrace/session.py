@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -36,7 +37,8 @@ def apply_runtime(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (tests, a laptop) is a local folder chosen.
+    Where it is missing a cluster gets an error; a local session (tests, a laptop) gets a
+    folder of its own, with a warning.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -44,5 +46,6 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     chosen = tempfile.mkdtemp(prefix="millrace-")
+    warnings.warn(f"spark.checkpoint.dir is not set; written tables go to {chosen}", stacklevel=2)
     spark.conf.set("spark.checkpoint.dir", chosen)
     return chosen
