@@ -29,8 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm.common import written
 
 WINDOW, GRAM = 10, 5
-_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_GAP = r"[^\p{Alnum}\x{80}-\x{10FFFF}]+"
 
 
 def _text(text: str = "text") -> Column:
@@ -46,34 +45,41 @@ def exact(text: Column) -> Column:
     return words(F.translate(text, ascii_uppercase, ascii_lowercase))
 
 
-def _hash(first: Column, n: int) -> Column:
-    """Hash of the ``n`` words from a place on."""
-    return F.xxhash64(*[F.get("h", first + i) for i in range(n)], F.lit(n))
+def _grams(n: int) -> Column:
+    """Hash of the ``n`` words from each place on; places too near the end have one of no meaning.
 
+    Lower-casing is Unicode's here, which at most makes more words equal than A-Z alone.
+    """
+    hashed = F.transform(words(F.lower(_text())), lambda w: F.xxhash64(w))
+    return F.flatten(F.transform(F.array(hashed), lambda h: F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + j) for j in range(1, n)], F.lit(n)))))
 
-def fingerprints(texts: DataFrame, key: str, short: list[int], whole: bool = False) -> DataFrame:
-    """(key, place, n, print) of all texts.
 
-    ``n`` is the length of the window the print stands for.  A print of ``WINDOW`` stands
-    for the windows from ``place`` to ``place + WINDOW - GRAM``.  ``whole``: for the lengths
-    in ``short``, only texts of that length show a print.
+def fingerprints(texts: DataFrame, short: list[int], whole: bool, *keep: str) -> DataFrame:
+    """(keep, n_words, first, at, n, print): the fingerprints of all texts; each text has one row that is ``first``, be it without a print.
 
-    Lower-casing is Unicode's here, which at most makes more words equal than A-Z alone.
+    ``n`` is the length of the window a print stands for.  A print of ``WINDOW`` stands for
+    the windows from ``at`` to ``at + WINDOW - GRAM``: it is shown where the smallest gram
+    changes, and once in as many places at least.  ``whole``: for the lengths in ``short``,
+    only texts of that length show a print.
+
+    Grams are an array of their own, so the generated code that looks for the smallest one
+    stays small enough for the JVM to compile.
     """
-    hashed = F.transform(words(F.lower(_text())), lambda w: F.xxhash64(w))
-    at = F.col("at")
-    lowest = F.least(*[_hash(at + i, GRAM) for i in range(WINDOW - GRAM + 1)])
-    before = F.least(*[_hash(at - 1 + i, GRAM) for i in range(WINDOW - GRAM + 1)])
-    left = F.size("h") - at
-    rows = texts.select(key, hashed.alias("h")).select(key, "h", F.posexplode_outer("h").alias("at", "own"))
-    shown = (
-        rows.where(left >= WINDOW)
-        .select(key, "at", lowest.alias("print"), ((at % (WINDOW - GRAM + 1) == 0) | (lowest != before)).alias("new"))
-        .where("new").select(key, "at", F.lit(WINDOW).alias("n"), "print")
+    sizes = [GRAM, *short]
+    grams = texts.select(*keep, *[_grams(n).alias(f"_g{i}") for i, n in enumerate(sizes)])
+    rows = grams.select(*keep, F.size("_g0").alias("n_words"), *[f"_g{i}" for i in range(len(sizes))], F.posexplode_outer("_g0").alias("at", "_own"))
+    at, left, span = F.col("at"), F.col("n_words") - F.col("at"), WINDOW - GRAM + 1
+    lowest = F.least(*[F.get("_g0", at + i) for i in range(span)])
+    before = F.least(*[F.get("_g0", at - 1 + i) for i in range(span)])
+    first = F.coalesce(at == 0, F.lit(True))
+    new = F.coalesce((left >= WINDOW) & ((at % span == 0) | (lowest != before)), F.lit(False))
+    shown = rows.where(new | first).select(
+        *keep, "n_words", first.alias("first"), "at", F.lit(WINDOW).alias("n"), F.when(new, lowest).alias("print")
     )
-    for n in short:
+    for i, n in enumerate(short, 1):
         fits = (at == 0) & (left == n) if whole else left >= n
-        shown = shown.unionByName(rows.where(fits).select(key, "at", F.lit(n).alias("n"), _hash(at, n).alias("print")))
+        more = rows.where(fits).select(*keep, "n_words", F.lit(False).alias("first"), "at", F.lit(n).alias("n"), F.get(f"_g{i}", at).alias("print"))
+        shown = shown.unionByName(more)
     return shown
 
 
@@ -88,21 +94,27 @@ def _windows(items: DataFrame) -> DataFrame:
     return items.select("item_id", F.explode(F.flatten(cut)).alias("window")).distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
+def _met(docs: DataFrame, items: DataFrame, *keep: str) -> DataFrame:
+    """(keep, text_key, n_words, first, at, n, known): the first row of each text, and the places that meet an item's print."""
+    sized = items.select(F.size(exact(_text())).alias("size"))
+    short = sorted(r["size"] for r in sized.where((F.col("size") > 0) & (F.col("size") < WINDOW)).distinct().collect())
+    prints = written(fingerprints(items, short, True).where("print IS NOT NULL").select("n", "print").distinct().withColumn("known", F.lit(True)), "prints")
+    keyed = docs.select(*keep, F.sha2(_text(), 256).alias("text_key"), "text")
+    shown = fingerprints(keyed, short, False, *keep, "text_key")
+    return written(shown.join(prints, ["n", "print"], "left").where("known OR first").drop("print"), "met")
+
+
+def contamination(docs: DataFrame, items: DataFrame, met: DataFrame) -> DataFrame:
     """(text_key, n_hit, item_ids) of each distinct text of ``docs`` with a hit; ``item_ids`` sorted as strings."""
-    sized = items.select("item_id", "text", F.size(exact(_text())).alias("size"))
-    short = sorted(r["size"] for r in sized.where((F.col("size") > 0) & (F.col("size") < WINDOW)).select("size").distinct().collect())
-    prints = written(fingerprints(items, "item_id", short, whole=True).select("n", "print").distinct(), "prints")
     windows = written(_windows(items), "windows")
-
-    key = F.sha2(_text(), 256).alias("text_key")
-    keyed = docs.select(key, "text")
-    met = fingerprints(keyed, "text_key", short).join(prints, ["n", "print"]).select("text_key", "at", "n").distinct()
     around = F.when(F.col("n") == WINDOW, F.sequence(F.col("at"), F.col("at") + (WINDOW - GRAM))).otherwise(F.array("at"))
-    places = met.groupBy("text_key").agg(F.array_distinct(F.flatten(F.collect_list(F.transform(around, lambda i: F.struct(i.alias("at"), F.col("n").alias("n")))))).alias("places"))
+    places = met.where("known").select("text_key", "at", "n").distinct().groupBy("text_key").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.transform(around, lambda i: F.struct(i.alias("at"), F.col("n").alias("n")))))).alias("places")
+    )
     places = written(places, "places")
 
-    texts = keyed.join(places.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    texts = docs.select(F.sha2(_text(), 256).alias("text_key"), "text").join(places.select("text_key"), "text_key", "left_semi")
+    texts = texts.groupBy("text_key").agg(F.first("text").alias("text"))
     cut = F.transform(
         F.array(exact(_text())),
         lambda ws: F.transform(
@@ -122,17 +134,17 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def measure(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``docs`` (doc_id, text)."""
-    found = contamination(docs, items)
-    rows = docs.select("doc_id", F.sha2(_text(), 256).alias("text_key"), F.regexp_count(_text(), F.lit(_WORD)).cast("long").alias("n_words"))
+    met = _met(docs, items, "doc_id")
+    found = contamination(docs, items, met)
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
-    return rows.join(found, "text_key", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
+    return met.where("first").join(found, "text_key", "left").select(
+        "doc_id", F.greatest(F.col("n_words"), F.lit(0)).cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"),
     )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs`` without a hit, with their columns."""
-    found = contamination(docs, items).select("text_key")
+    found = contamination(docs, items, _met(docs, items)).select("text_key")
     rows = docs.select(F.struct("*").alias("row"), F.sha2(_text(), 256).alias("text_key"))
     return rows.join(found, "text_key", "left_anti").select("row.*")
