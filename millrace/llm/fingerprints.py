@@ -7,9 +7,11 @@ with fewer words has the shorter terms only; one without words has no vote: all
 
 Search: the bits are cut into ``BLOCKS`` blocks.  Fingerprints at a distance of ``RADIUS`` at
 most differ in that many blocks at most, so they agree on at least ``BLOCKS - RADIUS``.  There
-is a table for each choice of ``PICK`` = ``BLOCKS - RADIUS`` blocks, in which those blocks come
-first (a permutation of the bits); equal prefixes meet, and distances are then checked.  All
-within the radius are found.  Equal fingerprints are one row of the index, with their number.
+is a table for each choice of that many blocks, in which those blocks come first (a
+permutation of the bits); equal prefixes meet, and distances are then checked.  All within
+the radius are found.  Equal fingerprints are one row of the index, with their number.  With
+the default there are four tables of 32-bit prefixes; a larger radius takes more blocks, and
+more tables to keep prefixes long.
 
 Edited texts: documents in descending order of doc_id (no id last; ties by the text's hash,
 then the text) lie in ranges; each range is one task that goes through its documents once.
@@ -35,8 +37,7 @@ from millrace.llm.common import written
 
 BITS = 128
 WEIGHTS = (0.25, 1.0, 1.0)
-RADIUS, BLOCKS = 6, 8
-PICK = BLOCKS - RADIUS
+RADIUS, BLOCKS = 3, 4
 _FOUND = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -164,17 +165,17 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, b
     choices = list(combinations(range(blocks), blocks - radius))
 
     def tables(df: DataFrame, name: str) -> DataFrame:
-        keyed = [F.struct(F.lit(t).alias("t"), F.concat(*[F.substring(name, 1 + b * width, width) for b in choice]).alias("prefix")) for t, choice in enumerate(choices)]
-        return df.select(name, F.explode(F.array(*keyed)).alias("k")).select(name, "k.*")
+        keyed = [F.concat(F.lit(f"{t}:"), *[F.substring(name, 1 + b * width, width) for b in choice]) for t, choice in enumerate(choices)]
+        return df.select(F.unhex(name).alias(name), F.explode(F.array(*[F.xxhash64(k) for k in keyed])).alias("prefix"))
 
     left = tables(queries.select(F.col("fingerprint").alias("query")).distinct(), "query")
     right = tables(prints.select("fingerprint").distinct(), "fingerprint")
 
     def half(column: str, at: int) -> Column:
-        return F.conv(F.substring(column, at, 8), 16, 10).cast("long")
+        return F.conv(F.substring(F.hex(column), at, 8), 16, 10).cast("long")
 
     distance = sum((F.bit_count(half("query", i).bitwiseXOR(half("fingerprint", i))) for i in range(1, BITS // 4, 8)), F.lit(0))
-    met = left.join(right, ["t", "prefix"]).select("query", "fingerprint", distance.alias("distance"))
+    met = left.join(right, "prefix").select(F.lower(F.hex("query")).alias("query"), F.lower(F.hex("fingerprint")).alias("fingerprint"), distance.alias("distance"))
     return met.where(F.col("distance") <= radius).distinct()
 
 

@@ -402,7 +402,7 @@ def test_search_finds_all_within_the_radius(spark):
     base = rng.integers(0, 256, (12, 16), dtype=np.uint8)
     prints = [b.tobytes() for b in base]
     for b in base:
-        for flips in range(12):
+        for flips in range(8):
             bits = np.unpackbits(b)
             bits[rng.choice(128, flips, replace=False)] ^= 1
             prints.append(np.packbits(bits).tobytes())
