@@ -8,13 +8,15 @@ independent hashes.  Two texts are linked if an alignment keeps at least ``SIMIL
 them: the longest common run in order, over all different shingles of both.  As labelled
 shingles are unique, it is the longest increasing sequence of matched places; only places
 within the band that such an alignment can reach are looked at.  At a similarity of 0.8 a
-sketch agrees with a chance of about 0.4, so 24 of them miss a pair with 5 in a million.
+sketch agrees with a chance of about 0.8^8 = 0.17, so 48 of them miss such a pair with 1.5
+in ten thousand, at 0.85 with 3 in ten million.  At 0.4, say texts that share a long passage,
+3 in 100 pairs become candidates.  Candidates whose lengths differ too much are not compared.
 
 Classes are the connected groups of links.  Inside a bucket (texts with one sketch) no
-all-pairs join is made: members are compared with a few representatives, and only while the
-bucket still holds members of different classes that were not compared; the number of
-representatives grows fourfold a round.  So a bucket of thousands of similar texts costs one
-comparison each, and no link that a bucket offers is lost.
+all-pairs join is made: first members are compared with ``STARS`` representatives, which
+leaves a bucket of thousands of similar texts with one class.  Buckets that still hold
+several classes are settled in blocks: members outside the largest class against the rest,
+until their classes are linked.  So no link that a bucket offers is lost.
 
 Scale: exact copies are one node from the start; sketches are made where texts are read;
 buckets, representatives and classes come from minima that combine before the shuffle.  Texts
@@ -37,9 +39,10 @@ from millrace.llm import terms
 from millrace.llm.common import written
 
 SHINGLE, SIMILARITY = 5, 0.8
-SKETCHES, PICKED = 24, 4
+SKETCHES, PICKED = 48, 8
 _SEEDS = terms.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
+STARS, BLOCK = 4, 64
 _CELLS = 1 << 21
 
 
@@ -110,6 +113,27 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return len(tails) / (n + m - len(tails))
 
 
+def close_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs that hold enough common shingles, in whatever order, to be similar."""
+    both = left + right
+    if not left or not right:
+        return []
+    sizes = np.array([len(x) for x in both])
+    doc = np.repeat(np.arange(len(both)), sizes)
+    _, slot, times = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1  # those in one text alone cannot be common
+    keep = times[slot] > 1
+    doc, slot = doc[keep], shared[slot[keep]]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for a in range(0, int(shared[-1]) + 1, 1 << 15):
+        here = (slot >= a) & (slot < a + (1 << 15))
+        has = np.zeros((len(both), 1 << 15), np.float32)
+        has[doc[here], slot[here] - a] = 1
+        common += has[: len(left)] @ has[len(left) :].T
+    total = sizes[: len(left), None] + sizes[None, len(left) :] - common
+    return list(zip(*(x.tolist() for x in np.nonzero(common >= SIMILARITY * total - 1e-3))))
+
+
 def _sketched(docs: DataFrame) -> DataFrame:
     def made(batches):
         for batch in batches:
@@ -119,17 +143,19 @@ def _sketched(docs: DataFrame) -> DataFrame:
             batch = batch.take(pa.array(list(first.values()), pa.int64()))
             data, offsets = terms.buffer_of(batch["text"])
             for a, b in terms.slices(offsets):
-                rows, numbers = [], []
+                rows, numbers, sizes = [], [], []
                 for i, own in enumerate(shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), a):
                     if len(own):
                         rows += [i] * SKETCHES
+                        sizes += [len(own)] * SKETCHES
                         numbers.append(sketches(own))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [batch["key"].take(pa.array(rows)), pa.array(np.concatenate(numbers).view(np.int64))], ["key", "bucket"]
+                        [batch["key"].take(pa.array(rows)), pa.array(np.concatenate(numbers).view(np.int64)), pa.array(sizes, pa.int64())],
+                        ["key", "bucket", "size"],
                     )
 
-    return docs.select(key_of().alias("key"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(made, "key binary, bucket long")
+    return docs.select(key_of().alias("key"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(made, "key binary, bucket long, size long")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -161,54 +187,98 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(key, root) of all keys in ``links`` (key, other); the root is the smallest key of the group.
 
-    Each round takes the smallest root among a key and its neighbours, then the root's root,
-    so the number of rounds grows with the logarithm of a group's extent.
+    Each round takes the smallest root among a key and its neighbours, then that one's own
+    root, so the number of rounds grows with the logarithm of a group's extent.
     """
     both = written(links.unionByName(links.select(F.col("other").alias("key"), F.col("key").alias("other"))).distinct(), "links")
     roots = written(both.groupBy("key").agg(F.min(F.least("key", "other")).alias("root")), "roots")
     while True:
-        near = both.join(roots.select(F.col("key").alias("other"), "root"), "other").select("key", "root")
-        lower = near.unionByName(roots).groupBy("key").agg(F.min("root").alias("root"))
-        lower = written(lower, "roots")
-        above = lower.select(F.col("key").alias("root"), F.col("root").alias("above"))
-        after = written(lower.join(above, "root", "left").select("key", F.coalesce("above", "root").alias("root")), "roots")
-        if after.join(roots.withColumnRenamed("root", "was"), "key").where(F.col("root") != F.col("was")).isEmpty():
-            return after
-        roots = after
+        near = both.join(roots.select(F.col("key").alias("other"), "root"), "other").select("key", "root", F.lit(None).cast("binary").alias("was"))
+        lower = near.unionByName(roots.withColumn("was", F.col("root"))).groupBy("key").agg(F.min("root").alias("root"), F.max("was").alias("was"))
+        above = roots.select(F.col("key").alias("root"), F.col("root").alias("above"))
+        after = written(lower.join(above, "root", "left").select("key", F.least("root", "above").alias("root"), "was"), "roots")
+        if after.where(F.col("root") != F.col("was")).isEmpty():
+            return after.select("key", "root")
+        roots = after.select("key", "root")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after new links: the groups' roots are linked, then every key follows its root."""
+    of = roots.select("key", "root")
+    ends = links.join(of, "key", "left").select(F.coalesce("root", "key").alias("key"), "other")
+    ends = ends.join(of.withColumnRenamed("key", "other"), "other", "left").select("key", F.coalesce("root", "other").alias("other"))
+    joined = components(ends.where(F.col("key") != F.col("other")).distinct())
+    moved = joined.select(F.col("key").alias("root"), F.col("root").alias("to"))
+    followed = roots.join(moved, "root", "left").select("key", F.coalesce("to", "root").alias("root"))
+    return written(followed.unionByName(joined.join(roots.select("key"), "key", "left_anti")), "roots")
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (bucket, key, root) of buckets with more than one class."""
-    rooted = members.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    """Members (bucket, key, size, root) of buckets with more than one class."""
+    rooted = members.join(roots, "key", "left").select("bucket", "key", "size", F.coalesce("root", "key").alias("root"))
     ends = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     return rooted.join(ends.where("low < high").select("bucket"), "bucket", "left_semi")
 
 
+def _settled(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the classes that ``members`` (bucket, key, size, root) of open buckets still fall into.
+
+    In each bucket all members outside its largest class are compared with all members of
+    other classes than their own: both are dealt into blocks of ``BLOCK``, and each pair of
+    blocks is one small group, which stops comparing two classes once they are linked.  No
+    pair becomes a row.
+    """
+    held = members.groupBy("bucket", "root").count()
+    tops = held.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("top"), F.sum("count").alias("all"), F.max("count").alias("most"))
+    blocks = tops.select("bucket", "top", F.ceil(F.col("all") / BLOCK).alias("wide"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("high"))
+    dealt = members.join(blocks, "bucket").withColumn("spot", F.xxhash64("key", "bucket"))
+    wide, high = F.pmod("spot", "wide"), F.pmod(F.xxhash64("spot"), "high")
+    every = dealt.select("bucket", "key", "root", F.lit(False).alias("asks"), wide.alias("w"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("high") - 1)).alias("h"))
+    asking = dealt.where("root != top").select("bucket", "key", "root", F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)).alias("w"), high.alias("h"))
+
+    def compared(table: pa.Table) -> pa.Table:
+        data, offsets = terms.buffer_of(table["text"])
+        own, keys, roots = shingles(data, offsets), table["key"].to_pylist(), table["root"].to_pylist()
+        asks = table["asks"].to_pylist()
+        top = {r: r for r in roots}
+
+        def find(r: bytes) -> bytes:
+            while top[r] != r:
+                r = top[r]
+            return r
+
+        left = [i for i, x in enumerate(asks) if x]
+        right = [i for i, x in enumerate(asks) if not x]
+        found = []
+        for i, j in close_pairs([own[i] for i in left], [own[j] for j in right]):
+            i, j = left[i], right[j]
+            if find(roots[i]) != find(roots[j]) and similarity(own[i], own[j]) >= SIMILARITY:
+                top[find(roots[i])] = find(roots[j])
+                found.append((keys[i], keys[j]))
+        return pa.table([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["key", "other"])
+
+    shown = every.unionByName(asking).join(texts, "key")
+    return shown.groupBy("bucket", "w", "h").applyInArrow(compared, "key binary, other binary").distinct()
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(key, root) of every text that is linked with a different one."""
     spark = docs.sparkSession
     sketched = written(_sketched(docs), "sketches")
     none = spark.createDataFrame([], "key binary, root binary")
     shared = sketched.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    members = written(sketched.join(shared.select("bucket"), "bucket", "left_semi").distinct().withColumn("root", F.col("key")), "members")
+    members = written(sketched.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "members")
     wanted = members.select("key").distinct()
-    texts = docs.select(key_of().alias("key"), F.coalesce("text", F.lit("")).alias("text")).join(wanted, "key", "left_semi")
+    texts = docs.select(key_of().alias("key"), F.coalesce("text", F.lit("")).alias("text")).join(wanted.hint("merge"), "key", "left_semi")  # grows with the corpus: never broadcast
     texts = written(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
-    links = tested = spark.createDataFrame([], "key binary, other binary")
-    roots, picked, turn = none, 4, 0
-    while not members.isEmpty():
-        share = F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(picked))
-        chosen = written(members.groupBy("bucket", share.alias("share")).agg(F.min(F.struct("key", "root")).alias("c")).select("bucket", "c.*"), "chosen")
-        met = members.join(chosen.select("bucket", F.col("key").alias("other"), F.col("root").alias("other_root")), "bucket")
-        pairs = met.where(F.col("root") != F.col("other_root")).select(F.greatest("key", "other").alias("key"), F.least("key", "other").alias("other"))
-        pairs = written(pairs.distinct().join(tested, ["key", "other"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(written(_linked(pairs, texts), "links"))
-        roots = components(links)
-        left = members.select("bucket", "key").join(chosen, ["bucket", "key"], "left_anti")
-        members = written(_open(left, roots), "members")
-        picked, turn = picked * 4, turn + 1
-    return roots
+    share = F.pmod(F.xxhash64("key"), F.lit(STARS))
+    chosen = members.groupBy("bucket", share.alias("share")).agg(F.min(F.struct("key", "size")).alias("c")).select("bucket", F.col("c.key").alias("other"), F.col("c.size").alias("other_size"))
+    met = members.join(chosen, "bucket").where(F.col("key") != F.col("other")).where(F.least("size", "other_size") >= SIMILARITY * F.greatest("size", "other_size") - 1e-6)
+    pairs = written(met.select(F.greatest("key", "other").alias("key"), F.least("key", "other").alias("other")).distinct(), "pairs")
+    links = written(_linked(pairs, texts), "links")
+    roots = none if links.isEmpty() else components(links)
+    rest = written(_settled(_open(members, roots), texts), "links")
+    return roots if rest.isEmpty() else _merged(roots, rest)
 
 
 def group(docs: DataFrame) -> DataFrame:
@@ -229,5 +299,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     kept = written(_placed(docs).groupBy("root").agg(F.min(first).alias("first")).select("first.doc_id", "first.key"), "kept")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), key_of().alias("key"))
-    same = rows.alias("r").join(kept.alias("k"), (F.col("r.key") == F.col("k.key")) & F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    same = rows.alias("r").join(kept.alias("k").hint("merge"), (F.col("r.key") == F.col("k.key")) & F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
     return same.dropDuplicates(["key"]).select("row.*")
