@@ -113,7 +113,7 @@ def contamination(docs: DataFrame, items: DataFrame, met: DataFrame) -> DataFram
     )
     places = written(places, "places")
 
-    texts = docs.select(F.sha2(_text(), 256).alias("text_key"), "text").join(places.select("text_key"), "text_key", "left_semi")
+    texts = docs.select(F.sha2(_text(), 256).alias("text_key"), "text").join(places.select("text_key").hint("merge"), "text_key", "left_semi")  # grows with the corpus: never broadcast
     texts = texts.groupBy("text_key").agg(F.first("text").alias("text"))
     cut = F.transform(
         F.array(exact(_text())),
@@ -147,4 +147,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs`` without a hit, with their columns."""
     found = contamination(docs, items, _met(docs, items)).select("text_key")
     rows = docs.select(F.struct("*").alias("row"), F.sha2(_text(), 256).alias("text_key"))
-    return rows.join(found, "text_key", "left_anti").select("row.*")
+    return rows.join(found.hint("merge"), "text_key", "left_anti").select("row.*")
