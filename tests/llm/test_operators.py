@@ -174,6 +174,24 @@ def test_pii(docs, texts, private):
     assert pii.measure(docs.limit(0), pii.fit(docs.limit(0))).count() == 0
 
 
+def test_pii_adds_spelt_out_addresses_and_turns_down_by_context(spark):
+    texts = []
+    for i in range(300):
+        texts.append(f"please contact u{i} (at) host{i} dot com for more, or u{i}@host{i}.org; card 4111.1111.1111.1111 ok")
+        texts.append(f"mail u{i} at host{i}.net soon")
+        texts += [f"we sat at table{i}.{x}" for x in ("top", "left", "x1")]  # no real end
+        texts.append(f"lot {4000 + i}.1111.2222.{3000 + 7 * i} and 4111.1111.1111.1112 in stock")  # most fail their check
+    texts += ["please contact eve (at) corp dot org for more", "mail eve at corp.org soon", "we sat at corp.org", "lot 4111.1111.1111.1111 in stock"]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = pii.fit(given)
+    assert "valid" not in pii.FEATURES and 0 in model.threshold
+    got = {r.doc_id: set(filter(None, r.spans.split(","))) for r in pii.measure(given, model).collect()}
+    last = [got[i] for i in range(len(texts) - 4, len(texts))]
+    assert last[0] == {"email:15:36"} and last[1] == {"email:5:20"}
+    assert last[2] == set() and last[3] == set()  # both pass their check
+    assert any(s.startswith("card:") for s in got[0])
+
+
 def test_redaction(spark):
     given = [(1, "ann@x.org or +1 (017) 555-7713, é 10.0.0.1.", 5, "row"), (2, None, None, None), (3, "", 0, ""), (4, "clean", 5, "x")]
     table = spark.createDataFrame(given, "doc_id long, text string, n_chars long, row string")
