@@ -5,13 +5,15 @@ more (``WEIGHTS``), as they say more about a text than words every text has.  Ea
 hash votes on ``BITS`` signed bits with its weight; the sign of the sum is the bit.  A text
 with fewer words has the shorter terms only; one without words has no vote: all bits 0.
 
-Search: the bits are cut into ``BLOCKS`` blocks.  Fingerprints at a distance of ``RADIUS`` at
-most differ in that many blocks at most, so they agree on at least ``BLOCKS - RADIUS``.  There
-is a table for each choice of that many blocks, in which those blocks come first (a
-permutation of the bits); equal prefixes meet, and distances are then checked.  All within
-the radius are found.  Equal fingerprints are one row of the index, with their number.  With
-the default there are four tables of 32-bit prefixes; a larger radius takes more blocks, and
-more tables to keep prefixes long.
+Search: the bits are cut into ``BLOCKS`` blocks, with a table for each in which its bits come
+first (a permutation).  With ``RADIUS`` = s * ``BLOCKS`` + a, fingerprints that differ in
+``RADIUS`` bits at most differ in s bits at most in one of the first a + 1 blocks, or in s - 1
+at most in one of the others: else they would differ in more than ``RADIUS``.  So a query asks
+each table for its own prefix and for those with so many bits changed.  All within the radius
+are found, and each pair counts in the first table it meets in.  Equal fingerprints are one
+row of the index, with their number.  With the default a fingerprint is in four tables of
+32-bit prefixes, and a query, one row in twenty, asks for 33 prefixes in three of them and one
+in the last.
 
 Edited texts: documents in descending order of doc_id (no id last; ties by the text's hash,
 then the text) lie in ranges; each range is one task that goes through its documents once.
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 from hashlib import sha256
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ from millrace.llm.common import written
 
 BITS = 128
 WEIGHTS = (0.25, 1.0, 1.0)
-RADIUS, BLOCKS = 3, 4
+RADIUS, BLOCKS = 6, 4
 _FOUND = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -159,24 +162,54 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, b
     """(query, fingerprint, distance) of all fingerprints within ``radius`` of each query's one.
 
     ``prints`` and ``queries`` have a column ``fingerprint`` (hex); each distinct value is one
-    row here, so copies cost nothing.  Rows that meet in several tables are counted once.
+    row here, so copies cost nothing.
     """
-    width = BITS // 4 // blocks
-    choices = list(combinations(range(blocks), blocks - radius))
-
-    def tables(df: DataFrame, name: str) -> DataFrame:
-        keyed = [F.concat(F.lit(f"{t}:"), *[F.substring(name, 1 + b * width, width) for b in choice]) for t, choice in enumerate(choices)]
-        return df.select(F.unhex(name).alias(name), F.explode(F.array(*[F.xxhash64(k) for k in keyed])).alias("prefix"))
-
-    left = tables(queries.select(F.col("fingerprint").alias("query")).distinct(), "query")
-    right = tables(prints.select("fingerprint").distinct(), "fingerprint")
-
-    def half(column: str, at: int) -> Column:
-        return F.conv(F.substring(F.hex(column), at, 8), 16, 10).cast("long")
-
-    distance = sum((F.bit_count(half("query", i).bitwiseXOR(half("fingerprint", i))) for i in range(1, BITS // 4, 8)), F.lit(0))
-    met = left.join(right, "prefix").select(F.lower(F.hex("query")).alias("query"), F.lower(F.hex("fingerprint")).alias("fingerprint"), distance.alias("distance"))
-    return met.where(F.col("distance") <= radius).distinct()
+    width = BITS // blocks
+    if width * blocks != BITS or 64 % width or width > 32:
+        raise ValueError("blocks must cut the bits into equal parts of 32 bits at most")
+    deep, more = divmod(radius, blocks)
+    changes = [deep if b <= more else deep - 1 for b in range(blocks)]  # bits that may differ in a block; -1: its table is not needed
+
+    def block(words: list[Column], b: int) -> Column:
+        at = b * width
+        return F.shiftrightunsigned(words[at // 64], 64 - width - at % 64).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+
+    def halves(name: str) -> list[Column]:
+        return [(F.shiftleft(F.conv(F.substring(name, i, 8), 16, 10).cast("long"), 32).bitwiseOR(F.conv(F.substring(name, i + 8, 8), 16, 10).cast("long"))) for i in (1, 17)]
+
+    def split(df: DataFrame, name: str) -> DataFrame:
+        high, low = halves("fingerprint")
+        return df.select("fingerprint").distinct().select(high.alias(f"{name}_high"), low.alias(f"{name}_low"))
+
+    def own(name: str) -> list[Column]:
+        return [F.col(f"{name}_high"), F.col(f"{name}_low")]
+
+    def table(b: int, value: Column) -> Column:
+        return value.bitwiseOR(F.lit(b << width).cast("long"))
+
+    used = [b for b in range(blocks) if changes[b] >= 0]
+    masks = [sum(1 << i for i in bits) for n in range(deep + 1) for bits in combinations(range(width), n)]
+    shallow = sum(comb(width, n) for n in range(deep))
+
+    def near(b: int) -> Column:
+        some = masks[:shallow] if changes[b] < deep else masks
+        return F.transform(F.array(*[F.lit(m).cast("long") for m in some]), lambda m: table(b, block(own("query"), b).bitwiseXOR(m)))
+
+    asked = F.concat(*[near(b) for b in used])
+    left = split(queries, "query").select("*", F.explode(asked).alias("prefix"))
+    right = split(prints, "print").select("*", F.explode(F.array(*[table(b, block(own("print"), b)) for b in used])).alias("prefix"))
+    differ = [q.bitwiseXOR(p) for q, p in zip(own("query"), own("print"))]
+    distance = F.bit_count(differ[0]) + F.bit_count(differ[1])
+    first = F.lit(-1)
+    for b in reversed(used):
+        first = F.when(F.bit_count(block(differ, b)) <= changes[b], b).otherwise(first)
+    once = F.shiftright("prefix", width) == first
+    met = left.hint("merge").join(right, "prefix").where((distance <= radius) & once)  # queries grow with the corpus: never broadcast
+
+    def hexed(name: str) -> Column:
+        return F.lower(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in own(name)]))
+
+    return met.select(hexed("query").alias("query"), hexed("print").alias("fingerprint"), distance.alias("distance"))
 
 
 def search(found: DataFrame) -> DataFrame:

@@ -432,6 +432,30 @@ def test_search_finds_all_within_the_radius(spark):
     assert {r.doc_id: r.n_near for r in got if r.n_near is not None} == want
 
 
+def test_search_reaches_distance_six(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 256, (12, 16), dtype=np.uint8)
+    base[0], base[1] = 0, 255
+    prints, planted = [], []
+    for b in base:
+        for flips in range(12):
+            for spread in (range(128), range(30, 66), [7, 8, 40, 41, 70, 71, 100, 101, 9, 42, 72, 102]):  # anywhere; in two blocks; dealt over all blocks
+                bits = np.unpackbits(b)
+                bits[rng.choice(spread, flips, replace=False)] ^= 1
+                prints.append(np.packbits(bits).tobytes())
+                planted.append(flips)
+    table = spark.createDataFrame([(i, p.hex()) for i, p in enumerate(prints)], "doc_id long, fingerprint string")
+    number = [int(p.hex(), 16) for p in prints]
+    apart = lambda a, b: bin(a ^ b).count("1")
+    want = {i: sum(apart(number[i], x) <= 6 for x in number) for i in range(0, len(prints), 20)}
+    assert {r.doc_id: r.n_near for r in fingerprints.search(table).collect() if r.n_near is not None} == want
+    assert {4, 5, 6} <= {apart(number[i], x) for i in want for x in number}
+    asked = table.where("doc_id % 20 = 0")
+    for radius, blocks in ((6, 4), (3, 4), (2, 4), (6, 8), (9, 4)):
+        pairs = sorted((p.hex(), q.hex()) for p in {prints[i] for i in want} for q in set(prints) if apart(int(p.hex(), 16), int(q.hex(), 16)) <= radius)
+        assert sorted((r.query, r.fingerprint) for r in fingerprints.within_radius(table, asked, radius, blocks).collect()) == pairs
+
+
 def test_quality(spark, docs):
     from pyspark.sql import functions as F
 
