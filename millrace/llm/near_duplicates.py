@@ -7,10 +7,19 @@ when they share those shingles in the same order.  There are ``SKETCHES`` of the
 independent hashes.  Two texts are linked if an alignment keeps at least ``SIMILARITY`` of
 them: the longest common run in order, over all different shingles of both.  As labelled
 shingles are unique, it is the longest increasing sequence of matched places; only places
-within the band that such an alignment can reach are looked at.  At a similarity of 0.8 a
-sketch agrees with a chance of about 0.8^8 = 0.17, so 48 of them miss such a pair with 1.5
-in ten thousand, at 0.85 with 3 in ten million.  At 0.4, say texts that share a long passage,
-3 in 100 pairs become candidates.  Candidates whose lengths differ too much are not compared.
+within the band that such an alignment can reach are looked at.
+
+Short texts are found exactly: a text of n shingles that is similar to another shares at least
+``SIMILARITY`` * n of them, so the two share one among the first n - ceil(``SIMILARITY`` * n) + 1
+of each in any one order of all shingles.  Those are the buckets of every text that can be
+similar to one of at most ``SHORT`` shingles.  The order puts shingles last that a bounded sample
+of texts shows often; it decides the cost alone, not what is found.
+
+Texts of more shingles meet by sketches.  With c shingles common of u in all, a sketch agrees
+with a chance of C(c, 8) / C(u, 8).  At a similarity of 0.8, 48 of them miss a pair with 3.5 in
+ten thousand at 64 common of 80, 2.1 at 160 of 200, 1.5 for long texts; at 0.85 with 3 in ten
+million for long texts.  At 0.4, say texts that share a long passage, 3 in 100 pairs become
+candidates.  Candidates whose lengths differ too much are not compared.
 
 Classes are the connected groups of links.  Inside a bucket (texts with one sketch) no
 all-pairs join is made: first members are compared with ``STARS`` representatives, which
@@ -30,16 +39,19 @@ empty table gives no row.
 from __future__ import annotations
 
 from bisect import bisect_left
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm import terms
-from millrace.llm.common import written
+from millrace.llm.common import bounded_sample, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PICKED = 48, 8
+SHORT = 60
+SAMPLE, OFTEN = 20_000, 1 << 16
 _SEEDS = terms.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
 STARS, BLOCK = 4, 64
@@ -90,6 +102,36 @@ def sketches(own: np.ndarray) -> np.ndarray:
     return out
 
 
+def rarest(own: np.ndarray, often: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """A number for each labelled shingle of which similar texts share at least one; ``often`` (sorted), shown ``times``, come last."""
+    n = len(own)
+    first = n - ceil(SIMILARITY * n - 1e-6) + 1
+    rank = np.zeros(n, np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, own), len(often) - 1)
+        rank = np.where(often[at] == own, times[at], 0)
+    return terms.mix(own[np.lexsort((own, rank))[:first]] + _ODD)
+
+
+def _often(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a bounded sample of short texts shows more than twice, and how often; a bounded number of them."""
+
+    def made(batches):
+        for batch in batches:
+            data, offsets = terms.buffer_of(batch["text"])
+            for a, b in terms.slices(offsets):
+                own = [x for x in shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) if len(x) * SIMILARITY <= SHORT]
+                if own:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], ["gram"])
+
+    sample = bounded_sample(docs.select(F.coalesce("text", F.lit("")).alias("text")), SAMPLE, F.col("text"))
+    shown = sample.mapInArrow(made, "gram long").groupBy("gram").count().where("count > 2")
+    rows = shown.orderBy(F.desc("count"), "gram").limit(OFTEN).collect()
+    grams, times = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    order = np.argsort(grams)
+    return grams[order], times[order]
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Aligned shingles over all of both; exact from ``least`` on, else some value below it."""
     n, m = len(a), len(b)
@@ -135,6 +177,8 @@ def close_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[i
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
+    often, times = _often(docs)
+
     def made(batches):
         for batch in batches:
             first = {}
@@ -145,10 +189,13 @@ def _sketched(docs: DataFrame) -> DataFrame:
             for a, b in terms.slices(offsets):
                 rows, numbers, sizes = [], [], []
                 for i, own in enumerate(shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), a):
-                    if len(own):
-                        rows += [i] * SKETCHES
-                        sizes += [len(own)] * SKETCHES
-                        numbers.append(sketches(own))
+                    own_numbers = [rarest(own, often, times)] if len(own) and len(own) * SIMILARITY <= SHORT else []
+                    if len(own) > SHORT:
+                        own_numbers.append(sketches(own))
+                    for some in own_numbers:
+                        rows += [i] * len(some)
+                        sizes += [len(own)] * len(some)
+                        numbers.append(some)
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [batch["key"].take(pa.array(rows)), pa.array(np.concatenate(numbers).view(np.int64)), pa.array(sizes, pa.int64())],

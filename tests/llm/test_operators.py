@@ -339,6 +339,31 @@ def test_near_duplicates(spark):
     assert near_duplicates.group(table.limit(0)).count() == 0
 
 
+def test_near_copies_of_short_texts(spark):
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(12)]
+    texts = []
+    for n in [*range(5, 26), 40, 63, 64, 66] * 3:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(n)] + rng.choice([[], passage])
+        for words in (own, ["new", *own], [*own, "new"], ["new", *own[1:]], [*own[:-1], "new"], [*own[: n // 2], "new", *own[n // 2 :]]):
+            texts.append(" ".join(words))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = near_duplicates.shingles(*terms.buffer_of(pa.array(texts)))
+    top = list(range(len(texts)))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if texts[i] == texts[j] or near_duplicates.similarity(own[i], own[j]) >= near_duplicates.SIMILARITY:
+            a, b = sorted((find(i), find(j)))
+            top[b] = a
+    assert {r.doc_id: r.class_id for r in near_duplicates.group(table).collect()} == {i: find(i) for i in range(len(texts))}
+    assert sum(find(i) != i for i in range(len(texts))) > 200
+
+
 def test_alignment_is_exact_from_the_threshold_on():
     rng = random.Random(4)
 
