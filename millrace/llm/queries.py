@@ -6,7 +6,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import byte_bpe, decontaminate, fingerprints, language, near_duplicates, pii, quality, token_counts, token_files, url_filters
+from millrace.llm import (
+    byte_bpe, decontaminate, filter_audit, fingerprints, language, near_duplicates, pii, quality, token_counts, token_files, url_filters,
+)
 from millrace.llm.common import fresh_path, ready
 
 QUERIES = {}
@@ -89,6 +91,12 @@ def op2_url_filters(spark, sf_dir):
     return url_filters.judge(url_filters.captures_of(pages), url_filters.lists_of(pages)).withColumnRenamed("id", "page_id")
 
 
+@query
+def op11_filter_audit(spark, sf_dir):
+    """What each of five filters removes, in each of their 120 orders, per language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _number = "('0x' || substr(md5({}), 1, 6))::BIGINT"
 _host = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1))"
 _path = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
@@ -136,6 +144,34 @@ SELECT doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(len(ids), 0)::
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)"""
 
 
+_removed = "contains(bad, f) AND NOT gone"
+ORACLE["op11_filter_audit"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () rid, doc_id, coalesce(lang, '') part, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents),
+labelled AS (SELECT doc_id, max(quality) quality, max(toxic) toxic FROM labels GROUP BY doc_id),
+flagged AS (
+  SELECT part, coalesce(quality = 1, false) good, coalesce(toxic = 1, false) toxic, concat(
+    CASE WHEN len(w) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' END, CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) bad
+  FROM d LEFT JOIN labelled USING (doc_id)),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] f, filter_order[:step - 1] earlier FROM (SELECT filter_order, unnest(range(1, 6)) step FROM orders)),
+cells AS (SELECT part, good, toxic, bad, count(*) n FROM flagged GROUP BY ALL),
+laid AS (SELECT *, step > 1 AND len(list_intersect(string_split(bad, ''), string_split(earlier, ''))) > 0 gone FROM cells, steps),
+shown AS (
+  SELECT part, filter_order, step, sum(n) FILTER (NOT contains(bad, f) AND NOT gone) kept, sum(n) FILTER ({_removed}) removed,
+    sum(n) FILTER (contains(bad, f) AND gone) redundant, sum(n) FILTER (bad = f) unique_fails, sum(n) FILTER ({_removed} AND good) good_lost,
+    sum(n) FILTER ({_removed} AND toxic) toxic_lost, any_value(f) f
+  FROM laid GROUP BY part, filter_order, step),
+shares AS (SELECT part, f, sum(removed) shapley FROM shown GROUP BY part, f)
+SELECT part, filter_order, step::INT step, {", ".join(f"coalesce({c}, 0)::BIGINT {c}" for c in "kept removed redundant unique_fails good_lost toxic_lost shapley".split())}
+FROM shown JOIN shares USING (part, f)"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
