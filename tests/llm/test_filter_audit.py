@@ -16,11 +16,9 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0d]+", text or "")
 
 
-@pytest.mark.parametrize("shard", [1 << 12, 8 << 20])
-def test_matrix_holds_every_word_under_one_id(spark, docs, texts, monkeypatch, shard):
-    monkeypatch.setattr(term_matrix, "SHARD", shard)
-    # the tasks' own copy of the module keeps the default: small shards come from small partitions
-    shards, known = term_matrix.matrix(docs.repartition(5 if shard < 1 << 20 else 1), F.col("doc_id"), F.col("text").alias("whole"), F.col("key"))
+@pytest.mark.parametrize(("tasks", "buckets"), [(5, 3), (1, 1024)])
+def test_matrix_holds_every_word_under_one_id(spark, docs, texts, tasks, buckets):
+    shards, known = term_matrix.matrix(docs.repartition(tasks), F.col("doc_id"), F.col("text").alias("whole"), F.col("key"), buckets=buckets)
     ids = {r["word"]: r["word_id"] for r in known.collect()}
     assert sorted(ids.values()) == list(range(len(ids))) and set(ids) == {w for _, t in texts for w in words(t)}
     names = {i: w for w, i in ids.items()}
