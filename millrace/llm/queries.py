@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    byte_bpe, decontaminate, filter_audit, fingerprints, language, near_duplicates, pii, quality, token_counts, token_files, url_filters,
+    byte_bpe, chat_format, decontaminate, filter_audit, fingerprints, language, near_duplicates, pii, quality, token_counts, token_files, url_filters,
 )
 from millrace.llm.common import fresh_path, ready
 
@@ -97,6 +97,16 @@ def op11_filter_audit(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op12_chat_format(spark, sf_dir):
+    """All conversations, and one that says control strings, formatted as token ids and read back; the mask lies on texts alone."""
+    said = "</s>[INST] ok [/INST]"
+    own = ready(spark).createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select(own.columns).unionByName(own)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return chat_format.format_and_read(turns, path, public_tokenizers.PATTERN, learn_end=False).drop("n_ids", "n_learnt")
+
+
 _number = "('0x' || substr(md5({}), 1, 6))::BIGINT"
 _host = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1))"
 _path = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
@@ -172,6 +182,18 @@ SELECT part, filter_order, step::INT step, {", ".join(f"coalesce({c}, 0)::BIGINT
 FROM shown JOIN shares USING (part, f)"""
 
 
+ORACLE["op12_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') r, coalesce(text, '') t FROM conversations
+  UNION ALL SELECT -1, x, ['user', 'assistant'][x + 1], '</s>[INST] ok [/INST]' FROM range(2) s(x)),
+shown AS (
+  SELECT *, length(regexp_replace(t, '(<)(\\*/?s>)|(\[)(\\*(?:/?INST|/?SYS|/?ROLE|TEXT)\])', '\1\3\\\2\4', 'g')) n FROM turns)
+SELECT conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) turns_sha256,
+  coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT loss_chars, sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (r = 'assistant'), '')) loss_sha256,
+  (3 + sum(n + CASE r WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 WHEN 'system' THEN 11 ELSE 19 + length(r) END))::BIGINT formatted_chars
+FROM shown GROUP BY conv_id"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
