@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    byte_bpe, chat_format, decontaminate, filter_audit, fingerprints, language, near_duplicates, pii, quality, token_counts, token_files, url_filters,
+    byte_bpe, chat_format, decontaminate, filter_audit, fingerprints, importance, language, near_duplicates, pii, quality, token_counts, token_files, url_filters,
 )
 from millrace.llm.common import fresh_path, ready
 
@@ -107,6 +107,12 @@ def op12_chat_format(spark, sf_dir):
     return chat_format.format_and_read(turns, path, public_tokenizers.PATTERN, learn_end=False).drop("n_ids", "n_learnt")
 
 
+@query
+def op13_importance(spark, sf_dir):
+    """Five percent of the documents, drawn towards the benchmark's n-grams."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _number = "('0x' || substr(md5({}), 1, 6))::BIGINT"
 _host = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1))"
 _path = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
@@ -194,6 +200,30 @@ SELECT conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10)
 FROM shown GROUP BY conv_id"""
 
 
+_words = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_runs = "SELECT rid, array_to_string(w[j:j + k - 1], ' ') g FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) j FROM {} CROSS JOIN range(1, 4) r(k) WHERE len(w) >= k)"
+# the checksum bit by bit: each byte is put in, then seven times nothing
+_bits = "flatten(list_transform(range(strlen(g)), lambda i: [('0x' || substr(hex(g), 2 * i + 1, 2))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+_crc = f"xor(4294967295, list_reduce({_bits}, lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)), 4294967295))"
+ORACLE["op13_importance"] = f"""
+WITH d AS (SELECT row_number() OVER () rid, doc_id, {_words} w FROM documents),
+b AS (SELECT row_number() OVER () rid, {_words} w FROM benchmark),
+df AS ({_runs.format("d")}), bf AS ({_runs.format("b")}),
+known AS (SELECT g, {_crc} % 10000 bucket FROM (SELECT g FROM df UNION SELECT g FROM bf)),
+s AS (SELECT bucket, count(*) n FROM df JOIN known USING (g) GROUP BY bucket),
+t AS (SELECT bucket, count(*) n FROM bf JOIN known USING (g) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM df) + 10000)::DOUBLE)
+    / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM bf) + 10000)::DOUBLE)))::BIGINT gain FROM s LEFT JOIN t USING (bucket)),
+weighed AS (SELECT rid, count(*) n_features, sum(gain)::BIGINT weight FROM df JOIN known USING (g) JOIN gains USING (bucket) GROUP BY rid),
+shown AS (
+  SELECT doc_id, len(w) >= 20 able, coalesce(n_features, 0) n_features, coalesce(weight, 0) weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT score
+  FROM d LEFT JOIN weighed USING (rid)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) place, count(*) FILTER (able) OVER () n FROM shown)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * n // 100 THEN place END AS rank FROM ranked"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
