@@ -29,11 +29,13 @@ class TopicSource:
     security: dict = field(default_factory=dict)
     session_timeout_ms: int = 45_000
     request_timeout_ms: int = 60_000
+    per_batch: int | None = None  # messages (files where they stand for topics) of one micro-batch at most
 
     def options(self, topics: Sequence[str]) -> dict[str, str]:
         if self.fmt != "kafka":
-            return {}
+            return {"maxFilesPerTrigger": str(self.per_batch)} if self.per_batch else {}
         return {
+            **({"maxOffsetsPerTrigger": str(self.per_batch)} if self.per_batch else {}),
             "kafka.bootstrap.servers": self.servers or "",
             "subscribe": ",".join(topics),
             "startingOffsets": self.starting,

@@ -1,13 +1,16 @@
-"""Append streams, keyed upserts and stream de-duplication."""
+"""Append streams, keyed upserts, stream de-duplication, one stream into many tables."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from millrace.operators.cdc import dedup, scd1
+from millrace.sources.tables import read_table, write_table
 
 
 def append_stream(
@@ -23,73 +26,51 @@ def append_stream(
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    return _triggered(writer.option("path", path), trigger, every)
+
+
+def _triggered(writer: DataStreamWriter, trigger: str, every: str) -> StreamingQuery:
     writer = writer.trigger(availableNow=True) if trigger == "available" else writer.trigger(processingTime=every)
-    return writer.start(path)
+    return writer.start()
+
+
+def upsert_stream(
+    df: DataFrame, keys: Sequence[str], sequence: Sequence[str], path: str, checkpoint: str,
+    trigger: str = "available", every: str = "1 minute",
+) -> StreamingQuery:
+    """Append the latest row per key of each micro-batch, one partition per batch id.
+
+    The cost of a batch follows the batch, not the table; a replayed batch overwrites its own
+    partition.  ``current`` reads the table, ``compacted`` makes a smaller one.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        scd1(batch, keys, sequence).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _triggered(df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint), trigger, every)
 
 
-class KeyedTable:
-    """Latest row per key, fed by a stream.
+def current(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], base: DataFrame | None = None) -> DataFrame:
+    """Latest row per key of what an ``upsert_stream`` wrote.
 
-    Each micro-batch appends only its own winners, one folder per batch id, so the cost of
-    a batch follows the batch and not the table.  A replayed batch overwrites its own
-    folder, or is skipped where a snapshot holds it already.  After ``compact_after`` folders
-    the state is written as a snapshot; the folders and the snapshot it replaces are removed
-    once the next snapshot stands, so a reader that started before still finds its files.
-    Readers take the latest row per key over the newest snapshot and the folders after it:
-    at most ``2 * compact_after`` folders, however long the stream runs.  Arrival order does
-    not matter: winners are chosen by ``sequence``.
+    With ``base``, a compacted copy, only batches behind it are read (the batch id is a
+    partition column).  Arrival order does not matter: winners are chosen by ``sequence``.
     """
+    if base is not None:
+        through = base.agg(F.max("batch_id")).first()[0]
+        changes = base.unionByName(changes if through is None else changes.where(F.col("batch_id") > through))
+    return scd1(changes, keys, sequence).drop("batch_id")
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], sequence: Sequence[str], compact_after: int = 20):
-        self.spark, self.path, self.compact_after = spark, path.rstrip("/"), compact_after
-        self.keys, self.sequence = list(keys), list(sequence)
-
-    def _numbers(self, folder: str) -> list[int]:
-        """Finished tables below a folder, by number."""
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        done = [s.getPath() for s in fs.listStatus(root) if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return sorted(int(p.getName()) for p in done)
-
-    def _remove(self, folder: str, number: int) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/{number}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        snapshots = self._numbers("snapshots")
-        if snapshots and batch_id <= snapshots[-1]:
-            return
-        scd1(batch, self.keys, self.sequence).write.mode("overwrite").parquet(f"{self.path}/changes/{batch_id}")
-        since = snapshots[-1] if snapshots else -1
-        if sum(n > since for n in self._numbers("changes")) >= self.compact_after:
-            self.compact()
-
-    def start(self, stream: DataFrame, checkpoint: str, trigger: str = "available", every: str = "1 minute") -> StreamingQuery:
-        writer = stream.writeStream.foreachBatch(self.write_batch).option("checkpointLocation", checkpoint)
-        writer = writer.trigger(availableNow=True) if trigger == "available" else writer.trigger(processingTime=every)
-        return writer.start()
-
-    def read(self) -> DataFrame:
-        """Current rows."""
-        snapshots = self._numbers("snapshots")
-        since = snapshots[-1] if snapshots else -1
-        paths = [f"{self.path}/snapshots/{since}"] * bool(snapshots)
-        paths += [f"{self.path}/changes/{n}" for n in self._numbers("changes") if n > since]
-        return scd1(self.spark.read.parquet(*paths), self.keys, self.sequence)
-
-    def compact(self) -> int:
-        """Write the current rows as a snapshot, named by the last batch in it; retire what older ones replaced."""
-        old, through = self._numbers("snapshots"), self._numbers("changes")[-1]
-        self.read().write.mode("overwrite").parquet(f"{self.path}/snapshots/{through}")
-        if old:
-            for n in self._numbers("changes"):
-                if n <= old[-1]:
-                    self._remove("changes", n)
-            for n in old[:-1]:
-                self._remove("snapshots", n)
-        return through
+
+def compacted(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], path: str, base: DataFrame | None = None) -> DataFrame:
+    """Write the latest row per key to ``path``, a new table that covers all batches in ``changes``; a plain batch job.
+
+    Every row gets the number of the last batch covered.
+    """
+    through = changes.agg(F.max("batch_id")).first()[0]
+    rows = current(changes, keys, sequence, base).withColumn("batch_id", F.lit(through).cast(changes.schema["batch_id"].dataType))
+    write_table(rows, path)
+    return read_table(changes.sparkSession, path)
 
 
 def dedup_stream(
@@ -106,6 +87,51 @@ def dedup_stream(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         dedup(batch, keys, order).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if trigger == "available" else writer.trigger(processingTime=every)
-    return writer.start()
+    return _triggered(df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint), trigger, every)
+
+
+def dedup_within(
+    df: DataFrame, keys: Sequence[str], event_time: str, delay: str, path: str, checkpoint: str,
+    trigger: str = "available", every: str = "1 minute",
+) -> StreamingQuery:
+    """Append the first delivery per key, also across micro-batches.
+
+    The state holds the keys whose event time lies within ``delay`` of the latest one seen,
+    so it is bounded by the rate of events, not by the age of the stream.  Rows later than
+    that are not written here, be they repeats or not: ``late_rows`` finds those among them
+    that never got through.
+    """
+    once = df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    return append_stream(once, path, checkpoint, trigger, every)
+
+
+def late_rows(arrived: DataFrame, kept: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows of ``arrived`` of which no delivery is among ``kept``, one per key: the side table of ``dedup_within``.
+
+    A batch job over the append tables; give both the same days to bound it.  Keys may be
+    NULL.  ``kept`` and this together hold every key once.
+    """
+    there = kept.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return dedup(arrived.join(there, on, "left_anti"), keys, order)
+
+
+def fan_out(
+    df: DataFrame, tables: Mapping[str, Callable[[DataFrame], DataFrame]], path_of: Callable[[str], str], checkpoint: str,
+    trigger: str = "available", every: str = "1 minute",
+) -> StreamingQuery:
+    """One stream into several tables: each names its rows of a micro-batch and their columns.
+
+    The source is read once a micro-batch, which is held while its tables are written, each
+    into a partition of the batch id; a replayed batch overwrites what it wrote, in all tables.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, rows in tables.items():
+                rows(held).write.mode("overwrite").parquet(f"{path_of(name)}/batch_id={batch_id}")
+        finally:
+            held.unpersist()
+
+    return _triggered(df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint), trigger, every)
