@@ -227,6 +227,29 @@ def delta(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], order: st
     return df.withColumns({out: F.col(src) - F.lag(src).over(w) for src, out in cols.items()})
 
 
+def _days(keys: Sequence[str], day: str):
+    return Window.partitionBy(*keys).orderBy(F.unix_date(F.col(day).cast("date")))
+
+
+def moving_avg_days(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], day: str, days: int = 7) -> DataFrame:
+    """Mean over the rows of the last ``days`` calendar days, whatever days are missing."""
+    w = _days(keys, day).rangeBetween(1 - days, 0)
+    return df.withColumns({out: F.avg(src).over(w) for src, out in cols.items()})
+
+
+def delta_days(df: DataFrame, cols: Mapping[str, str], keys: Sequence[str], day: str, days: int = 1) -> DataFrame:
+    """Difference to the row ``days`` calendar days before; NULL where that day is missing."""
+    w = _days(keys, day).rangeBetween(-days, -days)
+    return df.withColumns({out: F.col(src) - F.first(src).over(w) for src, out in cols.items()})
+
+
+def every_day(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """``df`` with a row for each day between the first and the last of a key; new rows are NULL but for keys and day."""
+    ends = df.groupBy(*keys).agg(F.min(day).alias("_from"), F.max(day).alias("_to"))
+    spine = ends.select(*keys, F.explode(F.sequence("_from", "_to")).alias(day))
+    return spine.join(df, [*keys, day], "left")
+
+
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], rows: int = 1) -> DataFrame:
     """Last row (or ``rows``) per key.  A bound on ``row_number()`` lets Spark cut each input partition to one
     row per key before the shuffle, so a hot key never gathers in one task."""

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.metrics import Metric, rnd, summarise
 from millrace.functions.scalars import defaulted
+from millrace.functions.sketches import distinct_states, united
 from millrace.operators.rules import label_first
 from millrace.operators.series import top_n
 from millrace.operators.summaries import left_join_all, spine_join
@@ -302,3 +303,28 @@ def anomaly_breakdown(cdrs: Tables) -> DataFrame:
         .withColumn("cdr_type", F.lit(kind))
         for kind, df in cdrs.items()
     ])
+
+
+def active_states(cdrs: Tables) -> DataFrame:
+    """(day, kind, state): a mergeable state of the active subscribers per day and type of record, to be stored."""
+    return reduce(lambda a, b: a.unionByName(b), [
+        distinct_states(rows.filter("user_id IS NOT NULL"), [F.to_date(f"{TIMES[kind][0]}_ts").alias("day"), F.lit(kind).alias("kind")], "user_id")
+        for kind, rows in cdrs.items()
+    ])
+
+
+def active_subscribers(states: DataFrame, first: str, last: str, asked: dict[str, tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
+    """(name, subscribers): how many were active from ``first`` to ``last`` in all of some types and none of others.
+
+    Unions, intersections and differences of day states; no record is read.
+    """
+    kinds = sorted({k for has, lacks in asked.values() for k in (*has, *lacks)})
+    period = states.filter(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    merged = period.agg(*[united(f"kind = '{k}'").alias(k) for k in kinds])
+
+    def count(has: Sequence[str], lacks: Sequence[str]) -> Column:
+        out = reduce(lambda a, b: f"theta_intersection({a}, {b})", has)
+        return F.expr(f"theta_sketch_estimate({reduce(lambda a, b: f'theta_difference({a}, {b})', lacks, out)})")
+
+    rows = F.array(*[F.struct(F.lit(n).alias("name"), count(*sides).alias("subscribers")) for n, sides in asked.items()])
+    return merged.select(F.inline(rows))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.metrics import Metric, summarise
 from millrace.functions.scalars import band, bin_to, elapsed_seconds, rnd
+from millrace.functions.sketches import quantile_states, quantiles
 from millrace.operators import rules, series
 from millrace.operators.episodes import episodes
 from millrace.operators.series import Series, falling, gap_interval, gap_seconds, rising, scan
@@ -176,6 +177,20 @@ def hourly_detail(samples: DataFrame, keys: Keys = ()) -> DataFrame:
     return summarise(rows, [*keys, "log_date", F.hour(TS).alias("hour")], HOURLY_DETAIL)
 
 
+# The quantiles of hourly_detail.
+SUPERHEAT_RANKS = {"superheat_p10_k": 0.1, "superheat_p50_k": 0.5, "superheat_p90_k": 0.9}
+
+
+def superheat_states(samples: DataFrame, keys: Keys = ()) -> DataFrame:
+    """Superheat of the running compressor: a mergeable state per hour, to be stored."""
+    return quantile_states(by_day(samples), [*keys, "log_date", F.hour(TS).alias("hour")], "superheat_k", ON)
+
+
+def superheat_quantiles(states: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Quantiles per day, month, device ... from the states of hours; ``hourly_detail`` has the exact ones of an hour."""
+    return quantiles(states, by, SUPERHEAT_RANKS)
+
+
 # -- per day ------------------------------------------------------------------
 
 # Output columns, conditions and digits.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators.quality import (
     Expectation, file_quality, ingestion_metrics, keep_valid, quality_alerts,
 )
+from millrace.operators.parse import rescue_fields
 from millrace.sources.files import base_name, read_json
 
 RECORD_SCHEMA = "DOLocationID int, PULocationID int, fare_amount double, total_amount double"
@@ -29,6 +30,15 @@ def json_records(
     return add_lineage(rows.withColumn("source_file_name", F.col("_metadata.file_path")), method)
 
 
+def json_records_by_field(
+    spark: SparkSession, path: str, schema: str = RECORD_SCHEMA, stream: bool = True, multiline: bool = False, method: str = METHOD,
+) -> DataFrame:
+    """As ``json_records``, but a record loses only the fields that do not fit; one object a line, or a file with ``multiline``."""
+    rows = (spark.readStream if stream else spark.read).option("wholetext", str(multiline).lower()).text(path)
+    rows = rows.select("value", F.col("_metadata.file_path").alias("source_file_name")).filter("trim(value) != ''")
+    return add_lineage(rescue_fields(rows, "value", schema, ["source_file_name"]), method)
+
+
 def add_lineage(rows: DataFrame, method: str = METHOD) -> DataFrame:
     return rows.withColumns({
         "ingestion_timestamp": F.current_timestamp(),

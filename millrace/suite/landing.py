@@ -108,6 +108,42 @@ def file_json_checked(spark, sf_dir):
     return jsonfiles.raw_checked(_json_rows(spark, sf_dir)).select("DOLocationID", "PULocationID", "fare_amount", "total_amount")
 
 
+def odd_json_files(spark, sf_dir: str) -> str:
+    """Records of which some have a field of the wrong kind, a field nobody knows, both, or are no object."""
+
+    def lines() -> DataFrame:
+        known = {n: F.expr(x) for n, x in feeds.JSON_FIELDS.items() if n != "_rescued_data"}
+        fare = F.when(F.expr(_TEXT_FARE), F.parse_json(F.lit('"n/a"'))).otherwise(F.expr(f"CAST({feeds.JSON_FIELDS['fare_amount']} AS VARIANT)"))
+        place = F.when(F.expr(_PART_PLACE), F.expr("CAST(l_suppkey + 0.5BD AS VARIANT)")).otherwise(F.expr(f"CAST({feeds.JSON_FIELDS['PULocationID']} AS VARIANT)"))
+        note = F.when(F.expr(_NOTE), F.struct(F.col("l_linestatus").alias("by")))
+        text = F.to_json(F.struct(
+            known["DOLocationID"].alias("DOLocationID"), place.alias("PULocationID"), fare.alias("fare_amount"), note.alias("note"),
+            known["total_amount"].alias("total_amount"),
+        ))
+        return feeds.table(spark, sf_dir, "lineitem").select(F.when(F.expr(_BROKEN), "[1]").otherwise(text).alias("value"))
+
+    return landed(spark, sf_dir, "json_odd", lines)
+
+
+_TEXT_FARE, _PART_PLACE, _NOTE = "l_discount = 0.01", "l_linenumber = 3", "l_returnflag = 'R'"
+_BY_FIELD = ["DOLocationID", "PULocationID", "fare_amount", "total_amount", "_rescued_data"]
+
+
+@query
+def file_json_by_field(spark, sf_dir):
+    """JSON files of which only the fields that do not fit are rescued."""
+    return jsonfiles.json_records_by_field(spark, odd_json_files(spark, sf_dir), stream=False).select(_BY_FIELD)
+
+
+@query
+def file_json_by_field_stream(spark, sf_dir):
+    """The same by a stream."""
+    out = f"{stage_root(spark, sf_dir)}/streams/{uuid.uuid4().hex}"
+    rows = jsonfiles.json_records_by_field(spark, odd_json_files(spark, sf_dir)).select(_BY_FIELD)
+    append_stream(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return read_table(spark, f"{out}/rows")
+
+
 _cut = f"compr_freq_act_raw IN ({SHORT[1:-1].replace(chr(39), '')})"
 _time = f"CASE WHEN {feeds.PUMP_BAD_TIME} THEN '99:99:99' ELSE strftime(ts, '%H:%M:%S.%f') END"
 
@@ -137,3 +173,16 @@ ORACLE["file_json_checked"] = fin(
     f"SELECT * FROM ({_read}) z WHERE NOT rescued AND (DOLocationID IS NOT NULL OR PULocationID IS NOT NULL OR fare_amount IS NOT NULL OR total_amount IS NOT NULL)",
     **_numbers,
 )
+_values = {n: x for n, x in feeds.JSON_FIELDS.items() if n != "_rescued_data"}
+_values["PULocationID"] = f"CASE WHEN NOT ({_PART_PLACE}) THEN {_values['PULocationID']} END"
+_values["fare_amount"] = f"CASE WHEN NOT ({_TEXT_FARE}) THEN {_values['fare_amount']} END"
+_odd = [
+    f"CASE WHEN {_PART_PLACE} THEN concat('\"PULocationID\":', CAST(l_suppkey AS VARCHAR), '.5') END",
+    f"CASE WHEN {_TEXT_FARE} THEN '\"fare_amount\":\"n/a\"' END",
+    f"CASE WHEN {_NOTE} THEN concat('\"note\":{{\"by\":\"', l_linestatus, '\"}}') END",
+]
+_rescued = f"CASE WHEN {' OR '.join((_PART_PLACE, _TEXT_FARE, _NOTE))} THEN concat('{{', concat_ws(',', {', '.join(_odd)}), '}}') END"
+ORACLE["file_json_by_field"] = ORACLE["file_json_by_field_stream"] = fin(
+    "SELECT " + ", ".join(f"CASE WHEN NOT ({_BROKEN}) THEN {x} END AS {n}" for n, x in _values.items())
+    + f", CASE WHEN {_BROKEN} THEN '[1]' ELSE {_rescued} END AS _rescued_data FROM lineitem", **_numbers, s=["_rescued_data"],
+)

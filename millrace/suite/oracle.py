@@ -723,7 +723,10 @@ JSON = (
 )
 _ok = "(_rescued_data IS NULL OR _rescued_data = '')"
 _some = "(DOLocationID IS NOT NULL OR PULocationID IS NOT NULL OR fare_amount IS NOT NULL OR total_amount IS NOT NULL)"
-ORACLE["json_basic"] = f"{JSON} SELECT source_file_name, count(*) AS records FROM j WHERE {_ok} GROUP BY 1"
+ORACLE["json_basic"] = fin(
+    f"{JSON} SELECT * FROM j WHERE {_ok}", i=["DOLocationID", "PULocationID"], d=["fare_amount", "total_amount"],
+    s=["_rescued_data", "source_file_name", "file_name"], ts=["ingestion_timestamp"], day=["ingestion_date"],
+)
 ORACLE["json_checked"] = fin(
     f"{JSON} SELECT * FROM j WHERE {_ok} AND {_some}", i=["DOLocationID", "PULocationID"], d=["fare_amount", "total_amount"],
     s=["_rescued_data", "source_file_name", "file_name"], ts=["ingestion_timestamp"], day=["ingestion_date"],
@@ -768,3 +771,34 @@ ORACLE["stream_dedup_sms"] = ORACLE["strict_sms"]
 ORACLE["stream_counts_by_topic"] = (
     "SELECT 'telco-data-cdrs' AS _topic, user_id % 3 AS _partition, count(*) AS messages, max(event_id) AS last_offset FROM events GROUP BY 2"
 )
+
+
+# -- JSON of the tools, read back: same rows as typed ----------------------------------------------
+for _name in [n for n in ORACLE if n.startswith("get_")]:
+    ORACLE[f"{_name}_json"] = ORACLE[_name]
+
+# -- quantiles from stored states: sizes, and that every rank is within its bound -------------------
+ORACLE["superheat_of_days"] = fin(
+    f"{SILVER} SELECT log_date, count(*) AS n FROM silver WHERE {ON} AND superheat_k IS NOT NULL GROUP BY 1", i=["n"], day=["log_date"],
+    x={f"superheat_p{p}_k_ok": "true" for p in (10, 50, 90)},
+)
+ORACLE["price_quantiles"] = "SELECT l_linestatus, count(*) AS n, true AS p01_ok, true AS p25_ok, true AS p50_ok, true AS p99_ok FROM lineitem GROUP BY 1"
+
+# -- calendar windows ---------------------------------------------------------------------------------
+_by = "PARTITION BY o_custkey ORDER BY day"
+ORACLE["calendar_windows"] = fin(
+    f"SELECT *, avg(spent) OVER ({_by} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS avg_7_rows, "
+    f"avg(spent) OVER ({_by} RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS avg_7_days, spent - lag(spent) OVER ({_by}) AS change_rows, "
+    f"spent - any_value(spent) OVER ({_by} RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS change_days "
+    "FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS spent FROM orders GROUP BY ALL)",
+    i=["o_custkey"], d=["spent", "avg_7_rows", "avg_7_days", "change_rows", "change_days"], day=["day"],
+)
+ORACLE["calendar_spine"] = fin(
+    "WITH rare AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, count(*) AS large FROM orders WHERE o_totalprice > 400000 GROUP BY ALL), "
+    "sold AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY ALL), "
+    "spine AS (SELECT o_orderpriority, CAST(unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day FROM rare GROUP BY 1) "
+    "SELECT o_orderpriority, day, coalesce(large, 0) AS large, coalesce(n, 0) AS n, avg(coalesce(large, 0)) OVER "
+    "(PARTITION BY o_orderpriority ORDER BY day RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW) AS large_30 "
+    "FROM spine LEFT JOIN rare USING (o_orderpriority, day) LEFT JOIN sold USING (o_orderpriority, day)",
+    i=["large", "n"], d=["large_30"], s=["o_orderpriority"], day=["day"],
+)

@@ -344,3 +344,16 @@ CDR_ORACLE["record_routing"] = fin(
     f"WITH {typed('voip', 'q')} SELECT user_id AS key, 'telco-voip-cdrs' AS topic, cdr_type, chargeID, sessionDuration FROM q",
     i=["sessionDuration"], s=["key", "topic", "cdr_type", "chargeID"],
 )
+
+# -- active subscribers: exact sets (the states are exact at these sizes) -----------------------------
+_active = ", ".join(
+    f"{k}_u AS (SELECT DISTINCT user_id FROM {k} WHERE CAST({TIME[k]}_ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-20')"
+    for k in ("voice", "data_usage", "sms", "roaming", "mms")
+)
+CDR_ORACLE["active_subscribers"] = (
+    f"WITH {', '.join(typed(k, k) for k in ('voice', 'data_usage', 'sms', 'roaming', 'mms'))}, {_active} "
+    "SELECT 'voice' AS name, count(*) AS subscribers FROM voice_u UNION ALL "
+    "SELECT 'voice_not_data', count(*) FROM voice_u ANTI JOIN data_usage_u USING (user_id) UNION ALL "
+    "SELECT 'voice_and_sms', count(*) FROM voice_u SEMI JOIN sms_u USING (user_id) UNION ALL "
+    "SELECT 'roaming_not_mms', count(*) FROM roaming_u ANTI JOIN mms_u USING (user_id)"
+)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import sketches
 from millrace.functions.metrics import Metric, summarise
 from millrace.functions.scalars import band, bin_to
 from millrace.operators import cdc, quality, rules, series, summaries
@@ -222,6 +223,52 @@ def heater_analysis_json(spark, sf_dir):
     )
 
 
+def _read_back(name: str, field: str | None = None, **args) -> Query:
+    """The JSON text of a tool, parsed to the columns and types of its typed rows."""
+
+    def run(spark, sf_dir):
+        tables = pump_tables(spark, sf_dir)
+        part = {"part": field} if field else {}
+        rows = T.ArrayType(tools.tool(name, tables, **args, **part).schema)
+        shape = T.StructType([T.StructField(field, rows)]) if field else rows
+        made = tools.tool_json(name, tables, **args).select(F.from_json("result", shape).alias("r"))
+        return made.select(F.inline(F.col(f"r.{field}") if field else F.col("r")))
+
+    return run
+
+
+_recently = {"as_of": AS_OF, "lookback_days": 7}
+for _name in (*tools.LOOKBACK_TOOLS, "get_heating_curve"):
+    _add(f"{_name}_json", _read_back(_name, **_recently))
+_add("get_hourly_detail_json", _read_back("get_hourly_detail", target_date=DAY))
+_add("get_worst_cycles_json", _read_back("get_worst_cycles", target_date=DAY, top_n=10))
+_add("get_period_comparison_json", _read_back("get_period_comparison", p1=("2024-01-01", "2024-01-10"), p2=("2024-01-08", "2024-01-20")))
+_add("get_heater_daily_json", _read_back("get_heater_analysis", "daily", **_recently))
+_add("get_heater_by_outdoor_json", _read_back("get_heater_analysis", "by_outdoor_temp", **_recently))
+
+
+# quantiles from stored states
+@query
+def superheat_of_days(spark, sf_dir):
+    """Quantiles of each day merged from the states of its hours, and whether their ranks are within the bound."""
+    samples = pump(spark, sf_dir)
+    states = staged(spark, sf_dir, "superheat_states", lambda: gold.superheat_states(samples))
+    days = gold.superheat_quantiles(states, ["log_date"])
+    running = gold.by_day(samples).filter(gold.ON)
+    return sketches.rank_check(days, running, ["log_date"], "superheat_k", gold.SUPERHEAT_RANKS).drop(*gold.SUPERHEAT_RANKS)
+
+
+@query
+def price_quantiles(spark, sf_dir):
+    """Quantiles of each line status over all time, merged from states by month."""
+    rows = feeds.table(spark, sf_dir, "lineitem")
+    ranks = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p99": 0.99}
+    month = F.trunc("l_shipdate", "month").alias("month")
+    states = staged(spark, sf_dir, "price_states", lambda: sketches.quantile_states(rows, ["l_linestatus", month], "l_extendedprice"))
+    made = sketches.quantiles(states, ["l_linestatus"], ranks)
+    return sketches.rank_check(made, rows, ["l_linestatus"], "l_extendedprice", ranks).drop(*ranks)
+
+
 # reports
 _add("pump_kpis", lambda spark, sf_dir: reports.kpis(pump_tables(spark, sf_dir)["hourly_detail"]))
 _add("pump_daily_trend", lambda spark, sf_dir: reports.daily_trend(pump_tables(spark, sf_dir)["hourly_detail"]))
@@ -415,7 +462,7 @@ def json_lines(spark, sf_dir):
     return feeds.json_feed(spark, sf_dir)
 
 
-_add("json_basic", lambda s, d: jsonfiles.raw_basic(json_lines(s, d)).groupBy("source_file_name").agg(F.count(F.lit(1)).alias("records")))
+_add("json_basic", lambda s, d: jsonfiles.raw_basic(json_lines(s, d)))
 _add("json_checked", lambda s, d: jsonfiles.raw_checked(json_lines(s, d)))
 _add("file_quality", lambda s, d: jsonfiles.data_quality(json_lines(s, d)))
 _add("ingestion_metrics", lambda s, d: jsonfiles.metrics(json_lines(s, d)))
@@ -555,3 +602,36 @@ def warn_rule_counts(spark, sf_dir):
 def segment_share(spark, sf_dir):
     return rules.share_by(feeds.table(spark, sf_dir, "customer"), ["c_mktsegment"])
 
+
+
+@query
+def calendar_windows(spark, sf_dir):
+    """Spending of a customer over seven rows and over seven days, and the change since the row and since the day before."""
+    spent = feeds.table(spark, sf_dir, "orders").groupBy("o_custkey", F.to_date("o_orderdate").alias("day")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("spent"))
+    rows = series.moving_avg(spent, {"spent": "avg_7_rows"}, ["o_custkey"], "day")
+    rows = series.moving_avg_days(rows, {"spent": "avg_7_days"}, ["o_custkey"], "day")
+    rows = series.delta(rows, {"spent": "change_rows"}, ["o_custkey"], "day")
+    return series.delta_days(rows, {"spent": "change_days"}, ["o_custkey"], "day")
+
+
+@query
+def calendar_spine(spark, sf_dir):
+    """Orders of each day and priority, days without any included, with the sum of the last thirty days."""
+    sold = feeds.table(spark, sf_dir, "orders").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
+    rare = feeds.table(spark, sf_dir, "orders").where("o_totalprice > 400000").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("large"))
+    rows = series.every_day(rare, ["o_orderpriority"], "day").join(sold, ["o_orderpriority", "day"], "left")
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n", "large")})
+    return series.moving_avg_days(rows, {"large": "large_30"}, ["o_orderpriority"], "day", 30)
+
+
+# active subscribers of any period, from one state per day and type
+ACTIVE_DAYS = ("2024-01-03", "2024-01-20")
+
+
+@query
+def active_subscribers(spark, sf_dir):
+    """Subscribers active in some types of records and not in others, over a period, from day states alone."""
+    tables = cdrs(spark, sf_dir)
+    states = staged(spark, sf_dir, "active_states", lambda: cdr_gold.active_states(tables))
+    asked = {"voice": (["voice"], []), "voice_not_data": (["voice"], ["data_usage"]), "voice_and_sms": (["voice", "sms"], []), "roaming_not_mms": (["roaming"], ["mms"])}
+    return cdr_gold.active_subscribers(states, *ACTIVE_DAYS, asked)
