@@ -34,7 +34,7 @@ def json_records_by_field(
     spark: SparkSession, path: str, schema: str = RECORD_SCHEMA, stream: bool = True, multiline: bool = False, method: str = METHOD,
 ) -> DataFrame:
     """As ``json_records``, but a record loses only the fields that do not fit; one object a line, or a file with ``multiline``."""
-    rows = (spark.readStream if stream else spark.read).option("wholetext", str(multiline).lower()).text(path)
+    rows = (spark.readStream if stream else spark.read).text(path, wholetext=multiline)
     rows = rows.select("value", F.col("_metadata.file_path").alias("source_file_name")).filter("trim(value) != ''")
     return add_lineage(rescue_fields(rows, "value", schema, ["source_file_name"]), method)
 
