@@ -1,31 +1,33 @@
-"""Near-duplicates by Order MinHash, verified by banded alignment.
-
-A text is its sequence of ``SHINGLE``-word shingles (a text with fewer words is one shingle),
-each labelled with how often it occurred before, so all are different.  A sketch is the
-``PICKED`` labelled shingles with the smallest hashes, in text order: texts share a sketch
-when they share those shingles in the same order.  There are ``SKETCHES`` of them, from
-independent hashes.  Two texts are linked if an alignment keeps at least ``SIMILARITY`` of
-them: the longest common run in order, over all different shingles of both.  As labelled
-shingles are unique, it is the longest increasing sequence of matched places; only places
-within the band that such an alignment can reach are looked at.
-
-Short texts are found exactly: a text of n shingles that is similar to another shares at least
-``SIMILARITY`` * n of them, so the two share one among the first n - ceil(``SIMILARITY`` * n) + 1
-of each in any one order of all shingles.  Those are the buckets of every text that can be
-similar to one of at most ``SHORT`` shingles.  The order puts shingles last that a bounded sample
-of texts shows often; it decides the cost alone, not what is found.
-
-Texts of more shingles meet by sketches.  With c shingles common of u in all, a sketch agrees
-with a chance of C(c, 8) / C(u, 8).  At a similarity of 0.8, 48 of them miss a pair with 3.5 in
-ten thousand at 64 common of 80, 2.1 at 160 of 200, 1.5 for long texts; at 0.85 with 3 in ten
-million for long texts.  At 0.4, say texts that share a long passage, 3 in 100 pairs become
-candidates.  Candidates whose lengths differ too much are not compared.
-
-Classes are the connected groups of links.  Inside a bucket (texts with one sketch) no
-all-pairs join is made: first members are compared with ``STARS`` representatives, which
-leaves a bucket of thousands of similar texts with one class.  Buckets that still hold
-several classes are settled in blocks: members outside the largest class against the rest,
-until their classes are linked.  So no link that a bucket offers is lost.
+"""Near-duplicates by Order MinHash, verified by banded alignment of words.
+
+Two texts are linked if an alignment keeps at least ``SIMILARITY`` of the words of the longer
+one, in order: one minus the share of edits.  Candidates come from ``SHINGLE``-word shingles (a
+text with fewer words is one shingle), each labelled with how often it occurred before, so all
+of a text are different.  A sketch is the ``PICKED`` labelled shingles with the smallest hashes,
+in text order; there are ``SKETCHES`` of them, from independent hashes.  Texts with an equal
+sketch share a bucket.  A changed word costs three shingles of three words; scattered changes of
+one word in fifteen, and passages put in or left out up to the limit of ``SIMILARITY``, leave at
+least ``OVERLAP`` of the longer text's shingles.
+
+Short texts (at most ``SHORT`` shingles) that share so many are found exactly: of two such texts
+of n and m shingles each shows one of the common ones among its first n - ceil(``OVERLAP`` * n) + 1
+in any one order of all shingles.  Those are the buckets of every text that can be like one of at
+most ``SHORT`` shingles.  The order puts shingles last that a bounded sample of texts shows often;
+it decides the cost alone, not what is found.
+
+Texts of more shingles meet by sketches.  With c shingles common of u in all, one agrees with a
+chance of about (c / u) ** ``PICKED``: of 48, all miss a pair that keeps 95 % of its words under
+scattered changes with 0.00001, 92 % with 0.5 %, 90 % with 5 %, 85 % with 44 %; a pair with 20 %
+of the words put in or left out in one passage with less than 0.00001.
+
+Classes are the connected groups of links.  All members of a bucket are first compared with one
+of them, which leaves a bucket of thousands of similar texts with one class, and their links are
+contracted.  Texts of buckets that still hold several classes then meet again, each once and not
+once a bucket, by the prefixes of the exact search, over all their shingles and whatever their
+length, in the order of a sample of these very texts: so a passage that very many of them share
+comes last, and what they meet by is their own.  Pairs of different classes in groups of up to
+``BLOCK`` are compared; larger groups that still hold several classes after that are settled
+block against block.  So no link with the stated overlap that a bucket offers is lost.
 
 Scale: exact copies are one node from the start; sketches are made where texts are read;
 buckets, representatives and classes come from minima that combine before the shuffle.  Texts
@@ -38,7 +40,6 @@ empty table gives no row.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from math import ceil
 
 import numpy as np
@@ -48,13 +49,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm import terms
 from millrace.llm.common import bounded_sample, written
 
-SHINGLE, SIMILARITY = 5, 0.8
-SKETCHES, PICKED = 48, 8
+SHINGLE, SIMILARITY, OVERLAP = 3, 0.8, 0.8
+SKETCHES, PICKED = 48, 5
 SHORT = 60
 SAMPLE, OFTEN = 20_000, 1 << 16
 _SEEDS = terms.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
-STARS, BLOCK = 4, 64
+BLOCK = 64
 _CELLS = 1 << 21
 
 
@@ -74,12 +75,20 @@ def labelled(grams: np.ndarray) -> np.ndarray:
     return terms.mix(grams + times * _ODD)
 
 
+def words(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the words of each row of a buffer, in text order."""
+    row, h, _ = terms.words(data, offsets)
+    return np.split(h, np.searchsorted(row, np.arange(1, len(offsets) - 1))) if len(offsets) > 1 else []
+
+
+def shingles_of(own: np.ndarray) -> np.ndarray:
+    """Labelled shingles of a sequence of words, in text order."""
+    return labelled(terms.grams(np.zeros(len(own), np.int64), own, SHINGLE)[1]) if len(own) else own
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Labelled shingles of each row of a buffer, in text order."""
-    row, h, _ = terms.words(data, offsets)
-    row, h = terms.grams(row, h, SHINGLE)
-    cuts = np.searchsorted(row, np.arange(len(offsets)))
-    return [labelled(h[a:b]) if b > a else h[:0] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+    return [shingles_of(own) for own in words(data, offsets)]
 
 
 def sketches(own: np.ndarray) -> np.ndarray:
@@ -105,7 +114,7 @@ def sketches(own: np.ndarray) -> np.ndarray:
 def rarest(own: np.ndarray, often: np.ndarray, times: np.ndarray) -> np.ndarray:
     """A number for each labelled shingle of which similar texts share at least one; ``often`` (sorted), shown ``times``, come last."""
     n = len(own)
-    first = n - ceil(SIMILARITY * n - 1e-6) + 1
+    first = n - ceil(OVERLAP * n - 1e-6) + 1
     rank = np.zeros(n, np.int64)
     if len(often):
         at = np.minimum(np.searchsorted(often, own), len(often) - 1)
@@ -113,18 +122,18 @@ def rarest(own: np.ndarray, often: np.ndarray, times: np.ndarray) -> np.ndarray:
     return terms.mix(own[np.lexsort((own, rank))[:first]] + _ODD)
 
 
-def _often(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that a bounded sample of short texts shows more than twice, and how often; a bounded number of them."""
+def _often(texts: DataFrame, longest: float = float("inf")) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a bounded sample of texts shows more than twice, and how often; a bounded number of them."""
 
     def made(batches):
         for batch in batches:
             data, offsets = terms.buffer_of(batch["text"])
             for a, b in terms.slices(offsets):
-                own = [x for x in shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) if len(x) * SIMILARITY <= SHORT]
+                own = [x for x in shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) if len(x) <= longest]
                 if own:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], ["gram"])
 
-    sample = bounded_sample(docs.select(F.coalesce("text", F.lit("")).alias("text")), SAMPLE, F.col("text"))
+    sample = bounded_sample(texts.select(F.coalesce("text", F.lit("")).alias("text")), SAMPLE, F.col("text"))
     shown = sample.mapInArrow(made, "gram long").groupBy("gram").count().where("count > 2")
     rows = shown.orderBy(F.desc("count"), "gram").limit(OFTEN).collect()
     grams, times = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
@@ -132,31 +141,49 @@ def _often(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return grams[order], times[order]
 
 
-def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Aligned shingles over all of both; exact from ``least`` on, else some value below it."""
-    n, m = len(a), len(b)
-    if not n or not m or min(n, m) < least * max(n, m) - 1e-6:
-        return 0.0
-    order = np.argsort(a)
-    found = np.minimum(np.searchsorted(a[order], b), n - 1)
-    there = a[order[found]] == b
-    at, own = order[found[there]], np.flatnonzero(there)
-    band = (n + m) * (1 - least) / (1 + least) + 1e-6  # an acceptable alignment skips no more in all
-    at = at[np.abs(at - own) <= band]
-    if len(at) < least * (n + m - len(at)) - 1e-6:
-        return 0.0
-    tails: list[int] = []
-    for x in at.tolist():
-        i = bisect_left(tails, x)
-        if i == len(tails):
-            tails.append(x)
-        else:
-            tails[i] = x
-    return len(tails) / (n + m - len(tails))
+def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Words of the longest common sequence that pairs no places further apart than ``band``.
+
+    One row of the alignment is one number of len(a) bits, in which a zero marks a step up;
+    a row is made from the one before by an addition.
+    """
+    places: dict[int, int] = {}
+    for i, x in enumerate(a.tolist()):
+        places[x] = places.get(x, 0) | 1 << i
+    every = steps = (1 << len(a)) - 1
+    window = (1 << (2 * band + 1)) - 1
+    for j, y in enumerate(b.tolist()):
+        met = places.get(y)
+        if met is not None:
+            met &= steps & (window << (j - band) if j > band else window >> (band - j))
+            steps = ((steps + met) | (steps - met)) & every
+    return len(a) - steps.bit_count()
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether an alignment of two sequences of words keeps ``least`` of the longer one."""
+    if len(a) > len(b):
+        a, b = b, a
+    need = ceil(least * len(b) - 1e-6)
+    if not len(a) or len(a) < need:
+        return False
+    for _ in range(2):  # equal beginnings, then equal ends
+        same = a == b[: len(a)]
+        k = len(a) if same.all() else int(np.argmin(same))
+        a, b, need = a[k:][::-1], b[k:][::-1], need - k
+    if need <= 0:
+        return True
+    if len(a) < need:
+        return False
+    _, which = np.unique(np.concatenate([a, b]), return_inverse=True)
+    size = int(which.max()) + 1
+    if np.minimum(np.bincount(which[: len(a)], minlength=size), np.bincount(which[len(a) :], minlength=size)).sum() < need:
+        return False
+    return aligned(a, b, len(b) - need) >= need
 
 
 def close_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Pairs that hold enough common shingles, in whatever order, to be similar."""
+    """Pairs that hold enough common shingles, in whatever order."""
     both = left + right
     if not left or not right:
         return []
@@ -172,12 +199,17 @@ def close_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> list[tuple[i
         has = np.zeros((len(both), 1 << 15), np.float32)
         has[doc[here], slot[here] - a] = 1
         common += has[: len(left)] @ has[len(left) :].T
-    total = sizes[: len(left), None] + sizes[None, len(left) :] - common
-    return list(zip(*(x.tolist() for x in np.nonzero(common >= SIMILARITY * total - 1e-3))))
+    longer = np.maximum(sizes[: len(left), None], sizes[None, len(left) :])
+    return list(zip(*(x.tolist() for x in np.nonzero(common >= OVERLAP * longer - 1e-3))))
+
 
+def _like_sizes(a: str, b: str) -> Column:
+    """Whether texts of so many words can be similar."""
+    return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-6
 
-def _sketched(docs: DataFrame) -> DataFrame:
-    often, times = _often(docs)
+
+def _buckets(texts: DataFrame, often: np.ndarray, times: np.ndarray, everything: bool) -> DataFrame:
+    """(key, bucket, size) of ``texts`` (key, text): prefixes and sketches, or with ``everything`` prefixes whatever the length."""
 
     def made(batches):
         for batch in batches:
@@ -188,13 +220,15 @@ def _sketched(docs: DataFrame) -> DataFrame:
             data, offsets = terms.buffer_of(batch["text"])
             for a, b in terms.slices(offsets):
                 rows, numbers, sizes = [], [], []
-                for i, own in enumerate(shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), a):
-                    own_numbers = [rarest(own, often, times)] if len(own) and len(own) * SIMILARITY <= SHORT else []
-                    if len(own) > SHORT:
+                for i, told in enumerate(words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]), a):
+                    own = shingles_of(told)
+                    short = len(own) * OVERLAP <= SHORT
+                    own_numbers = [rarest(own, often, times)] if len(own) and (short or everything) else []
+                    if len(own) > SHORT and not everything:
                         own_numbers.append(sketches(own))
                     for some in own_numbers:
                         rows += [i] * len(some)
-                        sizes += [len(own)] * len(some)
+                        sizes += [len(told)] * len(some)
                         numbers.append(some)
                 if rows:
                     yield pa.RecordBatch.from_arrays(
@@ -202,7 +236,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
                         ["key", "bucket", "size"],
                     )
 
-    return docs.select(key_of().alias("key"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(made, "key binary, bucket long, size long")
+    return texts.mapInArrow(made, "key binary, bucket long, size long")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -221,11 +255,10 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     if key not in known:
                         if held > _CELLS:
                             known, held = {}, 0
-                        data, offsets = terms.buffer_of(batch[column].slice(i, 1))
-                        known[key] = shingles(data, offsets)[0]
+                        known[key] = words(*terms.buffer_of(batch[column].slice(i, 1)))[0]
                         held += len(known[key])
                     sides.append(known[key])
-                if similarity(*sides) >= SIMILARITY:
+                if alike(*sides):
                     yield pa.RecordBatch.from_arrays([batch["key"].slice(i, 1), batch["other"].slice(i, 1)], ["key", "other"])
 
     return pairs.join(own, "key").join(theirs, "other").select("key", "other", "text", "other_text").mapInArrow(compared, "key binary, other binary")
@@ -284,8 +317,8 @@ def _settled(members: DataFrame, texts: DataFrame) -> DataFrame:
     asking = dealt.where("root != top").select("bucket", "key", "root", F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("wide") - 1)).alias("w"), high.alias("h"))
 
     def compared(table: pa.Table) -> pa.Table:
-        data, offsets = terms.buffer_of(table["text"])
-        own, keys, roots = shingles(data, offsets), table["key"].to_pylist(), table["root"].to_pylist()
+        told = words(*terms.buffer_of(table["text"]))
+        own, keys, roots = [shingles_of(x) for x in told], table["key"].to_pylist(), table["root"].to_pylist()
         asks = table["asks"].to_pylist()
         top = {r: r for r in roots}
 
@@ -299,7 +332,7 @@ def _settled(members: DataFrame, texts: DataFrame) -> DataFrame:
         found = []
         for i, j in close_pairs([own[i] for i in left], [own[j] for j in right]):
             i, j = left[i], right[j]
-            if find(roots[i]) != find(roots[j]) and similarity(own[i], own[j]) >= SIMILARITY:
+            if find(roots[i]) != find(roots[j]) and alike(told[i], told[j]):
                 top[find(roots[i])] = find(roots[j])
                 found.append((keys[i], keys[j]))
         return pa.table([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["key", "other"])
@@ -308,24 +341,42 @@ def _settled(members: DataFrame, texts: DataFrame) -> DataFrame:
     return shown.groupBy("bucket", "w", "h").applyInArrow(compared, "key binary, other binary").distinct()
 
 
+def _ordered_pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.greatest("key", "other").alias("key"), F.least("key", "other").alias("other")).distinct()
+
+
+def _met_again(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """``roots`` after all links between texts of open buckets, which meet by their own rarest shingles."""
+    open_ = written(_open(members, roots).select("key").distinct(), "open")
+    left = written(texts.join(open_.hint("merge"), "key", "left_semi"), "texts")
+    prefixes = written(_buckets(left, *_often(left), True), "prefixes")
+    again = written(_open(prefixes, roots), "members")
+    sizes = again.groupBy("bucket").agg(F.count("*").alias("n"))
+    few = again.join(sizes.where(F.col("n") <= BLOCK).select("bucket"), "bucket", "left_semi")
+    other = few.select("bucket", *[F.col(c).alias(o) for c, o in (("key", "other"), ("size", "other_size"), ("root", "other_root"))])
+    met = few.join(other, "bucket").where((F.col("root") < F.col("other_root")) & _like_sizes("size", "other_size"))
+    links = written(_linked(written(_ordered_pairs(met), "pairs"), left), "links")
+    if not links.isEmpty():
+        roots = _merged(roots, links)
+    many = again.join(sizes.where(F.col("n") > BLOCK).select("bucket"), "bucket", "left_semi").select("bucket", "key", "size")
+    rest = written(_settled(_open(many, roots), left), "links")
+    return roots if rest.isEmpty() else _merged(roots, rest)
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(key, root) of every text that is linked with a different one."""
     spark = docs.sparkSession
-    sketched = written(_sketched(docs), "sketches")
-    none = spark.createDataFrame([], "key binary, root binary")
-    shared = sketched.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    members = written(sketched.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "members")
+    rows = docs.select(key_of().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    sketched = written(_buckets(rows, *_often(docs, SHORT / OVERLAP), False), "sketches")
+    shared = sketched.groupBy("bucket").agg(F.min("key").alias("other"), F.max("key").alias("high")).where("other < high")
+    members = written(sketched.join(shared.select("bucket", "other"), "bucket").distinct(), "members")
     wanted = members.select("key").distinct()
-    texts = docs.select(key_of().alias("key"), F.coalesce("text", F.lit("")).alias("text")).join(wanted.hint("merge"), "key", "left_semi")  # grows with the corpus: never broadcast
+    texts = rows.join(wanted.hint("merge"), "key", "left_semi")  # grows with the corpus: never broadcast
     texts = written(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
-    share = F.pmod(F.xxhash64("key"), F.lit(STARS))
-    chosen = members.groupBy("bucket", share.alias("share")).agg(F.min(F.struct("key", "size")).alias("c")).select("bucket", F.col("c.key").alias("other"), F.col("c.size").alias("other_size"))
-    met = members.join(chosen, "bucket").where(F.col("key") != F.col("other")).where(F.least("size", "other_size") >= SIMILARITY * F.greatest("size", "other_size") - 1e-6)
-    pairs = written(met.select(F.greatest("key", "other").alias("key"), F.least("key", "other").alias("other")).distinct(), "pairs")
+    pairs = written(_ordered_pairs(members.where(F.col("key") != F.col("other"))), "pairs")
     links = written(_linked(pairs, texts), "links")
-    roots = none if links.isEmpty() else components(links)
-    rest = written(_settled(_open(members, roots), texts), "links")
-    return roots if rest.isEmpty() else _merged(roots, rest)
+    roots = spark.createDataFrame([], "key binary, root binary") if links.isEmpty() else components(links)
+    return _met_again(members.drop("other"), roots, texts)
 
 
 def group(docs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -300,6 +301,55 @@ def test_rank_queue():
     assert [queue.pop() for _ in held] == sorted(held) and queue.pop() == (-1, -1)
 
 
+def common(a, b):
+    """Longest common sequence, plainly."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def told(texts):
+    return near_duplicates.words(*terms.buffer_of(pa.array([t or "" for t in texts])))
+
+
+def closure(n, pairs):
+    top = list(range(n))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i, j in pairs:
+        a, b = sorted((find(i), find(j)))
+        top[b] = a
+    return [find(i) for i in range(n)]
+
+
+def judged(texts):
+    """(classes that must be found, classes that may be found) of all pairs."""
+    own = told(texts)
+    grams = [near_duplicates.shingles_of(x) for x in own]
+    must, may = [], []
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if (texts[i] or "") == (texts[j] or ""):
+            must.append((i, j))
+        elif near_duplicates.alike(own[i], own[j]):
+            may.append((i, j))
+            if len(np.intersect1d(grams[i], grams[j])) >= near_duplicates.OVERLAP * max(len(grams[i]), len(grams[j])) - 1e-6:
+                must.append((i, j))
+    return closure(len(texts), must), closure(len(texts), must + may)
+
+
+def assert_between(found, must, may):
+    """All that must be linked is, and nothing is that may not be."""
+    for i in range(len(found)):
+        assert found[i] == found[must[i]] and may[found[i]] == may[i], i
+
+
 def test_near_duplicates(spark):
     rng = random.Random(2)
     vocabulary = [f"w{i}" for i in range(3000)]
@@ -313,30 +363,22 @@ def test_near_duplicates(spark):
                 copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
             texts.append(" ".join(copy))
         texts.append(" ".join(b[len(b) // 2 :] + b[: len(b) // 2]))  # same shingles in another order
-    texts += [" ".join([rng.choice(vocabulary) for _ in range(30)] + passage) for _ in range(40)] + texts[:5] + ["", "", None, "!!", "??", "one", "One!", "z " * 3000, "z " * 2990]
-    table = spark.createDataFrame([(i if i % 50 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    data, offsets = terms.buffer_of(pa.array(texts))
-    own = near_duplicates.shingles(data, offsets)
-    top = list(range(len(texts)))
-
-    def find(i):
-        while top[i] != i:
-            i = top[i]
-        return i
-
-    for i, j in itertools.combinations(range(len(texts)), 2):
-        if (texts[i] or "") == (texts[j] or "") or near_duplicates.similarity(own[i], own[j]) >= near_duplicates.SIMILARITY:
-            top[find(i)] = find(j)
-    groups = {}
-    for i in range(len(texts)):
-        groups.setdefault(find(i), []).append(i if i % 50 else None)
-    want = sorted(((i if i % 50 else None, min((x for x in groups[find(i)] if x is not None), default=None), len(groups[find(i)])) for i in range(len(texts))), key=repr)
-    assert rows(near_duplicates.group(table)) == want
-    assert len(groups) < len(texts) - 20
-    wide = table.selectExpr("*", "text AS key", "doc_id AS root", "1 AS row", "2 AS bucket")
+    texts += [" ".join([rng.choice(vocabulary) for _ in range(30)] + passage) for _ in range(40)]
+    texts += [" ".join([rng.choice(vocabulary) for _ in range(n)] + passage) for n in range(8, 24)] + texts[:5]
+    texts += ["", "", None, "!!", "??", "one", "One!", "z " * 3000, "z " * 2990]
+    must, may = judged(texts)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = {r.doc_id: r for r in near_duplicates.group(table).collect()}
+    found = [made[i].class_id for i in range(len(texts))]
+    assert_between(found, must, may)
+    assert all(made[i].class_size == found.count(found[i]) and found[i] <= i for i in range(len(texts)))
+    assert len(set(found)) < len(texts) - 20
+    wide = table.selectExpr("*", "text AS key", "doc_id AS root", "1 AS row", "2 AS bucket", "3 AS other", "4 AS size")
     kept = near_duplicates.keep_one(wide)
-    assert kept.columns == wide.columns and kept.count() == len(groups)
+    assert kept.columns == wide.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(found))
     assert near_duplicates.group(table.limit(0)).count() == 0
+    odd = spark.createDataFrame([(i if i % 3 else None, texts[0]) for i in range(9)] + [(None, "alone")], "doc_id long, text string").selectExpr("*", "1 AS key", "2 AS root")
+    assert Counter(tuple(r) for r in near_duplicates.group(odd).collect()) == Counter([(i if i % 3 else None, 1, 9) for i in range(9)] + [(None, None, 1)])
 
 
 def test_near_copies_of_short_texts(spark):
@@ -347,45 +389,68 @@ def test_near_copies_of_short_texts(spark):
         own = [f"w{rng.randrange(10**6)}" for _ in range(n)] + rng.choice([[], passage])
         for words in (own, ["new", *own], [*own, "new"], ["new", *own[1:]], [*own[:-1], "new"], [*own[: n // 2], "new", *own[n // 2 :]]):
             texts.append(" ".join(words))
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    own = near_duplicates.shingles(*terms.buffer_of(pa.array(texts)))
-    top = list(range(len(texts)))
-
-    def find(i):
-        while top[i] != i:
-            i = top[i]
-        return i
-
-    for i, j in itertools.combinations(range(len(texts)), 2):
-        if texts[i] == texts[j] or near_duplicates.similarity(own[i], own[j]) >= near_duplicates.SIMILARITY:
-            a, b = sorted((find(i), find(j)))
-            top[b] = a
-    assert {r.doc_id: r.class_id for r in near_duplicates.group(table).collect()} == {i: find(i) for i in range(len(texts))}
-    assert sum(find(i) != i for i in range(len(texts))) > 200
+    must, may = judged(texts)
+    made = {r.doc_id: r.class_id for r in near_duplicates.group(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert_between([made[i] for i in range(len(texts))], must, may)
+    assert sum(must[i] != i for i in range(len(texts))) > 200
+
+
+def test_passage_that_fills_most_of_many_texts(spark):
+    """Texts that share four fifths, a little more or a little less, each with words of its own."""
+    rng = random.Random(9)
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(200)]
+    texts = [" ".join(passage[: rng.choice([200, 199])] + [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(30, 75))]) for _ in range(260)]
+    must, may = judged(texts)
+    made = {r.doc_id: r.class_id for r in near_duplicates.group(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert_between([made[i] for i in range(len(texts))], must, may)
+    assert len(set(must)) > 20
+
+
+@pytest.mark.parametrize("least", [0.8, 0.9])
+def test_recall_against_word_alignment_on_supplied_texts(spark, least):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    some = {}
+    for i, t in table.collect():
+        some.setdefault(t or "", i)
+    texts, ids = list(some), list(some.values())
+    own = told(texts)
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if near_duplicates.alike(own[i], own[j], least)]
+    made = {r.doc_id: r.class_id for r in near_duplicates.group(table).collect()}
+    caught = [(i, j) for i, j in pairs if made[ids[i]] == made[ids[j]]]
+    assert len(pairs) >= 50 and len(caught) >= 0.9 * len(pairs), (len(caught), len(pairs))
+
+
+@pytest.mark.parametrize(("size", "share"), [(90, 0.06), (90, 0.1), (700, 0.05), (700, 0.08)])
+def test_recall_of_scattered_changes(spark, size, share):
+    """Pairs by length and share of changed words; what sketches miss is stated in the module."""
+    rng = random.Random(size)
+    texts = []
+    for _ in range(150):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        other = list(own)
+        for i in rng.sample(range(size), round(share * size)):
+            other[i] = f"n{rng.randrange(10**6)}"
+        texts += [" ".join(own), " ".join(other)]
+    made = {r.doc_id: r.class_id for r in near_duplicates.group(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(made[i] == made[i + 1] for i in range(0, len(texts), 2)) >= 0.9 * len(texts) / 2
 
 
-def test_alignment_is_exact_from_the_threshold_on():
+def test_alignment_equals_the_plain_one():
     rng = random.Random(4)
-
-    def plain(a, b):
-        row = [0] * (len(b) + 1)
-        for x in a:
-            before = 0
-            for j, y in enumerate(b, 1):
-                before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
-        return row[-1] / (len(a) + len(b) - row[-1])
-
-    for _ in range(400):
-        a = rng.sample(range(1000), rng.randrange(1, 60))
+    for _ in range(600):
+        size = rng.choice([6, 60, 1000])
+        a = [rng.randrange(size) for _ in range(rng.randrange(0, 60))]
         b = [x for x in a if rng.random() > rng.choice([0, 0.05, 0.2])]
-        for _ in range(rng.randrange(4)):
-            b.insert(rng.randrange(len(b) + 1), 5000 + rng.randrange(10**6))
+        for _ in range(rng.randrange(8)):
+            b.insert(rng.randrange(len(b) + 1), rng.randrange(size))
         if rng.random() < 0.3:
             i = rng.randrange(len(b) + 1)
             b = b[i:] + b[:i]
-        b = list(dict.fromkeys(b))
-        got, want = near_duplicates.similarity(np.array(a, np.uint64), np.array(b, np.uint64)), plain(a, b)
-        assert (got == pytest.approx(want)) if want >= 0.8 else got < 0.8
+        x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+        want = common(a, b)
+        assert near_duplicates.aligned(x, y, max(len(a), len(b))) == want
+        for least in (0.5, 0.8, 0.95):
+            assert near_duplicates.alike(x, y, least) == bool(a and b and want >= least * max(len(a), len(b)) - 1e-6)
 
 
 def test_token_files(spark, docs, texts):
