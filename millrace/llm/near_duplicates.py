@@ -20,9 +20,10 @@ chance of about (c / u) ** ``PICKED``: of 48, all miss a pair that keeps 95 % of
 scattered changes with 0.00001, 92 % with 0.5 %, 90 % with 5 %, 85 % with 44 %; a pair with 20 %
 of the words put in or left out in one passage with less than 0.00001.
 
-Classes are the connected groups of links.  All members of a bucket are first compared with one
-of them, which leaves a bucket of thousands of similar texts with one class, and their links are
-contracted.  Texts of buckets that still hold several classes then meet again, each once and not
+Classes are the connected groups of links.  Members of a bucket are compared with one of them,
+the smallest: each text first with the smallest it meets in all its buckets, which leaves thousands
+of similar texts with one class, and after these links are contracted with the others that are
+still in another class.  Texts of buckets that still hold several classes then meet again, each once and not
 once a bucket, by the prefixes of the exact search, over all their shingles and whatever their
 length, in the order of a sample of these very texts: so a passage that very many of them share
 comes last, and what they meet by is their own.  Pairs of different classes in groups of up to
@@ -363,6 +364,15 @@ def _met_again(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFr
     return roots if rest.isEmpty() else _merged(roots, rest)
 
 
+def _apart(pairs: DataFrame, seen: DataFrame, roots: DataFrame) -> DataFrame:
+    """``pairs`` of different classes that were not compared yet."""
+    left = roots.select("key", F.col("root").alias("_own"))
+    right = roots.select(F.col("key").alias("other"), F.col("root").alias("_theirs"))
+    rest = pairs.join(left, "key", "left").join(right, "other", "left").where(F.coalesce("_own", "key") != F.coalesce("_theirs", "other"))
+    met = seen.withColumnRenamed("other", "_seen")
+    return rest.join(met, "key").where(F.col("other") != F.col("_seen")).select("key", "other")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(key, root) of every text that is linked with a different one."""
     spark = docs.sparkSession
@@ -374,8 +384,12 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = rows.join(wanted.hint("merge"), "key", "left_semi")  # grows with the corpus: never broadcast
     texts = written(texts.groupBy("key").agg(F.first("text").alias("text")), "texts")
     pairs = written(_ordered_pairs(members.where(F.col("key") != F.col("other"))), "pairs")
-    links = written(_linked(pairs, texts), "links")
+    first = pairs.groupBy("key").agg(F.min("other").alias("other"))
+    links = written(_linked(first, texts), "links")
     roots = spark.createDataFrame([], "key binary, root binary") if links.isEmpty() else components(links)
+    links = written(_linked(written(_apart(pairs, first, roots), "pairs"), texts), "links")
+    if not links.isEmpty():
+        roots = _merged(roots, links)
     return _met_again(members.drop("other"), roots, texts)
 
 
