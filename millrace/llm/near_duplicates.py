@@ -131,11 +131,12 @@ def _often(texts: DataFrame, longest: float = float("inf")) -> tuple[np.ndarray,
             data, offsets = terms.buffer_of(batch["text"])
             for a, b in terms.slices(offsets):
                 own = [x for x in shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) if len(x) <= longest]
-                if own:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], ["gram"])
+                if own:  # counted here, so a shingle that all texts share is one row a slice
+                    grams, times = np.unique(np.concatenate(own).view(np.int64), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(times)], ["gram", "n"])
 
     sample = bounded_sample(texts.select(F.coalesce("text", F.lit("")).alias("text")), SAMPLE, F.col("text"))
-    shown = sample.mapInArrow(made, "gram long").groupBy("gram").count().where("count > 2")
+    shown = sample.mapInArrow(made, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("count")).where("count > 2")
     rows = shown.orderBy(F.desc("count"), "gram").limit(OFTEN).collect()
     grams, times = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
     order = np.argsort(grams)
