@@ -6,8 +6,9 @@ fetched.  Kinds of patterns: ``host`` (that host), ``domain`` (it and its subdom
 ``prefix`` (host and leading path segments).
 
 Joining as of a time works in cells of one month.  A pattern's events are ordered within
-their cell; between cells only the state at a cell's end is carried on, and is written out
-for each month it lasts, up to the last capture.  A capture shows its host, the domains above
+their cell; between cells only the state at a cell's end is carried on, to the months in which a
+capture shows the pattern, so intervals follow entries and captures and not the span of time
+between them, were one capture in the year 9999.  A capture shows its host, the domains above
 it and the prefixes of its path, and meets the intervals of the same pattern and month by an
 equality join with a time condition.  So neither a host with a third of all captures nor a
 pattern with a third of all entries is ever one group: events are grouped by pattern and
@@ -56,36 +57,31 @@ def patterns(url: Column) -> Column:
     return F.when(host(url) != "", F.concat(one, above, below))
 
 
-def intervals(entries: DataFrame, until: Column) -> DataFrame:
-    """(list, kind, pattern, cell, start, stop): when an entry holds, cut at month borders; open ends have no stop.
+def intervals(entries: DataFrame, cells: DataFrame) -> DataFrame:
+    """(list, kind, pattern, cell, start, stop): when an entry holds, cut at month borders.
 
-    ``entries`` has list, kind, pattern, action ("add" or "remove") and at.
+    ``entries`` has list, kind, pattern, action ("add" or "remove") and at.  Between its events an
+    entry is written out only for the months of ``cells`` (kind, pattern, cell), those asked for.
     """
     key = ["list", "kind", "pattern"]
     known = entries.select("list", "kind", F.lower("pattern").alias("pattern"), "action", "at", F.trunc("at", "month").alias("cell")).dropna()
     events = known.groupBy(*key, "cell", "at").agg((F.max("action") == "add").alias("on"))
     inside = events.withColumn("stop", F.lead("at").over(Window.partitionBy(*key, "cell").orderBy("at")))
-    own = inside.where("on").select(*key, "cell", F.col("at").alias("start"), F.coalesce("stop", F.add_months("cell", 1).cast("timestamp")).alias("stop"))
+    end = F.add_months("cell", 1).cast("timestamp")
+    own = inside.where("on").select(*key, "cell", F.col("at").alias("start"), F.coalesce("stop", end).alias("stop"))
     ends = events.groupBy(*key, "cell").agg(F.max_by("on", "at").alias("on"), F.min("at").alias("first"))
-    after = Window.partitionBy(*key).orderBy("cell")
-    carried = ends.select(*key, "cell", "on", F.lead("cell").over(after).alias("next"), F.lead("first").over(after).alias("first")).where("on")
-    last = F.coalesce("next", F.trunc(until, "month"))
-    months = carried.where(F.add_months("cell", 1) <= last).select(
-        *key, F.explode(F.sequence(F.add_months("cell", 1), last, F.expr("interval 1 month"))).alias("month"), "next", "first"
-    )
-    held = months.select(
-        *key, F.col("month").alias("cell"), F.col("month").cast("timestamp").alias("start"),
-        F.when(F.col("month") == F.col("next"), F.col("first")).otherwise(F.add_months("month", 1).cast("timestamp")).alias("stop"),
-    )
+    asked = cells.join(ends.select(*key).distinct(), ["kind", "pattern"]).select(*key, "cell", F.lit(True).alias("asked"))
+    before = Window.partitionBy(*key).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.join(asked, [*key, "cell"], "full").withColumn("held", F.last("on", ignorenulls=True).over(before))
+    held = carried.where("asked and held").select(*key, "cell", F.col("cell").cast("timestamp").alias("start"), F.coalesce("first", end).alias("stop"))
     return own.unionByName(held).where("start < stop")
 
 
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """``id``, blocked, n_lists and lists (sorted, joined by commas) of every row of ``captures`` (id, url, fetched_at)."""
-    until = captures.agg(F.max("fetched_at")).first()[0]
     single = captures.select("url", "fetched_at").dropna().distinct()
     shown = single.select("url", "fetched_at", F.trunc("fetched_at", "month").alias("cell"), F.explode(patterns(F.col("url"))).alias("p")).select("url", "fetched_at", "cell", "p.*")
-    active = written(intervals(entries, F.lit(until)), "intervals")
+    active = written(intervals(entries, shown.select("kind", "pattern", "cell").distinct()), "intervals")
     met = shown.join(active, ["kind", "pattern", "cell"]).where((F.col("start") <= F.col("fetched_at")) & (F.col("fetched_at") < F.col("stop")))
     found = written(met.groupBy("url", "fetched_at").agg(F.array_sort(F.collect_set("list")).alias("lists")), "judged")
     lists = F.coalesce("lists", F.array().cast("array<string>"))
