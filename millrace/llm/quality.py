@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm import terms
-from millrace.llm.common import bounded_sample, held_out
+from millrace.llm.common import bounded_sample, held_out, written
 
 _PAIR, _AGAIN, _BIAS = np.uint64(3), np.uint64(0x5EED), 0.3
 
@@ -54,7 +54,7 @@ def features(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
 
 
 def _follow_leader(shard: pd.DataFrame, size: int, alpha: float, beta: float, l1: float, l2: float, epochs: int) -> pd.DataFrame:
-    """Weights after ``epochs`` passes over one shard, as (slot, weight) rows; slot ``size`` is the bias."""
+    """Weights after ``epochs`` passes over one shard, as (slot, weight) rows; slot ``size`` is the bias, the next one counts the shard."""
     shard = shard.sort_values(["text", "label"], kind="stable")
     data, offsets = terms.buffer_of(pa.array(shard["text"], pa.string()))
     labels = shard["label"].to_numpy(float)
@@ -78,7 +78,7 @@ def _follow_leader(shard: pd.DataFrame, size: int, alpha: float, beta: float, l1
             n[at] += g * g
     w = weights(slice(None))
     at = np.flatnonzero(w)
-    return pd.DataFrame({"slot": at, "weight": w[at]})
+    return pd.DataFrame({"slot": np.append(at, size + 1), "weight": np.append(w[at], 1.0)})
 
 
 def fit(
@@ -87,8 +87,9 @@ def fit(
 ) -> Model:
     """Learn from at most about ``rows`` labelled documents outside the held-out fold.
 
-    Only the text is an input.  ``rows`` bounds what the shards hold; the driver gets the
-    averaged weights, ``2**bits`` rows at most.
+    Only the text is an input.  Repeated rows of an id count once, and ``rows`` bounds what the
+    shards hold also where ids have many texts; the driver gets the weights, summed over the
+    shards, ``2**bits + 2`` rows at most.
     """
     size = 1 << bits
     known = (
@@ -96,14 +97,16 @@ def fit(
         .groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
     )
     known = bounded_sample(known, rows, F.col("doc_id"))
-    pairs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+    pairs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id").distinct()
+    pairs = bounded_sample(written(pairs, "labelled"), rows, F.col("doc_id"), F.col("text"))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard")
     learnt = pairs.select(shard, "text", "label").groupBy("shard").applyInPandas(
         lambda pdf: _follow_leader(pdf, size, alpha, beta, l1, l2, epochs), "slot long, weight double"
     )
-    found = learnt.groupBy("slot").agg((F.sum("weight") / F.lit(shards)).alias("weight")).toArrow()
-    weights = np.zeros(size + 1)
+    found = learnt.groupBy("slot").agg(F.sum("weight").alias("weight")).toArrow()
+    weights = np.zeros(size + 2)
     weights[found["slot"].to_numpy()] = found["weight"].to_numpy()
+    weights /= max(1, weights[size + 1])
     return Model(weights[:size].astype(np.float32), float(weights[size]))
 
 
