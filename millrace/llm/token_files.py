@@ -17,7 +17,8 @@ A text is encoded by chunks between spaces and newlines: the tokenizer cuts at w
 and drops it, so a chunk's ids do not depend on its surroundings; chunks are remembered per
 worker up to ``MEMORY`` characters.  As it lower-cases, Latin-1 texts are looked up in lower
 case; as it cuts between letters and marks, a new word with marks behind it is looked up as
-two.  Neither is done where a special token could be meant.
+two.  Neither is done where a special token could be meant.  These facts are read from the
+tokenizer's file; under other settings whole texts go to the tokenizer as they are.
 
 Edge cases: null and empty texts are the end id alone; null doc_ids come last and stay null;
 rows that repeat stay, ordered by hash and content; too few samples for a dictionary give
@@ -26,6 +27,7 @@ an empty one (plain frames); an empty table gives no shard.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from array import array
@@ -33,6 +35,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
@@ -47,10 +50,28 @@ from millrace.llm.common import bounded_sample, fresh_path, written
 MAGIC, VERSION = b"TOKS", 1
 BLOCK = 1 << 20
 MEMORY = 64 << 20
-SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY = 2_000, 1 << 14, 1 << 16
+SAMPLE_ROWS, SAMPLE_BYTES, SLICES, DICTIONARY = 2_000, 1 << 14, 8, 1 << 16
 _HEAD = struct.Struct("<4sHHI32s")
 
 
+#: Settings of a tokenizer file under which chunks can be encoded apart.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def by_chunks(settings: dict) -> bool:
+    """Whether a tokenizer (its file, parsed) drops white space, lower-cases, cuts letters from marks and marks special tokens with ``<|``."""
+    normal, cut = settings.get("normalizer") or {}, (settings.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    split = cut[0] if cut else {}
+    return (
+        normal.get("normalizers") == _NORMAL
+        and [c["type"] for c in cut] == ["Split", "ByteLevel"]
+        and split.get("pattern") == {"Regex": _CUT} and split.get("behavior") == "Removed" and split.get("invert") is True
+        and not cut[1].get("add_prefix_space") and not cut[1].get("use_regex")
+        and all(t["content"].startswith("<|") and " " not in t["content"] and not t["lstrip"] and not t["rstrip"] for t in settings.get("added_tokens", []))
+    )
+
+
 _marked = re.compile(r"([a-zß-öø-ÿ]+)([.,!?$%&*#|:;]+)").fullmatch
 
 
@@ -66,7 +87,7 @@ def _folded(text: str) -> str:
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizers file that drops white space."""
+    """Ids of whole texts by a tokenizers file; by remembered chunks where its settings allow that."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -74,6 +95,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.apart = by_chunks(json.loads(Path(path).read_text(encoding="utf-8")))
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
         self.memory: dict[str, bytes] = {}
@@ -81,6 +103,8 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Serialised ids of each text."""
+        if not self.apart:
+            return [array(self.kind, x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if self.held > MEMORY:
             self.memory, self.held = {}, 0
         memory, out, later = self.memory, [], []
@@ -119,15 +143,26 @@ def _serialised(texts: pa.Array, path: str, end: int):
             yield ids + last
 
 
+def spread(ids: bytes, width: int) -> bytes:
+    """At most ``SAMPLE_BYTES`` of an array: ``SLICES`` slices from its beginning to its end."""
+    size = SAMPLE_BYTES // SLICES
+    if len(ids) <= SAMPLE_BYTES:
+        return ids
+    last = (len(ids) - size) // width
+    return b"".join(ids[at : at + size] for at in (last * i // (SLICES - 1) * width for i in range(SLICES)))
+
+
 def train(docs: DataFrame, tokenizer: str, end: int, rows: int = SAMPLE_ROWS) -> bytes:
-    """A dictionary from at most ``rows`` documents, ``SAMPLE_BYTES`` of each; empty if they are too few."""
-    sample = bounded_sample(docs.select("doc_id", "text"), rows, F.col("doc_id"), F.col("text")).limit(rows)
+    """A dictionary from at most ``rows`` documents, picked by hashes, ``SAMPLE_BYTES`` of each; empty if they are too few."""
+    sample = bounded_sample(docs.select("doc_id", "text"), 2 * rows, F.col("doc_id"), F.col("text"))
 
     def cut(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_BYTES] for x in _serialised(batch["text"], tokenizer, end)], pa.binary())], ["ids"])
+            width = _encoder(tokenizer).width
+            yield pa.RecordBatch.from_arrays([pa.array([spread(x, width) for x in _serialised(batch["text"], tokenizer, end)], pa.binary())], ["ids"])
 
-    samples = sorted(sample.mapInArrow(cut, "ids binary").toArrow()["ids"].to_pylist())
+    sample = sample.mapInArrow(cut, "ids binary").distinct().orderBy(F.xxhash64("ids"), "ids").limit(rows)
+    samples = sorted(sample.toArrow()["ids"].to_pylist())
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
