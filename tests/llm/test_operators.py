@@ -563,3 +563,80 @@ def test_quality(spark, docs):
     assert {r.score for r in quality.classify(docs, none).collect()} == {0.5}
     odd = spark.createDataFrame([(None, 1), (0, None), (0, 1), (0, 0)], "doc_id long, quality int")
     assert quality.classify(docs, quality.fit(docs, odd)).count() == docs.count()
+
+
+def test_shards_of_labelled_rows_are_bounded_and_averaged(spark, monkeypatch):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    own = [(i, f"{'good' if i % 2 else 'bad'} text {i}") for i in range(200)]
+    hot = next(i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1)
+    once = spark.createDataFrame(own, "doc_id long, text string")
+    often = once.unionByName(once.where(f"doc_id = {hot}").crossJoin(spark.range(2000)).select("doc_id", "text"))
+    a, b = quality.fit(once, labels), quality.fit(often, labels)
+    assert (a.weights == b.weights).all() and a.bias == b.bias
+    seen = []
+    sample = quality.bounded_sample
+    monkeypatch.setattr(quality, "bounded_sample", lambda df, *rest: seen.append(sample(df, *rest)) or seen[-1])
+    many = once.unionByName(spark.range(5000).selectExpr(f"{hot}L AS doc_id", "concat('text no ', id) AS text"))
+    quality.fit(many, labels, rows=150)
+    assert seen[-1].count() < 300  # one id with 5,000 texts
+    few = labels.where(f"doc_id = {hot}")
+    alone, spread = quality.fit(once, few, shards=1), quality.fit(once, few, shards=4)
+    assert (alone.weights == spread.weights).all() and alone.bias == spread.bias  # empty shards do not count
+
+
+def test_url_filters_with_times_far_apart(spark, monkeypatch):
+    from datetime import datetime
+
+    entries = spark.createDataFrame(
+        [("spam", "host", f"h{i}.org", "add", datetime(2023, 1, 1 + i % 28)) for i in range(100)]
+        + [("old", "host", "h0.org", "add", datetime(1, 1, 1)), ("old", "host", "h0.org", "remove", datetime(9999, 12, 31)), ("late", "domain", "org", "add", datetime(9999, 12, 1))],
+        "list string, kind string, pattern string, action string, at timestamp",
+    )
+    times = [datetime(1, 1, 1), datetime(1, 2, 1), datetime(2023, 1, 1), datetime(9999, 12, 1), datetime(9999, 12, 31, 12)]
+    captures = spark.createDataFrame([(i, "http://h0.org/", t) for i, t in enumerate(times)] + [(9, "http://h5.org/", times[3])], "id long, url string, fetched_at timestamp")
+    sizes = []
+    monkeypatch.setattr(url_filters, "written", lambda df, name: sizes.append((name, df.count())) or df)
+    assert rows(url_filters.judge(captures, entries)) == [
+        (0, True, 1, "old"), (1, True, 1, "old"), (2, True, 2, "old,spam"), (3, True, 3, "late,old,spam"), (4, True, 2, "late,spam"), (9, True, 2, "late,spam"),
+    ]
+    assert dict(sizes)["intervals"] <= 103 + 2 * captures.count() + 3
+
+
+def test_dictionary_learns_from_whole_arrays(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = np.arange(50_000, dtype="<u2").tobytes()
+    cut = token_files.spread(ids, 2)
+    assert len(cut) == token_files.SAMPLE_BYTES and cut[:2] == ids[:2] and cut[-2:] == ids[-2:] and token_files.spread(ids[:100], 2) == ids[:100]
+    at = np.frombuffer(cut, "<u2")
+    assert (np.diff(at) > 0).all() and (np.diff(at) > 1).sum() == token_files.SLICES - 1
+    full = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    hot = full.unionByName(full.limit(1).crossJoin(spark.range(3000)).select(full.columns))
+    first = token_files.train(full, path, 1, 300)
+    assert first and first == token_files.train(full.repartition(7), path, 1, 300)  # no order of rows decides
+    assert token_files.train(hot, path, 1, 300)
+
+
+def test_token_files_of_another_tokenizer(spark, docs, tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    dealt = json.loads(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    assert token_files.by_chunks(dealt)
+    cased = json.loads(json.dumps(dealt))
+    cased["normalizer"]["normalizers"].pop()  # no lower-casing
+    marked = json.loads(json.dumps(dealt))
+    marked["added_tokens"][0]["content"] = "[START]"
+    odd = [(-51, "Don't SHOUT, [START] it's  fine.\n"), (-52, None), (-53, ""), (-54, "ÀÉ <|endoftext|> B")]
+    table = spark.createDataFrame(odd, "doc_id long, text string").unionByName(docs.select("doc_id", "text").where("doc_id > 0").limit(30))
+    paths = [public_tokenizers.path("byte_bpe_50k.json")]
+    for name, own in (("cased", cased), ("marked", marked)):
+        assert not token_files.by_chunks(own)
+        paths.append(str(tmp_path / f"{name}.json"))
+        (tmp_path / f"{name}.json").write_text(json.dumps(own))
+    for path in paths:
+        own = Tokenizer.from_file(path)
+        got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_files.store(table, path, 1).collect()}
+        for i, t in map(tuple, table.collect()):
+            ids = own.encode(t or "", add_special_tokens=False).ids + [1]
+            assert got[i] == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))), (path, i)
