@@ -341,6 +341,7 @@ ORACLE["cycles"] = fin(f"{SILVER}, {CYCLES} SELECT * FROM cycles", **_cycle_fin,
 ORACLE["cycles_per_device"] = fin(
     f"{SILVER}, {cycle_ctes('device, log_date', 'PARTITION BY device')} SELECT * FROM cycles", **_cycle_fin, s=["dominant_mode_name", "device"]
 )
+ORACLE["incremental_cycles"] = ORACLE["cycles_per_device"]
 
 _cs_d = {
     "cycles_per_day": r("count(*) * 24.0 / greatest(date_sub('hour', min(start_time), max(end_time)), 1)", 1),

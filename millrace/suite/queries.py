@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,12 @@ from millrace.operators.envelope import envelope
 from millrace.plans import jsonfiles
 from millrace.plans.cdr import gold as cdr_gold
 from millrace.plans.cdr import records
-from millrace.plans.heatpump import gold, logs, reports, tools
+from millrace.plans.heatpump import gold, incremental, logs, reports, tools
 from millrace.session import apply_runtime
+from millrace.sources.tables import Layout
 from millrace.sources.topics import record_messages
 from millrace.suite import feeds
-from millrace.suite.staging import staged
+from millrace.suite.staging import stage_root, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-01-21"
@@ -126,6 +128,21 @@ def cycles_per_device(spark, sf_dir):
     return gold.cycles(pump(spark, sf_dir, ("device",)), ("device",))
 
 
+def in_loads(spark, sf_dir, samples: DataFrame) -> Layout:
+    """Compressor runs after three loads: whole days, then parts of days, then late hours of days long loaded."""
+    tables = Layout(f"{stage_root(spark, sf_dir)}/loads/{uuid.uuid4().hex}")
+    load = F.when(F.crc32(F.date_format("logged_at", "yyyy-MM-dd HH")) % 3 == 0, 3).otherwise(F.crc32(F.col("log_date_parsed").cast("string")) % 2 + 1)
+    for n in (1, 2, 3):
+        incremental.refresh(samples.filter(load <= n), samples.filter(load == n), tables, f"load-{n}", ("device",), {})
+    return tables
+
+
+@query
+def incremental_cycles(spark, sf_dir):
+    samples = pump(spark, sf_dir, ("device",))
+    return incremental.cycles(samples, in_loads(spark, sf_dir, samples), ("device",))
+
+
 @query
 def cycle_summary(spark, sf_dir):
     return pump_tables(spark, sf_dir).build("cycle_summary")
