@@ -9,11 +9,11 @@ check of its kind (``known``), a threshold per kind decides.  Added is what pass
 itself and stands where such candidates pass: a number that passes by chance, among many that
 fail, is not added.
 
-Training: base and wide candidates of a bounded sample of documents (``rows``), labelled by
-their check, are counted by feature vector and label.  No feature holds the label: digits are
+Training: base and wide candidates of all documents, labelled by their check, are counted by
+feature vector and label.  No feature holds the label: digits are
 not counted for phones, whose check is their number, and the end of an address is not seen.
 The number of vectors is fixed by the features' ranges, so the driver boosts on a small table,
-whatever the size of the corpus.  One half of the sample (by hash) grows the trees, the
+whatever the size of the corpus.  One half of the documents (by hash) grows the trees, the
 other calibrates: a kind's threshold is the lowest score from which on precision reaches
 ``precision``.  Precision is that of candidates that pass: those that fail show how many pass
 by chance, ``CHANCE / (1 - CHANCE)`` for each.  A kind without examples of both sorts gets no
@@ -37,8 +37,6 @@ from math import exp, log
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import bounded_sample
-
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
 BASE = {
@@ -232,12 +230,11 @@ def _free(span: Column) -> Column:
     return ~F.exists(F.concat(*[F.col(f"base.{k}") for k in KINDS]), lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"]))
 
 
-def fit(docs: DataFrame, rows: int = 20_000, rounds: int = 12, depth: int = 2, rate: float = 0.5, precision: float = 0.99) -> Model:
-    """Boost on the candidates of about ``rows`` documents; see the module's text."""
+def fit(docs: DataFrame, rounds: int = 12, depth: int = 2, rate: float = 0.5, precision: float = 0.99) -> Model:
+    """Boost on the candidates of all documents; see the module's text."""
     text = F.coalesce("text", F.lit(""))
-    sample = bounded_sample(docs.select("doc_id", "text"), rows, F.col("doc_id"), F.col("text"))
     grows = (F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("grow")
-    held = sample.select(grows, F.struct(*[c.alias(k) for k, c in base(text, checked=False).items()]).alias("every"), wide(text).alias("wide"))
+    held = docs.select(grows, F.struct(*[c.alias(k) for k, c in base(text, checked=False).items()]).alias("every"), wide(text).alias("wide"))
     held = held.select("grow", "every", "wide", F.struct(*[_passing(k, F.col(f"every.{k}")).alias(k) for k in KINDS]).alias("base"))
     candidates = F.concat(*[F.col(f"every.{k}") for k in KINDS], F.filter("wide", _free))
     found = held.select("grow", F.explode(candidates).alias("s")).select("grow", "s.kind", passes(F.col("s")).alias("good"), features(F.col("s")).alias("f"))
