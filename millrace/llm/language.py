@@ -10,8 +10,8 @@ a logistic loss of (code bit x margin), weighted by how reliably the bit was pre
 sample, and picks the smallest; ``ambiguous`` is set where the runner-up is close.
 
 N-grams are taken over lower-cased letters; anything else separates words.  All counts come
-from a bounded sample of labelled rows (``rows``), spread over the tasks; the driver gets
-languages x ``2**bits`` counts.
+from all labelled rows (or from about ``rows`` of them, where a caller gives a number),
+spread over the tasks; the driver gets languages x ``2**bits`` counts.
 
 Edge cases: null texts and texts without a letter give ``und`` with score 0; with no
 labelled row at all everything is ``und``; with one language that one is chosen; ties go to
@@ -106,10 +106,12 @@ class Model:
         return best, top[:, -1], (top[:, -1] - top[:, -2] if odds.shape[1] > 1 else top[:, -1]) < self.close
 
 
-def fit(docs: DataFrame, rows: int = 20_000, bits: int = 16) -> Model:
-    """Learn from about ``rows`` texts with a language outside the held-out fold; only the text is an input."""
+def fit(docs: DataFrame, rows: int | None = None, bits: int = 16) -> Model:
+    """Learn from all texts (or about ``rows``) with a language outside the held-out fold; only the text is an input."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    known = bounded_sample(known.select("doc_id", "text", "lang"), rows, F.col("doc_id"))
+    known = known.select("doc_id", "text", "lang")
+    if rows is not None:
+        known = bounded_sample(known, rows, F.col("doc_id"))
     prepared = known.select("lang", letters_only(F.col("text")).alias("text"))
     size = 1 << bits
 

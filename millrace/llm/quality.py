@@ -4,9 +4,9 @@ Features of a text are its words, its runs of marks and its neighbouring pairs,
 ``2**bits`` slots; a word followed by itself is one feature whatever the word.  The value of
 a feature is its share of all features of the text, so length does not matter.
 
-Training takes a bounded sample of labelled rows (``rows``, the documented bound), splits it
-over ``shards`` tasks, runs the per-coordinate proximal updates for ``epochs`` passes in each
-and averages the shards' weights.  Scoring is one sparse dot product per text, in Arrow
+Training takes all labelled rows (about ``rows`` of them, where a caller gives a number), splits
+them over shards of bounded size, runs the per-coordinate proximal updates for ``epochs`` passes
+in each and averages the shards' weights.  Scoring is one sparse dot product per text, in Arrow
 batches, with no shuffle; the model is a vector of ``2**bits`` floats.
 
 Edge cases: null and empty texts have no feature and score the bias; null ids, null labels
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm import terms
 from millrace.llm.common import bounded_sample, held_out, written
 
+SHARD_ROWS, SHARD_BYTES = 5_000, 32 << 20
 _PAIR, _AGAIN, _BIAS = np.uint64(3), np.uint64(0x5EED), 0.3
 
 
@@ -82,23 +83,28 @@ def _follow_leader(shard: pd.DataFrame, size: int, alpha: float, beta: float, l1
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = 20_000, shards: int = 4, bits: int = 18,
+    docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int | None = None, shards: int = 4, bits: int = 18,
     alpha: float = 10.0, beta: float = 0.1, l1: float = 0.001, l2: float = 0.0, epochs: int = 3,
 ) -> Model:
-    """Learn from at most about ``rows`` labelled documents outside the held-out fold.
+    """Learn from all labelled documents outside the held-out fold, or from about ``rows`` of them.
 
-    Only the text is an input.  Repeated rows of an id count once, and ``rows`` bounds what the
-    shards hold also where ids have many texts; the driver gets the weights, summed over the
-    shards, ``2**bits + 2`` rows at most.
+    Only the text is an input.  Repeated rows of an id count once, also where ids have many
+    texts.  There are ``shards`` shards, and more where one would hold over ``SHARD_ROWS`` rows
+    or ``SHARD_BYTES`` bytes; the driver gets the weights, summed over the shards, ``2**bits + 2`` rows at most.
     """
     size = 1 << bits
     known = (
         labels.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
     )
-    known = bounded_sample(known, rows, F.col("doc_id"))
+    if rows is not None:
+        known = bounded_sample(known, rows, F.col("doc_id"))
     pairs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id").distinct()
-    pairs = bounded_sample(written(pairs, "labelled"), rows, F.col("doc_id"), F.col("text"))
+    pairs = written(pairs, "labelled")
+    if rows is not None:
+        pairs = bounded_sample(pairs, rows, F.col("doc_id"), F.col("text"))
+    held = pairs.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    shards = max(shards, -(-held["rows"] // SHARD_ROWS), -(-(held["bytes"] or 0) // SHARD_BYTES))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard")
     learnt = pairs.select(shard, "text", "label").groupBy("shard").applyInPandas(
         lambda pdf: _follow_leader(pdf, size, alpha, beta, l1, l2, epochs), "slot long, weight double"
