@@ -307,18 +307,17 @@ KINDS = list(records.SCHEMAS)
 
 
 def messages(spark, sf_dir, kind):
-    """Messages of one topic as written by the ingest."""
-    topic = records.ROUTES[kind]
-    return staged(spark, sf_dir, f"messages_{kind}", lambda: feeds.cdr_messages(spark, sf_dir, kind, topic))
+    """Messages of one topic, made row by row where they are read; streams, which need files, write them first."""
+    return feeds.cdr_messages(spark, sf_dir, kind, records.ROUTES[kind])
 
 
 def delivered(spark, sf_dir, kind):
     """The same with some messages delivered twice."""
-    return staged(spark, sf_dir, f"delivered_{kind}", lambda: feeds.with_redeliveries(messages(spark, sf_dir, kind)))
+    return feeds.with_redeliveries(messages(spark, sf_dir, kind))
 
 
 def user_messages(spark, sf_dir):
-    return staged(spark, sf_dir, "messages_users", lambda: feeds.user_messages(spark, sf_dir, "telco-users"))
+    return feeds.user_messages(spark, sf_dir, "telco-users")
 
 
 def keyed(spark, sf_dir, kind):
@@ -326,7 +325,7 @@ def keyed(spark, sf_dir, kind):
 
 
 class Cdrs(Mapping):
-    """Cleaned record tables by type, each written when first asked for."""
+    """Cleaned record tables by type: map-only, so each is made in the scan of the query that reads it, with its columns alone."""
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
@@ -334,8 +333,7 @@ class Cdrs(Mapping):
     def __getitem__(self, kind: str) -> DataFrame:
         if kind not in records.SCHEMAS:
             raise KeyError(kind)
-        build = lambda: records.typed(keyed(self.spark, self.sf_dir, kind), kind)
-        return staged(self.spark, self.sf_dir, f"cdr_{kind}", build)  # map-only: no shuffle of the records
+        return records.typed(keyed(self.spark, self.sf_dir, kind), kind)
 
     def __iter__(self):
         return iter(KINDS)

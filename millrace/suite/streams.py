@@ -19,6 +19,7 @@ from millrace.sources.tables import Layout, read_table
 from millrace.sources.topics import TopicSource, read_topics
 from millrace.streaming.counts import RuleCounts, stored_counts
 from millrace.streaming.tables import append_stream, compacted, current, dedup_stream, dedup_within, fan_out, late_rows, upsert_stream
+from millrace.suite import feeds
 from millrace.suite.oracle import ORACLE
 from millrace.suite.queries import KINDS, _add, _filled, delivered, messages, pump_raw, query, user_messages
 from millrace.suite.staging import stage_root, staged
@@ -30,26 +31,35 @@ def _layout(spark, sf_dir) -> Layout:
 
 def _topic(spark, sf_dir, topic: str, kind: str, table: str = "messages"):
     """The staged messages of one topic as a stream, in Kafka's columns."""
-    if kind == "users":
-        user_messages(spark, sf_dir)
-    else:
-        (messages if table == "messages" else delivered)(spark, sf_dir, kind)
+    rows = {"messages": messages, "delivered": delivered}[table]
+    staged(spark, sf_dir, f"{table}_{kind}", lambda: user_messages(spark, sf_dir) if kind == "users" else rows(spark, sf_dir, kind))
     source = TopicSource(fmt="parquet", path=f"{stage_root(spark, sf_dir)}/{table}_{kind}")
     return read_topics(spark, source, [topic])
 
 
-BATCHES = 6
+BATCHES, FILE_ROWS = 6, 200_000
+
+
+def files_a_batch(rows: int, batches: int = BATCHES, file_rows: int = FILE_ROWS) -> int:
+    """Files of one micro-batch, so that ``batches`` of them hold ``rows`` messages in files of at most about ``file_rows``."""
+    return max(1, -(-rows // (batches * file_rows)))
+
+
+def _size(spark, sf_dir, kind: str) -> int:
+    return feeds.table(spark, sf_dir, "orders" if kind == "users" else "events").count()
 
 
 def arrivals(spark, sf_dir, kind: str):
-    """Messages in files as they arrive: delivered twice in part, in no order of time; one file, one micro-batch."""
+    """Messages in files as they arrive: delivered twice in part, in no order of time; the files grow in number, not in size."""
     rows = user_messages(spark, sf_dir) if kind == "users" else delivered(spark, sf_dir, kind)
-    mixed = lambda: rows.repartition(BATCHES, F.xxhash64("offset", "timestamp", "value"))
+    files = BATCHES * files_a_batch(_size(spark, sf_dir, kind))
+    mixed = lambda: rows.repartition(files, F.xxhash64("offset", "timestamp", "value"))
     return staged(spark, sf_dir, f"arrivals_{kind}", mixed)
 
 
 def _arriving(spark, sf_dir, topic: str, kind: str):
-    return read_topics(spark, TopicSource(fmt="parquet", path=f"{stage_root(spark, sf_dir)}/arrivals_{kind}", per_batch=1), [topic])
+    per_batch = files_a_batch(_size(spark, sf_dir, kind))
+    return read_topics(spark, TopicSource(fmt="parquet", path=f"{stage_root(spark, sf_dir)}/arrivals_{kind}", per_batch=per_batch), [topic])
 
 
 @query
@@ -140,12 +150,11 @@ def _routed(spark, sf_dir):
     root = f"{stage_root(spark, sf_dir)}/fan_out"
     if root not in _fanned:
         topics = [records.ROUTES[k] for k in KINDS]
-        for kind in KINDS:
-            messages(spark, sf_dir, kind)
+        per_batch = files_a_batch(len(KINDS) * _size(spark, sf_dir, "events"))
         everything = f"{stage_root(spark, sf_dir)}/messages_all"
         stacked = lambda: reduce(DataFrame.unionByName, [messages(spark, sf_dir, k) for k in KINDS])
-        staged(spark, sf_dir, "messages_all", lambda: stacked().repartition(BATCHES, F.xxhash64("offset", "topic")))
-        stream = envelope(read_topics(spark, TopicSource(fmt="parquet", path=everything, per_batch=2), topics), "keyed")
+        staged(spark, sf_dir, "messages_all", lambda: stacked().repartition(BATCHES * per_batch, F.xxhash64("offset", "topic")))
+        stream = envelope(read_topics(spark, TopicSource(fmt="parquet", path=everything, per_batch=2 * per_batch), topics), "keyed")
         tables = {k: lambda batch, _k=k: records.typed(batch.where(F.col("_topic") == records.ROUTES[_k]), _k) for k in KINDS}
         fan_out(stream, tables, lambda name: f"{root}/{name}", f"{root}/_checkpoint").awaitTermination()
         _fanned.add(root)

@@ -1,0 +1,39 @@
+"""What a query writes and what one task reads do not grow faster than its input."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+from millrace.suite import landing, queries, streams
+from millrace.suite.staging import stage_root
+
+SF = "/root/testdata/sf0.01"
+
+
+def files(folder: str, suffix: str) -> list[Path]:
+    return [p for p in Path(folder).glob("part-*") if p.name.endswith(suffix)]
+
+
+@pytest.mark.parametrize("name", ["type_distribution", "anomaly_summary", "by_plan"])
+def test_record_summaries_write_no_copy_of_the_records(spark, name):
+    queries.QUERIES[name](spark, SF).collect()
+    made = {p.name for p in Path(stage_root(spark, SF)).glob("*")}
+    assert not {n for n in made if n.startswith(("messages_", "cdr_"))}
+
+
+def test_files_of_a_stream_grow_in_number(spark, monkeypatch):
+    assert [streams.files_a_batch(n) for n in (0, 1, 1_200_000, 1_200_001, 288_000_000)] == [1, 1, 1, 2, 240]
+    monkeypatch.setattr(streams.files_a_batch, "__defaults__", (streams.BATCHES, 500))
+    rows = streams.arrivals(spark, SF, "sms")
+    made = files(f"{stage_root(spark, SF)}/arrivals_sms", ".parquet")
+    assert len(made) > streams.BATCHES and max(spark.read.parquet(str(p)).count() for p in made) < 1_000
+    assert rows.count() == queries.delivered(spark, SF, "sms").count()
+
+
+def test_landed_files_are_compressed_and_bounded(spark, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_LINES", 20_000)
+    made = files(landing.json_files(spark, SF), ".gz")
+    lines = landing.feeds.table(spark, SF, "lineitem").count()
+    assert len(made) >= lines / 20_000 and spark.read.text([str(p) for p in made]).count() == lines
