@@ -25,14 +25,15 @@ from millrace.suite.sqltext import fin
 from millrace.suite.staging import stage_root
 
 _landed: set[str] = set()
+FILE_LINES = 500_000  # a compressed file is read by one task
 SHORT, SHORT_FIELDS = "('777', '333', '555', '901')", 12  # compressor frequencies whose lines are cut
 
 
 def landed(spark, sf_dir: str, name: str, lines: Callable[[], DataFrame]) -> str:
-    """Folder of text files with these lines, written once per application."""
+    """Folder of compressed text files of at most ``FILE_LINES`` lines each, written once per application."""
     path = f"{stage_root(spark, sf_dir)}/landing_{name}"
     if path not in _landed:
-        lines().write.mode("overwrite").text(path)
+        lines().write.mode("overwrite").options(compression="gzip", maxRecordsPerFile=FILE_LINES).text(path)
         _landed.add(path)
     return path
 
