@@ -15,10 +15,11 @@ over its shards, across ranges by one number per range.
 
 A text is encoded by chunks between spaces and newlines: the tokenizer cuts at white space
 and drops it, so a chunk's ids do not depend on its surroundings; chunks are remembered per
-worker up to ``MEMORY`` characters.  As it lower-cases, Latin-1 texts are looked up in lower
-case; as it cuts between letters and marks, a new word with marks behind it is looked up as
-two.  Neither is done where a special token could be meant.  These facts are read from the
-tokenizer's file; under other settings whole texts go to the tokenizer as they are.
+worker up to about ``MEMORY`` bytes.  As it lower-cases, Latin-1 texts are looked up in lower
+case; as it cuts between letters, digits and marks, a new Latin-1 chunk is put together from
+its pieces, and only new pieces go to the tokenizer.  Neither is done where a special token
+could be meant.  These facts are read from the tokenizer's file; under other settings whole
+texts go to the tokenizer as they are.
 
 Edge cases: null and empty texts are the end id alone; null doc_ids come last and stay null;
 rows that repeat stay, ordered by hash and content; too few samples for a dictionary give
@@ -49,7 +50,7 @@ from millrace.llm.common import bounded_sample, fresh_path, written
 
 MAGIC, VERSION = b"TOKS", 1
 BLOCK = 1 << 20
-MEMORY = 64 << 20
+MEMORY, ENTRY = 96 << 20, 250  # bytes of remembered chunks in a worker, and of one beside its characters
 SAMPLE_ROWS, SAMPLE_BYTES, SLICES, DICTIONARY = 2_000, 1 << 14, 8, 1 << 16
 _HEAD = struct.Struct("<4sHHI32s")
 
@@ -72,18 +73,34 @@ def by_chunks(settings: dict) -> bool:
     )
 
 
-_marked = re.compile(r"([a-zß-öø-ÿ]+)([.,!?$%&*#|:;]+)").fullmatch
+# ``_CUT`` for lower-case Latin-1: its letters, numbers and white space by name.
+_L, _N = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_pieces = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\x20\t-\r\x85\xa0{_L}{_N}]+").findall
 
 
-def _folded(text: str) -> str:
-    """In lower case, where that cannot change the ids."""
+# The characters that stand for bytes in a byte-level vocabulary.
+_shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _shown)}
+
+
+def _byte_level(piece: str) -> str:
+    return piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(_BYTES)
+
+
+def _plain(text: str) -> bool:
+    """Whether a text is Latin-1 and no special token could be meant."""
     if "<|" in text:
-        return text
+        return False
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
-        return text
-    return text.lower()
+        return False
+    return True
+
+
+def _folded(text: str) -> str:
+    """In lower case, where that cannot change the ids."""
+    return text.lower() if _plain(text) else text
 
 
 class Encoder:
@@ -111,21 +128,27 @@ class Encoder:
         fresh: set[str] = set()
         for text in texts:
             chunks = _folded(text).replace("\n", " ").split(" ")
-            found = list(map(memory.get, chunks))
             try:
-                out.append(b"".join(found))
-            except TypeError:  # some are new
-                later.append((len(out), chunks, found))
+                out.append(b"".join(map(memory.__getitem__, chunks)))
+            except KeyError:  # some are new
+                later.append((len(out), chunks))
                 out.append(b"")
-                fresh.update([c for c, ids in zip(chunks, found) if ids is None])
-        halves = {c: m.groups() for c in fresh if (m := _marked(c))}
-        new = [c for c in {*(fresh - halves.keys()), *chain.from_iterable(halves.values())} if c not in memory]
-        for chunk, ids in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                fresh.update(chunks)
+        fresh = fresh.difference(memory)
+        cut = {c: _pieces(c.lower()) for c in fresh if _plain(c)}
+        odd = list(fresh.difference(cut))
+        for chunk, ids in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
             memory[chunk] = array(self.kind, ids.ids).tobytes()
-        memory.update((chunk, memory[a] + memory[b]) for chunk, (a, b) in halves.items())
-        self.held += sum(map(len, fresh)) + 60 * len(fresh)
-        for i, chunks, found in later:
-            out[i] = b"".join([memory[c] if ids is None else ids for c, ids in zip(chunks, found)])
+        model, new = self.tokenizer.model, set(chain.from_iterable(cut.values())).difference(memory)
+        for piece in new:  # nothing is left to normalise or cut: the model alone
+            memory[piece] = array(self.kind, [t.id for t in model.tokenize(_byte_level(piece))]).tobytes()
+        memory.update([(c, b"".join([memory[x] for x in parts])) for c, parts in cut.items()])
+        for i, chunks in later:
+            out[i] = b"".join(map(memory.__getitem__, chunks))
+        long = [c for c, parts in cut.items() if len(parts) > 2 and c not in new]  # these seldom come again
+        for c in long:
+            del memory[c]
+        self.held += ENTRY * (len(fresh | new) - len(long)) + sum(map(len, fresh | new)) - sum(map(len, long))
         return out
 
 
@@ -138,7 +161,7 @@ def _serialised(texts: pa.Array, path: str, end: int):
     own = _encoder(path)
     last = array(own.kind, [end]).tobytes()
     _, offsets = terms.buffer_of(texts)
-    for a, b in terms.slices(offsets, 4 << 20):
+    for a, b in terms.slices(offsets, 1 << 20):
         for ids in own.encode_all([t or "" for t in texts.slice(a, b - a).to_pylist()]):
             yield ids + last
 
