@@ -36,6 +36,7 @@ FREQ_BANDS = [(1, "01_low_1-39Hz"), (40, "02_mid_40-69Hz"), (70, "03_high_70-99H
 
 
 TIE = "_tie"
+CONTENT = "_content"  # a sample's content digest, where the table stores it
 
 
 def day_series(keys: Keys, count_keys: Keys | None = None) -> Series:
@@ -50,9 +51,14 @@ DERIVED = set(
 )
 
 
+def content(samples: DataFrame):
+    """Digest of a sample.  Stored with the samples, it spares every ordered table the reading of all their columns."""
+    return F.col(CONTENT) if CONTENT in samples.columns else F.xxhash64(*[c for c in samples.columns if c not in DERIVED])
+
+
 def tie_order(samples: DataFrame):
     """Total order of samples at one instant: file, then content.  Independent of arrival."""
-    return F.struct("source_filename", F.xxhash64(*[c for c in samples.columns if c not in DERIVED]))
+    return F.struct("source_filename", content(samples))
 
 
 def by_day(samples: DataFrame) -> DataFrame:

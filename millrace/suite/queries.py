@@ -74,22 +74,29 @@ def pump_feed(spark, sf_dir):
 
 
 def pump_raw(spark, sf_dir):
-    """The raw table as written: text rows in file order."""
+    """The raw table as written, text rows in file order: for streams, which need files.  Others read the text rows where they are made."""
     return staged(spark, sf_dir, "raw_logs", lambda: pump_feed(spark, sf_dir))
 
 
+def _sample_table(spark, sf_dir, name, feed, keys):
+    """Samples as written: text to typed rows in one pass, in the order of the files, with the digest that orders samples at one instant."""
+
+    def build():
+        table = logs.samples(feed(), ("device",))
+        return table.withColumn(gold.CONTENT, gold.content(table.drop("device")))
+
+    table = staged(spark, sf_dir, name, build)
+    return table.drop(gold.CONTENT) if keys else table.drop("device")  # the digest leaves out the device
+
+
 def pump(spark, sf_dir, keys=()):
-    """The sample table as written, clustered by time."""
-    build = lambda: logs.samples(pump_raw(spark, sf_dir), ("device",))
-    table = staged(spark, sf_dir, "samples", build, ["logged_at"])
-    return table if keys else table.drop("device")
+    """The sample table as written."""
+    return _sample_table(spark, sf_dir, "samples", lambda: pump_feed(spark, sf_dir), keys)
 
 
 def pump_repeats(spark, sf_dir, keys=()):
     """The sample table of a device whose files overlap: some instants occur twice."""
-    build = lambda: logs.samples(feeds.with_repeats(pump_raw(spark, sf_dir)), ("device",))
-    table = staged(spark, sf_dir, "samples_repeats", build)
-    return table if keys else table.drop("device")
+    return _sample_table(spark, sf_dir, "samples_repeats", lambda: feeds.with_repeats(pump_feed(spark, sf_dir)), keys)
 
 
 # Ordered work decides which of several samples at one instant counts; the others see all rows.
@@ -103,12 +110,12 @@ def raw_logs(spark, sf_dir):
 
 @query
 def samples(spark, sf_dir):
-    return logs.samples(pump_raw(spark, sf_dir))
+    return logs.samples(pump_feed(spark, sf_dir))
 
 
 @query
 def sample_rule_counts(spark, sf_dir):
-    return quality.rule_counts(logs.parse_logs(pump_raw(spark, sf_dir)), logs.SAMPLE_RULES, "samples")
+    return quality.rule_counts(logs.parse_logs(pump_feed(spark, sf_dir)), logs.SAMPLE_RULES, "samples")
 
 
 for _name in (

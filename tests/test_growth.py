@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from millrace.plans.heatpump import gold
 from millrace.suite import landing, queries, streams
 from millrace.suite.staging import stage_root
 
@@ -37,3 +38,19 @@ def test_landed_files_are_compressed_and_bounded(spark, monkeypatch):
     made = files(landing.json_files(spark, SF), ".gz")
     lines = landing.feeds.table(spark, SF, "lineitem").count()
     assert len(made) >= lines / 20_000 and spark.read.text([str(p) for p in made]).count() == lines
+
+
+def test_heat_pump_summaries_write_samples_in_one_pass(spark, monkeypatch):
+    made, write = [], queries.staged
+    monkeypatch.setattr(queries, "staged", lambda s, d, name, *a: made.append((name, len(a))) or write(s, d, name, *a))
+    assert queries.QUERIES["pump_kpis"](spark, SF + "/.").count()
+    assert ("gold_hourly_detail", 1) in made and ("samples", 1) in made and not {n for n, _ in made} & {"raw_logs"}
+
+
+def test_the_digest_of_a_sample_is_stored_and_read_alone(spark):
+    table = queries.pump_repeats(spark, SF)
+    plain = table.drop("_content")
+    assert not table.select(gold.tie_order(table).alias("t"), gold.tie_order(plain).alias("p")).where("t <> p").count()
+    for made in (gold.hourly_detail, gold.daily_summary):
+        read = made(table)._jdf.queryExecution().executedPlan().toString()
+        assert "bt63_hw_supply_c" not in read and "bt63_hw_supply_c" in made(plain)._jdf.queryExecution().executedPlan().toString()
