@@ -15,9 +15,10 @@ over its shards, across ranges by one number per range.
 
 A text is encoded by chunks between spaces and newlines: the tokenizer cuts at white space
 and drops it, so a chunk's ids do not depend on its surroundings; chunks are remembered per
-worker up to about ``MEMORY`` bytes.  As it lower-cases, Latin-1 texts are looked up in lower
-case; as it cuts between letters, digits and marks, a new Latin-1 chunk is put together from
-its pieces, and only new pieces go to the tokenizer.  Neither is done where a special token
+worker up to about ``MEMORY`` bytes, and each different chunk of about ``SLICE`` bytes of text
+is looked up once.  As it lower-cases, Latin-1 texts are looked up in lower case; as it cuts
+between letters, digits and marks, a word and the stop or comma after it are two chunks there,
+a new Latin-1 chunk is put together from its pieces, and only new pieces go to the tokenizer.  Neither is done where a special token
 could be meant.  These facts are read from the tokenizer's file; under other settings whole
 texts go to the tokenizer as they are.
 
@@ -41,6 +42,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -50,7 +52,8 @@ from millrace.llm.common import bounded_sample, fresh_path, written
 
 MAGIC, VERSION = b"TOKS", 1
 BLOCK = 1 << 20
-MEMORY, ENTRY = 96 << 20, 250  # bytes of remembered chunks in a worker, and of one beside its characters
+MEMORY, ENTRY = 160 << 20, 250  # bytes of remembered chunks in a worker, and of one beside its characters
+SLICE = 1 << 22  # bytes of text encoded at once
 SAMPLE_ROWS, SAMPLE_BYTES, SLICES, DICTIONARY = 2_000, 1 << 14, 8, 1 << 16
 _HEAD = struct.Struct("<4sHHI32s")
 
@@ -98,9 +101,14 @@ def _plain(text: str) -> bool:
     return True
 
 
-def _folded(text: str) -> str:
-    """In lower case, where that cannot change the ids."""
-    return text.lower() if _plain(text) else text
+# A single stop or comma that ends a word: a piece of its own, so a space before it changes no id.
+_ends = re.compile(r"[.,](?<=[a-z0-9].)(?= )").sub
+
+
+def _spaced(text: str) -> str:
+    """With spaces between chunks; in lower case and words apart from the mark at their end, where that cannot change the ids."""
+    flat = text.replace("\n", " ")
+    return _ends(r" \g<0>", flat.lower()) if _plain(text) else flat
 
 
 class Encoder:
@@ -124,31 +132,33 @@ class Encoder:
             return [array(self.kind, x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if self.held > MEMORY:
             self.memory, self.held = {}, 0
-        memory, out, later = self.memory, [], []
-        fresh: set[str] = set()
-        for text in texts:
-            chunks = _folded(text).replace("\n", " ").split(" ")
-            try:
-                out.append(b"".join(map(memory.__getitem__, chunks)))
-            except KeyError:  # some are new
-                later.append((len(out), chunks))
-                out.append(b"")
-                fresh.update(chunks)
-        fresh = fresh.difference(memory)
-        cut = {c: _pieces(c.lower()) for c in fresh if _plain(c)}
-        odd = list(fresh.difference(cut))
+        folded = pa.array([_spaced(text) for text in texts], pa.large_string())
+        chunks = pc.split_pattern(folded, " ")
+        told = chunks.flatten().dictionary_encode()  # each different chunk of these texts is looked up once
+        known = self._chunks(told.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(known, pa.large_binary()).take(told.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[chunks.offsets.to_numpy()]
+        data = ids.buffers()[2].to_pybytes()
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Serialised ids of different chunks."""
+        memory = self.memory
+        fresh = [c for c in chunks if c not in memory]
+        cut = {c: [c] if c.isascii() and c.isalpha() and c.islower() else _pieces(c.lower()) for c in fresh if _plain(c)}
+        odd = [c for c in fresh if c not in cut]
         for chunk, ids in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
             memory[chunk] = array(self.kind, ids.ids).tobytes()
-        model, new = self.tokenizer.model, set(chain.from_iterable(cut.values())).difference(memory)
+        tokenize, new = self.tokenizer.model.tokenize, set(chain.from_iterable(cut.values())).difference(memory)
         for piece in new:  # nothing is left to normalise or cut: the model alone
-            memory[piece] = array(self.kind, [t.id for t in model.tokenize(_byte_level(piece))]).tobytes()
-        memory.update([(c, b"".join([memory[x] for x in parts])) for c, parts in cut.items()])
-        for i, chunks in later:
-            out[i] = b"".join(map(memory.__getitem__, chunks))
+            memory[piece] = array(self.kind, [t.id for t in tokenize(_byte_level(piece))]).tobytes()
+        memory.update([(c, b"".join([memory[x] for x in parts])) for c, parts in cut.items() if c not in new])
+        out = [memory[c] for c in chunks]
         long = [c for c, parts in cut.items() if len(parts) > 2 and c not in new]  # these seldom come again
         for c in long:
             del memory[c]
-        self.held += ENTRY * (len(fresh | new) - len(long)) + sum(map(len, fresh | new)) - sum(map(len, long))
+        kept = new.union(fresh).difference(long)
+        self.held += ENTRY * len(kept) + sum(map(len, kept))
         return out
 
 
@@ -161,7 +171,7 @@ def _serialised(texts: pa.Array, path: str, end: int):
     own = _encoder(path)
     last = array(own.kind, [end]).tobytes()
     _, offsets = terms.buffer_of(texts)
-    for a, b in terms.slices(offsets, 1 << 20):
+    for a, b in terms.slices(offsets, SLICE):
         for ids in own.encode_all([t or "" for t in texts.slice(a, b - a).to_pylist()]):
             yield ids + last
 

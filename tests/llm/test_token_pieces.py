@@ -26,3 +26,15 @@ def test_numbers_that_never_come_again_are_not_remembered():
     own = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     own.encode_all([" ".join(f"id-{i}" for i in range(10_000))])
     assert len(own.memory) < 100
+
+
+def test_words_are_remembered_without_the_mark_at_their_end():
+    own = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(2)
+    parts = ["ab", "Cd", "é", "7", "'s", ".", ",", "!", "...", ". ", ", ", " ", "\n", "<|", "Ω"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    want = [array(own.kind, x.ids).tobytes() for x in own.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert own.encode_all(texts) == want
+    own = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    own.encode_all(["one, two. one. two, One end"])
+    assert set(own.memory) == {"one", "two", "end", ",", "."}
