@@ -16,7 +16,7 @@ entry by entry.
 
 A text is looked up by chunks that begin at a space after a visible character: no match of
 the pattern spans such a place, so chunks can be encoded apart and remembered.  The memory
-of a worker is emptied when it holds about ``MEMORY`` characters; results do not depend on it.
+of a worker is emptied when it holds about ``MEMORY`` bytes; results do not depend on it.
 
 Edge cases: null counts as empty and has no token; any Unicode text and any length work;
 ids outside the vocabulary are an error in decoding; repeated rows are treated alike.
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm import terms
 
-MEMORY = 32 << 20
+MEMORY, ENTRY = 64 << 20, 250  # bytes of remembered chunks in a worker, and of one beside its characters
 SLICE = 6 << 20
 _WORD = 8  # log2 of the bits in one word of the bitmap
 _NONE = np.int32(2**31 - 1)
@@ -287,7 +287,7 @@ class Codec:
         """Remember the ids of chunks, each after ``lead``."""
         known = self.known
         chunks = list(chunks)
-        self.held += sum(map(len, chunks)) + 60 * len(chunks)
+        self.held += sum(map(len, chunks)) + ENTRY * len(chunks)
         matches = [[m.encode() for m in self.split(lead + c)] for c in chunks]
         todo = list({m for ms in matches for m in ms if m not in known})
         known.update((m, ids.tobytes()) for m, ids in zip(todo, self.merge_all(todo)))

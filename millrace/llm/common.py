@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from uuid import uuid4
 
@@ -38,6 +40,18 @@ def bounded_sample(df: DataFrame, rows: int, *by: Column) -> DataFrame:
     return df if keep >= 1 else df.where(F.pmod(F.xxhash64(F.lit(17), *by), F.lit(parts)) < int(keep * parts))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+    """Fewer rows in an Arrow batch for what is written inside: a worker and its executor hold a few of them at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package also where only the driver's ``sys.path`` names it."""
     import millrace

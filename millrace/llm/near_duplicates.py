@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm import terms
-from millrace.llm.common import bounded_sample, written
+from millrace.llm.common import bounded_sample, small_batches, written
 
 SHINGLE, SIMILARITY, OVERLAP = 3, 0.8, 0.8
 SKETCHES, PICKED = 48, 5
@@ -57,7 +57,7 @@ SAMPLE, OFTEN = 20_000, 1 << 16
 _SEEDS = terms.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
 BLOCK = 64
-_CELLS = 1 << 21
+_CELLS, _KNOWN = 1 << 18, 1 << 20
 
 
 def key_of(text: str = "text") -> Column:
@@ -255,7 +255,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 sides = []
                 for key, column in ((keys[i], "text"), (others[i], "other_text")):
                     if key not in known:
-                        if held > _CELLS:
+                        if held > _KNOWN:
                             known, held = {}, 0
                         known[key] = words(*terms.buffer_of(batch[column].slice(i, 1)))[0]
                         held += len(known[key])
@@ -376,6 +376,11 @@ def _apart(pairs: DataFrame, seen: DataFrame, roots: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """(key, root) of every text that is linked with a different one."""
+    with small_batches(docs.sparkSession):
+        return _classes(docs)
+
+
+def _classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(key_of().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     sketched = written(_buckets(rows, *_often(docs, SHORT / OVERLAP), False), "sketches")

@@ -57,13 +57,23 @@ def features(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
 def _follow_leader(shard: pd.DataFrame, size: int, alpha: float, beta: float, l1: float, l2: float, epochs: int) -> pd.DataFrame:
     """Weights after ``epochs`` passes over one shard, as (slot, weight) rows; slot ``size`` is the bias, the next one counts the shard."""
     shard = shard.sort_values(["text", "label"], kind="stable")
-    data, offsets = terms.buffer_of(pa.array(shard["text"], pa.string()))
     labels = shard["label"].to_numpy(float)
-    inputs = []
-    for i in range(len(shard)):
-        _, slot = features(data[offsets[i] : offsets[i + 1]], np.array([0, offsets[i + 1] - offsets[i]]), size)
-        slot, times = np.unique(slot, return_counts=True)
-        inputs.append((np.append(slot, size), np.append(times / max(1, times.sum()), _BIAS)))
+    data, offsets = terms.buffer_of(pa.array(shard["text"], pa.large_string()))
+    del shard
+    slots, counts, ends = [], [], np.zeros(len(labels) + 1, np.int64)
+    for a, b in terms.slices(offsets, 1 << 17):
+        row, slot = features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
+        both, times = np.unique(row * size + slot, return_counts=True)
+        ends[a + 1 : b + 1] = ends[a] + np.searchsorted(both, np.arange(1, b - a + 1) * size)
+        slots.append((both % size).astype(np.int32))
+        counts.append(times.astype(np.int32))
+    del data, offsets
+    slots, counts = (np.concatenate([np.zeros(0, np.int32), *x]) for x in (slots, counts))
+
+    def inputs(i: int) -> tuple[np.ndarray, np.ndarray]:
+        times = counts[ends[i] : ends[i + 1]]
+        return np.append(slots[ends[i] : ends[i + 1]], size), np.append(times / max(1, times.sum()), _BIAS)
+
     z, n = np.zeros(size + 1), np.zeros(size + 1)
 
     def weights(at) -> np.ndarray:
@@ -71,8 +81,8 @@ def _follow_leader(shard: pd.DataFrame, size: int, alpha: float, beta: float, l1
         return np.where(np.abs(zs) <= l1, 0, (np.sign(zs) * l1 - zs) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
     for epoch in range(epochs):
-        for i in np.random.default_rng(epoch).permutation(len(inputs)):
-            at, x = inputs[i]
+        for i in np.random.default_rng(epoch).permutation(len(labels)):
+            at, x = inputs(i)
             w = weights(at)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - labels[i]) * x
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha * w

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from array import array
 
+import numpy as np
 import public_tokenizers
 
-from millrace.llm import token_files
+from millrace.llm import byte_bpe, near_duplicates, token_files
 
 
 def test_chunks_from_pieces_give_the_ids_of_whole_texts(monkeypatch):
@@ -38,3 +40,28 @@ def test_words_are_remembered_without_the_mark_at_their_end():
     own = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     own.encode_all(["one, two. one. two, One end"])
     assert set(own.memory) == {"one", "two", "end", ",", "."}
+
+
+def test_byte_level_codec_counts_what_a_remembered_chunk_takes():
+    own = byte_bpe.Codec({bytes([i]): i for i in range(256)}, public_tokenizers.PATTERN)
+    own.encode_all([" ".join(f"w{i}" for i in range(10_000))])
+    assert own.held >= 200 * 10_000
+
+
+def test_sketches_take_little_memory_and_do_not_depend_on_it(monkeypatch):
+    own = np.random.default_rng(3).integers(0, 1 << 63, 20_000).astype(np.uint64)
+    tracemalloc.start()
+    few = near_duplicates.sketches(own)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 16 << 20
+    monkeypatch.setattr(near_duplicates, "_CELLS", 1 << 21)
+    assert (near_duplicates.sketches(own) == few).all()
+
+
+def test_near_duplicates_are_found_in_small_batches(spark, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    monkeypatch.setattr(near_duplicates, "_classes", lambda docs: seen.append(int(spark.conf.get(key))))
+    before = spark.conf.get(key)
+    near_duplicates.classes(spark.range(1))
+    assert seen == [2000] and spark.conf.get(key) == before
