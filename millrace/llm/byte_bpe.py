@@ -16,7 +16,9 @@ entry by entry.
 
 A text is looked up by chunks that begin at a space after a visible character: no match of
 the pattern spans such a place, so chunks can be encoded apart and remembered.  The memory
-of a worker is emptied when it holds about ``MEMORY`` bytes; results do not depend on it.
+of a worker is emptied when the objects it holds take ``MEMORY`` bytes; results do not depend
+on it.  Texts are taken in slices of ``SLICE`` bytes, so what a slice adds before the next look
+at the memory, and its lists of chunks, stay small for any size of an Arrow batch.
 
 Edge cases: null counts as empty and has no token; any Unicode text and any length work;
 ids outside the vocabulary are an error in decoding; repeated rows are treated alike.
@@ -31,6 +33,7 @@ from functools import lru_cache
 from hashlib import sha256
 from heapq import heappop, heappush
 from pathlib import Path
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +41,10 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm import terms
+from millrace.llm.common import small_batches, written
 
-MEMORY, ENTRY = 64 << 20, 250  # bytes of remembered chunks in a worker, and of one beside its characters
-SLICE = 6 << 20
+MEMORY, ENTRY = 64 << 20, 72  # bytes of remembered chunks and matches in a worker, and of an entry beside its two objects
+SLICE = 2 << 20
 _WORD = 8  # log2 of the bits in one word of the bitmap
 _NONE = np.int32(2**31 - 1)
 _run = re.compile(r"\s |^ ").search
@@ -236,7 +240,7 @@ class Codec:
         while (rank := filled.first()) >= 0:
             filled.remove(rank)
             bucket = buckets.pop(rank)
-            at = bucket[0] if len(bucket) == 1 else np.unique(np.concatenate(bucket))
+            at = bucket[0] if len(bucket) == 1 else _distinct(np.concatenate(bucket))
             at = at[pair[at] == rank]  # the others are stale
             if len(at) > 1:  # of neighbours that overlap, every second one
                 touch = after[at[:-1]] == at[1:]
@@ -266,7 +270,7 @@ class Codec:
             if not len(fresh):
                 continue
             if len(at) > 1:
-                fresh = np.unique(fresh)
+                fresh = _distinct(fresh)
             pair[fresh] = ranks = self.joint(token[fresh], token[after[fresh]])
             if (lower := ranks < rank).any():
                 odd.append(fresh[lower])
@@ -287,11 +291,13 @@ class Codec:
         """Remember the ids of chunks, each after ``lead``."""
         known = self.known
         chunks = list(chunks)
-        self.held += sum(map(len, chunks)) + ENTRY * len(chunks)
         matches = [[m.encode() for m in self.split(lead + c)] for c in chunks]
         todo = list({m for ms in matches for m in ms if m not in known})
-        known.update((m, ids.tobytes()) for m, ids in zip(todo, self.merge_all(todo)))
-        memory.update((chunk, b"".join([known[m] for m in ms])) for chunk, ms in zip(chunks, matches))
+        merged = [ids.tobytes() for ids in self.merge_all(todo)]
+        known.update(zip(todo, merged))
+        joined = [b"".join([known[m] for m in ms]) for ms in matches]
+        memory.update(zip(chunks, joined))
+        self.held += ENTRY * (len(todo) + len(chunks)) + sum(sum(map(getsizeof, x)) for x in (todo, merged, chunks, joined))
 
     def forget(self) -> None:
         self.held = 0
@@ -335,6 +341,14 @@ class Codec:
         return " ".join(self.text_of[ids].tolist())
 
 
+def _distinct(at: np.ndarray) -> np.ndarray:
+    """Ascending, each once."""
+    at = np.sort(at)
+    first = np.ones(len(at), bool)
+    np.not_equal(at[1:], at[:-1], out=first[1:])
+    return at[first]
+
+
 def _reached(kept, before, after, heads) -> np.ndarray:
     """Which of the positions are still parts: a head, or the successor of its predecessor."""
     return heads[kept] | (after[before[kept]] == kept)
@@ -409,5 +423,7 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
-    return docs.select("doc_id", round_trip(F.col("text"), path, pattern).alias("coded")).select("doc_id", "coded.*")
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row; written, so that the batches of texts are small."""
+    with small_batches(docs.sparkSession):
+        coded = docs.select("doc_id", round_trip(F.col("text"), path, pattern).alias("coded"))
+        return written(coded.select("doc_id", "coded.*"), "byte-bpe")
