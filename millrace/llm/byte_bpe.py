@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm import terms
 from millrace.llm.common import small_batches, written
 
-MEMORY, ENTRY = 64 << 20, 72  # bytes of remembered chunks and matches in a worker, and of an entry beside its two objects
+MEMORY, ENTRY = 128 << 20, 72  # bytes of remembered chunks and matches in a worker, and of an entry beside its two objects
 SLICE = 2 << 20
 _WORD = 8  # log2 of the bits in one word of the bitmap
 _NONE = np.int32(2**31 - 1)
