@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -122,16 +121,20 @@ def fan_out(
 ) -> StreamingQuery:
     """One stream into several tables: each names its rows of a micro-batch and their columns.
 
-    The source is read once a micro-batch, which is held while its tables are written, each
-    into a partition of the batch id; a replayed batch overwrites what it wrote, in all tables.
+    The source is read once a micro-batch, which is held in files beside the checkpoint's own
+    while its tables are written, each into a partition of the batch id; a replayed batch
+    overwrites what it wrote, in all tables.  No block of the batch stays in an executor's
+    memory, however large it is; the files are emptied when its tables are there.
     """
+    hold = f"{checkpoint.rstrip('/')}/held"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            write_table(batch, hold)
+            held = batch.sparkSession.read.schema(batch.schema).parquet(hold)
             for name, rows in tables.items():
                 rows(held).write.mode("overwrite").parquet(f"{path_of(name)}/batch_id={batch_id}")
         finally:
-            held.unpersist()
+            write_table(batch.limit(0), hold)
 
     return _triggered(df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint), trigger, every)

@@ -163,6 +163,21 @@ def test_fan_out_writes_each_batch_once(spark, tmp_path):
         assert sorted(r["n"] for r in got.collect()) == list(range(i, 90, 3)) and f"only_{i}" in got.columns
 
 
+def test_fan_out_holds_a_batch_outside_of_memory_and_reads_it_once(spark, tmp_path):
+    cp, in_memory = str(tmp_path / "cp"), []
+    stream = _arrive(spark, str(tmp_path / "src"), [(f"t{i % 3}", i) for i in range(90)], 2, "topic string, n int").withColumn("read", F.expr("uuid()"))
+
+    def rows(batch):
+        in_memory.extend(i.memSize() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+        return batch
+
+    fan_out(stream, dict.fromkeys("abc", rows), lambda name: str(tmp_path / name), cp).awaitTermination()
+    assert not any(in_memory)
+    a, b, c = (sorted(spark.read.parquet(str(tmp_path / name)).select("topic", "n", "read").collect()) for name in "abc")
+    assert a == b == c and len(a) == 90
+    assert not [p for p in Path(cp).rglob("*.parquet") if spark.read.parquet(str(p)).count()]
+
+
 def test_counts_of_a_stream_survive_a_replay(spark, tmp_path):
     rules = {"nums": [Expectation("even", "n % 2 = 0"), Expectation("small", "n < 50", "warn"), Expectation("known", "n IS NOT NULL")]}
     schema, cp, counts = "n int", str(tmp_path / "cp"), str(tmp_path / "counts")
