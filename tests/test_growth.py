@@ -54,3 +54,20 @@ def test_the_digest_of_a_sample_is_stored_and_read_alone(spark):
     for made in (gold.hourly_detail, gold.daily_summary):
         read = made(table)._jdf.queryExecution().executedPlan().toString()
         assert "bt63_hw_supply_c" not in read and "bt63_hw_supply_c" in made(plain)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("kind", "again"), [("ims", "/.")])  # another path each, so that the stream runs again
+def test_a_fan_out_keeps_no_batch_in_memory(spark, monkeypatch, kind, again):
+    in_memory, typed = [], streams.records.typed
+
+    def watched(batch, k):
+        in_memory.append(sum(i.memSize() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()))
+        return typed(batch, k)
+
+    monkeypatch.setattr(streams.records, "typed", watched)
+    monkeypatch.setattr(streams.files_a_batch, "__defaults__", (streams.BATCHES, 500))
+    small = SF.replace("0.01", "0.001")
+    got = queries.QUERIES[f"fan_out_{kind}"](spark, small + again)
+    assert len(in_memory) >= len(streams.KINDS) and not any(in_memory)
+    want = queries.QUERIES[f"typed_{kind}"](spark, small)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
