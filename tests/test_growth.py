@@ -56,7 +56,7 @@ def test_the_digest_of_a_sample_is_stored_and_read_alone(spark):
         assert "bt63_hw_supply_c" not in read and "bt63_hw_supply_c" in made(plain)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize(("kind", "again"), [("ims", "/.")])  # another path each, so that the stream runs again
+@pytest.mark.parametrize(("kind", "again"), [("ims", "/."), ("data_usage", "/./.")])  # another path each, so that the stream runs again
 def test_a_fan_out_keeps_no_batch_in_memory(spark, monkeypatch, kind, again):
     in_memory, typed = [], streams.records.typed
 
